@@ -51,7 +51,7 @@ def _text(*columns: str) -> tuple[tuple[str, str], ...]:
 
 
 def _long(*columns: str) -> tuple[tuple[str, str], ...]:
-    return tuple((c, "bigint") for c in columns)
+    return tuple((c, "long") for c in columns)
 
 
 # Record columns of the eight dimensions. The target group's key

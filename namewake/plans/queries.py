@@ -299,7 +299,7 @@ def select_star_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _customer_target(spark: SparkSession, sf_dir: str, folder: str) -> PlanTarget:
-    target = PlanTarget(spark, f"{folder}/target", [tb.CUSTOMER])
+    target = PlanTarget.create(spark, f"{folder}/target", [tb.CUSTOMER])
     target.append(tb.named_orders(tb.read(spark, sf_dir, "orders")))
     return target
 
@@ -341,7 +341,7 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "stream-late-rows")
     orders = tb.named_orders(tb.read(spark, sf_dir, "orders"))
     odd = F.col("o_orderkey") % 2 == 1
-    target = PlanTarget(spark, f"{folder}/target", [tb.CUSTOMER])
+    target = PlanTarget.create(spark, f"{folder}/target", [tb.CUSTOMER])
     target.append(orders.filter(~odd))
     _finish(_customer_feed(tb.stream(spark, sf_dir, "events")), target, folder)
     target.append(orders.filter(odd))
@@ -361,7 +361,7 @@ def stream_all_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All eight dimensions in one query, one writer on the plan table."""
     folder = shared_folder(spark, "stream-all-entities")
     specs = list(ENTITIES.values())
-    target = PlanTarget(spark, f"{folder}/target", specs)
+    target = PlanTarget.create(spark, f"{folder}/target", specs)
     target.append(tb.plan_table(tb.read(spark, sf_dir, "orders")))
     feeds = [
         tag_feed(tb.entity_changes(tb.stream(spark, sf_dir, "events"), s), s, ["pos", "op_ts"])
@@ -373,7 +373,7 @@ def stream_all_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _entity_log(spark: SparkSession, sf_dir: str, spec: EntitySpec) -> DataFrame:
     folder = shared_folder(spark, "stream-log")
-    target = PlanTarget(spark, f"{folder}/target", [spec])
+    target = PlanTarget.create(spark, f"{folder}/target", [spec])
     feed = tag_feed(
         tb.entity_changes(tb.stream(spark, sf_dir, "events"), spec), spec, ["pos", "op_ts"]
     )

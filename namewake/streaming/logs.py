@@ -31,7 +31,7 @@ class FileLog:
             .add("msg_value", value)
             .add("ord", ord_type)
             .add("query", "string")
-            .add("batch_id", "bigint")
+            .add("batch_id", "long")
             .add("entity", "string")
         )
         return spark.read.schema(schema).format(self.format).load(self.path)

@@ -6,7 +6,6 @@ import uuid
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,16 +57,21 @@ class PlanTarget:
         self.spark, self.path, self.specs = spark, path.rstrip("/"), tuple(specs)
         self._known: list[Row] | None = None
 
+    @classmethod
+    def create(
+        cls, spark: SparkSession, path: str, specs: Iterable[EntitySpec]
+    ) -> PlanTarget:
+        """Open the target, made anew if there is none."""
+        target = cls(spark, path, specs)
+        none = spark.range(0).select(F.col("id").alias("seq"))
+        none.write.mode("ignore").json(f"{target.path}/commits")
+        return target
+
     # commits
 
     def commits(self) -> list[Row]:
         """All commits, as stored now."""
-        try:
-            listed = self.spark.read.schema(_COMMIT).json(f"{self.path}/commits").collect()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            listed = []
+        listed = self.spark.read.schema(_COMMIT).json(f"{self.path}/commits").collect()
         self._known = sorted(listed, key=lambda c: c["seq"])
         return self._known
 
