@@ -7,31 +7,29 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Type tags of Avro unions in JSON form.
-_TAGS = "struct<string:string,long:bigint,int:bigint>"
+TAGS = ("string", "long", "int")
 
 
 def parse_tagged(text: Column | str, fields: dict[str, str]) -> Column:
     """Parse a JSON record whose values may be plain or tagged with their type.
 
     ``{"A": {"long": 5}, "B": "x"}`` and ``{"A": 5, "B": {"string": "x"}}`` give
-    the same struct. ``fields`` maps names to ``string`` or ``bigint``. The text is
-    parsed twice, once per form, whatever the number of fields.
+    the same struct. ``fields`` maps names to ``string`` or ``bigint``. Values that
+    do not fit are null, and so are all values of a broken record.
     """
     for name, kind in fields.items():
         if kind not in ("string", "bigint"):
             raise ValueError(f"field {name}: {kind} is neither string nor bigint")
-    plain = F.from_json(text, ", ".join(f"`{n}` {t}" for n, t in fields.items()))
-    tagged = F.from_json(text, ", ".join(f"`{n}` {_TAGS}" for n in fields))
-    return F.struct(*(_either(tagged[n], plain[n], t).alias(n) for n, t in fields.items()))
-
-
-def _either(tagged: Column, plain: Column, kind: str) -> Column:
-    number = F.coalesce(tagged["long"], tagged["int"])
-    if kind == "string":
-        value = F.coalesce(tagged["string"], number.cast("string"))
-    else:
-        value = F.coalesce(number, tagged["string"].try_cast("bigint"))
-    return F.when(tagged.isNotNull(), value).otherwise(plain)
+    record = F.try_parse_json(F.col(text) if isinstance(text, str) else text)
+    return F.struct(*(_value(record, n, t).alias(n) for n, t in fields.items()))
+
+
+def _value(record: Column, name: str, kind: str) -> Column:
+    path = f"$['{name}']"
+    tagged = F.coalesce(*(F.try_variant_get(record, f"{path}.{tag}", kind) for tag in TAGS))
+    is_object = F.try_variant_get(record, path, "map<string,variant>").isNotNull()
+    plain = F.when(~is_object, F.try_variant_get(record, path, kind))
+    return F.coalesce(tagged, plain)
 
 
 def parse_date(text: Column | str, pattern: str = "dd-MMM-yy") -> Column:

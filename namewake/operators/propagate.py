@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from collections.abc import Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from namewake.entities import EntitySpec
 from namewake.operators.joins import fits_broadcast, lookup_join, matched_keys
-from namewake.scratch import Size, measure, settle
+from namewake.scratch import Size, measure_all, settle
 
 _KEY, _NAME, _HIT = "__key", "__name", "__hit"
 
@@ -96,49 +96,72 @@ def merge_names(
 
 @dataclass(frozen=True)
 class Dimension:
-    """A lookup table of a star: ``columns`` maps its columns to output names."""
+    """A lookup table of a star: ``columns`` maps its columns to output names.
+
+    ``dimensions`` are looked up in turn, by foreign keys among its columns.
+    """
 
     rows: DataFrame
     fk: str
     key: str
     columns: dict[str, str]
-    size: Size | None = None
+    dimensions: tuple[Dimension, ...] = ()
+
+    def with_nested(self) -> list[Dimension]:
+        return [self, *(n for d in self.dimensions for n in d.with_nested())]
+
+    def names(self) -> list[str]:
+        return [n for d in self.with_nested() for n in d.columns.values()]
+
+    def inner_fk(self, nested: Dimension) -> str:
+        return f"__{self.fk}__{nested.fk}"
+
+    def lookup(self) -> DataFrame:
+        """Key, named columns and foreign keys, under names of their own."""
+        return self.rows.select(
+            F.col(self.key).alias(f"__{self.fk}"),
+            *(F.col(c).alias(n) for c, n in self.columns.items()),
+            *(F.col(d.fk).alias(self.inner_fk(d)) for d in self.dimensions),
+        )
+
+    def below(self) -> list[Dimension]:
+        """Nested dimensions, with the foreign keys as ``lookup`` names them."""
+        return [replace(d, fk=self.inner_fk(d)) for d in self.dimensions]
 
 
 def star_enrich(
-    fact: DataFrame, dimensions: Iterable[Dimension], row_id: Sequence[Column | str]
+    fact: DataFrame, dimensions: Sequence[Dimension], row_id: Sequence[Column | str]
 ) -> DataFrame:
     """Add the names of several dimensions at read time.
 
     Unlike propagation this shows the current name to every row, however late the
-    row came. Dimensions too large to broadcast go first, so that columns added by
-    the others are not shuffled.
+    row came. All dimensions are measured in one job. Those that fit are broadcast,
+    nested ones straight onto the fact; one that does not fit gets its nested names
+    first and is joined then. Large ones go first, so that columns added by the
+    others are not shuffled.
     """
-    sized = []
-    for d in dimensions:
-        lookup = d.rows.select(
-            F.col(d.key).alias(f"__{d.fk}"), *(F.col(c).alias(n) for c, n in d.columns.items())
-        )
-        sized.append((d, lookup, d.size or measure(lookup)))
-    sized.sort(key=lambda item: item[2].bytes, reverse=True)
-    out = fact
-    for d, lookup, size in sized:
-        out = lookup_join(
-            out, lookup, d.fk, f"__{d.fk}", "left", row_id=row_id, size=size, base=fact
-        )
-    return out
+    tables = [d for top in dimensions for d in top.with_nested()]
+    sizes = {id(d.rows): s for d, s in zip(tables, measure_all([d.lookup() for d in tables]))}
+    return _enrich(fact, dimensions, row_id, sizes)
 
 
-def dimension(
-    rows: DataFrame, base: DataFrame, fk: str, key: str, columns: dict[str, str]
-) -> Dimension:
-    """A dimension that was itself enriched from ``base``, with its size.
-
-    Where ``base`` alone is too large to broadcast, that settles the matter and the
-    enriched rows stay unevaluated. Otherwise they are written once and counted.
-    """
-    floor = measure(base.select(key))
-    if not fits_broadcast(base.sparkSession, floor):
-        return Dimension(rows, fk, key, columns, floor)
-    settled, size = settle(rows.select(key, *columns), "dimension")
-    return Dimension(settled, fk, key, columns, size)
+def _enrich(
+    fact: DataFrame,
+    dimensions: Sequence[Dimension],
+    row_id: Sequence[Column | str],
+    sizes: dict[int, Size],
+) -> DataFrame:
+    out, spark = fact, fact.sparkSession
+    for d in sorted(dimensions, key=lambda d: sizes[id(d.rows)].bytes, reverse=True):
+        lookup, size, key = d.lookup(), sizes[id(d.rows)], f"__{d.fk}"
+        flat = all(fits_broadcast(spark, sizes[id(n.rows)]) for n in d.with_nested())
+        if d.dimensions and not flat:
+            enriched = _enrich(lookup, d.below(), [key], sizes).select(key, *d.names())
+            if fits_broadcast(spark, size):
+                enriched, size = settle(enriched, "dimension")
+            lookup = enriched
+        out = lookup_join(out, lookup, d.fk, key, row_id=row_id, size=size, base=fact)
+        if d.dimensions and flat:
+            out = _enrich(out, d.below(), row_id, sizes)
+    names = [n for d in dimensions for n in d.names()]
+    return out.select(*fact.columns, *names)

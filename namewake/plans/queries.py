@@ -135,32 +135,19 @@ def entity_rows(entity: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def table(name: str) -> DataFrame:
-        return tb.read(spark, sf_dir, name)
-
-    place = {"n_name": "nation", "r_name": "region"}
-    nation = pr.star_enrich(
-        table("nation"),
-        [pr.Dimension(table("region"), "n_regionkey", "r_regionkey", {"r_name": "r_name"})],
-        row_id=["n_nationkey"],
-    )
+    """Order lines with the names of eight lookups."""
 
-    def placed(name: str, key: str, fk: str, prefix: str) -> DataFrame:
-        columns = {c: f"{prefix}_{n}" for c, n in place.items()}
-        of_nation = pr.dimension(nation, table("nation"), fk, "n_nationkey", columns)
-        return pr.star_enrich(table(name), [of_nation], row_id=[key])
+    def dim(table: str, fk: str, key: str, columns: dict[str, str], *nested: pr.Dimension):
+        return pr.Dimension(tb.read(spark, sf_dir, table), fk, key, columns, nested)
 
-    supplier = placed("supplier", "s_suppkey", "s_nationkey", "supp")
-    customer = placed("customer", "c_custkey", "c_nationkey", "cust")
-    of_customer = pr.dimension(
-        customer,
-        table("customer"),
-        "o_custkey",
-        "c_custkey",
-        {c: c for c in ("c_name", "cust_nation", "cust_region")},
+    def place(fk: str, prefix: str) -> pr.Dimension:
+        region = dim("region", "n_regionkey", "r_regionkey", {"r_name": f"{prefix}_region"})
+        return dim("nation", fk, "n_nationkey", {"n_name": f"{prefix}_nation"}, region)
+
+    customer = dim(
+        "customer", "o_custkey", "c_custkey", {"c_name": "c_name"}, place("c_nationkey", "cust")
     )
-    orders = pr.star_enrich(table("orders"), [of_customer], row_id=["o_orderkey"])
-    lines = table("lineitem").select(
+    lines = tb.read(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
@@ -168,27 +155,12 @@ def star_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_quantity",
         F.col("_metadata.row_index").alias("__row"),
     )
-    return pr.star_enrich(
-        lines,
-        [
-            pr.Dimension(table("part"), "l_partkey", "p_partkey", {"p_name": "p_name"}),
-            pr.dimension(
-                supplier,
-                table("supplier"),
-                "l_suppkey",
-                "s_suppkey",
-                {c: c for c in ("s_name", "supp_nation", "supp_region")},
-            ),
-            pr.dimension(
-                orders,
-                table("orders"),
-                "l_orderkey",
-                "o_orderkey",
-                {c: c for c in ("o_orderpriority", "c_name", "cust_nation", "cust_region")},
-            ),
-        ],
-        row_id=["__row"],
-    ).drop("__row")
+    dimensions = [
+        dim("part", "l_partkey", "p_partkey", {"p_name": "p_name"}),
+        dim("supplier", "l_suppkey", "s_suppkey", {"s_name": "s_name"}, place("s_nationkey", "supp")),
+        dim("orders", "l_orderkey", "o_orderkey", {"o_orderpriority": "o_orderpriority"}, customer),
+    ]
+    return pr.star_enrich(lines, dimensions, row_id=["__row"]).drop("__row")
 
 
 # Messages, text and schemas

@@ -5,7 +5,9 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -54,12 +56,23 @@ def row_bytes(schema: T.StructType) -> Column:
     return sum((c.cast("bigint") for c in counted), F.lit(fixed).cast("bigint"))
 
 
+def measure_all(tables: Sequence[DataFrame]) -> list[Size]:
+    """Count rows and bytes of several tables in one job."""
+    counted = [
+        t.agg(
+            F.lit(i).alias("i"),
+            F.count(F.lit(1)).alias("rows"),
+            F.sum(row_bytes(t.schema)).alias("bytes"),
+        )
+        for i, t in enumerate(tables)
+    ]
+    rows = reduce(DataFrame.unionAll, counted).collect() if counted else []
+    return [Size(r["rows"], r["bytes"] or 0) for r in sorted(rows, key=lambda r: r["i"])]
+
+
 def measure(df: DataFrame) -> Size:
-    """Count rows and bytes of ``df`` in one job."""
-    row = df.agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(df.schema)).alias("bytes")
-    ).first()
-    return Size(row["rows"], row["bytes"] or 0)
+    """Count rows and bytes of ``df``."""
+    return measure_all([df])[0]
 
 
 def settle(df: DataFrame, purpose: str = "settled") -> tuple[DataFrame, Size]:

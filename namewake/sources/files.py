@@ -10,10 +10,6 @@ from namewake.entities import EntitySpec
 from namewake.functions.values import parse_tagged
 from namewake.operators.changes import one_envelope
 
-# A record line: quoted key, colon, JSON object.
-_LINE = r'^\s*"([^"]*)"\s*:\s*(\{.*\})\s*$'
-
-
 def _one_path_glob(path: str) -> str:
     """``path`` as a pattern that matches it alone, be it a file or a folder.
 
@@ -55,15 +51,22 @@ def change_table(spark: SparkSession, spec: EntitySpec, path: str, format: str =
 
 
 def keyed_lines(lines: DataFrame, fields: dict[str, str], line: str = "value") -> DataFrame:
-    """Parse ``"key":{json}`` lines into a key and the record's columns."""
-    record = parse_tagged(F.regexp_extract(line, _LINE, 2), fields)
+    """Parse ``"key":{json}`` lines into a key and the record's columns.
+
+    A line of another form gives a null key.
+    """
+    text = F.trim(line)
+    quoted = F.substring_index(text, '"', 2)
+    rest = F.ltrim(F.substr(text, F.length(quoted) + 2))
+    formed = text.startswith('"') & rest.startswith(":")
+    record = parse_tagged(F.substr(rest, F.lit(2)), fields)
     return lines.select(
-        F.regexp_extract(line, _LINE, 1).alias("key"), record.alias("__record")
+        F.when(formed, F.substr(quoted, F.lit(2))).alias("key"), record.alias("__record")
     ).select("key", "__record.*")
 
 
 def keyed_line_file(spark: SparkSession, path: str, fields: dict[str, str]) -> DataFrame:
-    return keyed_lines(spark.read.text(path), fields).filter(F.col("key") != "")
+    return keyed_lines(spark.read.text(path), fields).filter(F.col("key").isNotNull())
 
 
 def table(spark: SparkSession, name_or_path: str, format: str | None = None, **options: str) -> DataFrame:

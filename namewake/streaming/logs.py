@@ -10,7 +10,7 @@ from namewake.operators.changes import compact
 
 
 class FileLog:
-    """Changes in files, by query, micro-batch and entity; a replay writes over itself."""
+    """Changes in files, by query and micro-batch; a replay writes over itself."""
 
     def __init__(self, path: str, format: str = "parquet"):
         self.path, self.format = path.rstrip("/"), format
@@ -19,7 +19,6 @@ class FileLog:
         (
             batch.select("entity", "msg_key", "msg_value", "ord")
             .write.mode("overwrite")
-            .partitionBy("entity")
             .format(self.format)
             .save(f"{self.path}/query={query_id}/batch_id={batch_id}")
         )
@@ -27,12 +26,12 @@ class FileLog:
     def read(self, spark: SparkSession, ord_type: T.DataType, value: str = "string") -> DataFrame:
         schema = (
             T.StructType()
+            .add("entity", "string")
             .add("msg_key", "string")
             .add("msg_value", value)
             .add("ord", ord_type)
             .add("query", "string")
             .add("batch_id", "long")
-            .add("entity", "string")
         )
         return spark.read.schema(schema).format(self.format).load(self.path)
 

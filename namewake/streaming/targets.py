@@ -127,9 +127,7 @@ class PlanTarget:
         if names is None:
             return
         path = self._new_path("names")
-        latest_per_key(names, ["entity", "key"], ["seq"]).select(
-            "entity", "key", "name", "seq"
-        ).write.parquet(path)
+        names.write.parquet(path)
         self._commit(commits[-1]["seq"], "compacted", path)
 
     def fold(self) -> None:
@@ -147,12 +145,19 @@ class PlanTarget:
         return full + [c for c in commits if c["kind"] == "rows" and c["seq"] > after]
 
     def _names(self, commits: list[Row]) -> DataFrame | None:
+        """The last name per entity and key among those younger than the oldest rows."""
         oldest = min((c["seq"] for c in self._row_commits(commits)), default=-1)
         compacted = [c for c in commits if c["kind"] == "compacted"][-1:]
         after = max(oldest, compacted[0]["seq"] if compacted else -1)
         paths = [c["path"] for c in compacted if c["seq"] > oldest]
         paths += [c["path"] for c in commits if c["kind"] == "names" and c["seq"] > after]
-        return self.spark.read.schema(_NAMES).parquet(*paths) if paths else None
+        if not paths:
+            return None
+        names = self.spark.read.schema(_NAMES).parquet(*paths)
+        if len(paths) == 1:
+            return names
+        latest = latest_per_key(names, ["entity", "key"], ["seq"])
+        return settle(latest.select("entity", "key", "name", "seq"), "names")[0]
 
     def _rows(self, commits: list[Row]) -> DataFrame:
         parts = [
@@ -167,7 +172,6 @@ class PlanTarget:
         rows, names = self._rows(commits), self._names(commits)
         out, sizes = rows, {}
         if names is not None:
-            names, _ = settle(latest_per_key(names, ["entity", "key"], ["seq"]), "names")
             sizes = entity_sizes(names)
         for spec in self.specs:
             if wanted is not None and spec.plan_name not in wanted:
