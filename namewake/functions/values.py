@@ -2,34 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Type tags of Avro unions in JSON form.
-TAGS = ("string", "long", "int")
+_TAGGED = "struct<string:string,long:bigint,int:bigint>"
 
 
-def parse_tagged(text: Column | str, fields: dict[str, str]) -> Column:
-    """Parse a JSON record whose values may be plain or tagged with their type.
+def read_tagged(df: DataFrame, text: str, fields: dict[str, str]) -> DataFrame:
+    """Replace a column of JSON records by their fields, plain or tagged with a type.
 
     ``{"A": {"long": 5}, "B": "x"}`` and ``{"A": 5, "B": {"string": "x"}}`` give
-    the same struct. ``fields`` maps names to ``string`` or ``bigint``. Values that
-    do not fit are null, and so are all values of a broken record.
+    the same columns. ``fields`` maps names to ``string`` or ``bigint``. Values that
+    do not fit are null, and so are all values of a broken record. A record is
+    parsed once and read in either form as a whole, however many fields it has.
     """
     for name, kind in fields.items():
         if kind not in ("string", "bigint"):
             raise ValueError(f"field {name}: {kind} is neither string nor bigint")
-    record = F.try_parse_json(F.col(text) if isinstance(text, str) else text)
-    return F.struct(*(_value(record, n, t).alias(n) for n, t in fields.items()))
 
-
-def _value(record: Column, name: str, kind: str) -> Column:
-    path = f"$['{name}']"
-    tagged = F.coalesce(*(F.try_variant_get(record, f"{path}.{tag}", kind) for tag in TAGS))
-    is_object = F.try_variant_get(record, path, "map<string,variant>").isNotNull()
-    plain = F.when(~is_object, F.try_variant_get(record, path, kind))
-    return F.coalesce(tagged, plain)
+    def read_as(types: dict[str, str]) -> Column:
+        columns = ",".join(f"`{n}`:{t}" for n, t in types.items())
+        return F.try_variant_get("__json", "$", f"struct<{columns}>")
+
+    rest = [c for c in df.columns if c != text]
+    forms = df.select(*rest, F.try_parse_json(text).alias("__json")).select(
+        *rest,
+        read_as(dict.fromkeys(fields, _TAGGED)).alias("__tagged"),
+        read_as(fields).alias("__plain"),
+    )
+    tagged, plain = F.col("__tagged"), F.col("__plain")
+    return forms.select(
+        *rest, *(_either(tagged[n], plain[n], t).alias(n) for n, t in fields.items())
+    )
+
+
+def _either(tagged: Column, plain: Column, kind: str) -> Column:
+    number = F.coalesce(tagged["long"], tagged["int"])
+    if kind == "string":
+        value = F.coalesce(tagged["string"], number.cast("string"))
+    else:
+        value = F.coalesce(number, tagged["string"].try_cast("bigint"))
+    return F.when(tagged.isNotNull(), value).otherwise(plain)
 
 
 def parse_date(text: Column | str, pattern: str = "dd-MMM-yy") -> Column:

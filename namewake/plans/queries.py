@@ -192,27 +192,39 @@ def framed_value(spark: SparkSession, sf_dir: str) -> DataFrame:
 def union_unwrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers and texts, tagged in every second record."""
     events = tb.read(spark, sf_dir, "events")
-    k = F.get_json_object("props", "$.k")
-    tagged = F.format_string('{"K": {"long": %s}, "KIND": {"string": "%s"}}', k, "event_type")
-    plain = F.format_string('{"K": %s, "KIND": "%s"}', k, "event_type")
+    k = F.regexp_extract("props", "([0-9]+)", 1)
+    kind = F.concat(F.lit('"'), "event_type", F.lit('"'))
+    tagged = F.concat(
+        F.lit('{"K": {"long": '), k, F.lit('}, "KIND": {"string": '), kind, F.lit("}}")
+    )
+    plain = F.concat(F.lit('{"K": '), k, F.lit(', "KIND": '), kind, F.lit("}"))
     text = F.when(F.col("event_id") % 2 == 0, tagged).otherwise(plain)
-    return events.select(
-        "event_id",
-        values.parse_tagged(text, {"K": "bigint", "KIND": "string"}).alias("r"),
-    ).select("event_id", F.col("r.K").alias("k"), F.col("r.KIND").alias("kind"))
+    records = values.read_tagged(
+        events.select("event_id", text.alias("record")), "record", {"K": "bigint", "KIND": "string"}
+    )
+    return records.select("event_id", F.col("K").alias("k"), F.col("KIND").alias("kind"))
 
 
 def keyed_line_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as keyed JSON lines, parsed."""
     orders = tb.read(spark, sf_dir, "orders")
-    line = F.format_string(
-        '"%d":{"PLAN_ID":%d,"ADVERTISER_ID":{"long": %d}, "PLAN_NAME" :"%s","AGENCY_ID":null}',
+    line = F.concat(
+        F.lit('"'),
         "o_orderkey",
+        F.lit('":{"PLAN_ID":'),
         "o_orderkey",
+        F.lit(',"ADVERTISER_ID":{"long": '),
         "o_custkey",
+        F.lit('}, "PLAN_NAME" :"'),
         "o_orderpriority",
+        F.lit('","AGENCY_ID":null}'),
     )
-    fields = {"PLAN_ID": "bigint", "ADVERTISER_ID": "bigint", "PLAN_NAME": "string", "AGENCY_ID": "bigint"}
+    fields = {
+        "PLAN_ID": "bigint",
+        "ADVERTISER_ID": "bigint",
+        "PLAN_NAME": "string",
+        "AGENCY_ID": "bigint",
+    }
     return keyed_lines(orders.select(line.alias("value")), fields)
 
 

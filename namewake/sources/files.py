@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from namewake.entities import EntitySpec
-from namewake.functions.values import parse_tagged
+from namewake.functions.values import read_tagged
 from namewake.operators.changes import one_envelope
 
 def _one_path_glob(path: str) -> str:
@@ -59,10 +59,11 @@ def keyed_lines(lines: DataFrame, fields: dict[str, str], line: str = "value") -
     quoted = F.substring_index(text, '"', 2)
     rest = F.ltrim(F.substr(text, F.length(quoted) + 2))
     formed = text.startswith('"') & rest.startswith(":")
-    record = parse_tagged(F.substr(rest, F.lit(2)), fields)
-    return lines.select(
-        F.when(formed, F.substr(quoted, F.lit(2))).alias("key"), record.alias("__record")
-    ).select("key", "__record.*")
+    records = lines.select(
+        F.when(formed, F.substr(quoted, F.lit(2))).alias("key"),
+        F.substr(rest, F.lit(2)).alias("__record"),
+    )
+    return read_tagged(records, "__record", fields)
 
 
 def keyed_line_file(spark: SparkSession, path: str, fields: dict[str, str]) -> DataFrame:
