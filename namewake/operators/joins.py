@@ -63,7 +63,7 @@ def _salted_join(
     left = salted_fact.drop(_HOT, _SALTS).withColumnRenamed(_SALT, "__fact_salt")
     right = salted_lookup.drop(_HOT, _SALTS)
     on = (left[fk] == right[key]) & (F.col("__fact_salt") == right[_SALT])
-    return left.join(right, on, how).drop("__fact_salt", _SALT)
+    return left.join(right.hint("merge"), on, how).drop("__fact_salt", _SALT)
 
 
 def lookup_join(
@@ -98,7 +98,7 @@ def lookup_join(
         if found.rows:
             joined = _salted_join(fact, lookup, fk, key, how, hot, row_id)
         else:
-            joined = fact.join(lookup, fact[fk] == lookup[key], how)
+            joined = fact.join(lookup.hint("merge"), fact[fk] == lookup[key], how)
     return joined.drop(key)
 
 

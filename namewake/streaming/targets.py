@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from namewake.entities import EntitySpec
 from namewake.operators.changes import latest_per_key
-from namewake.operators.propagate import matched_rows, merge_names
+from namewake.operators.propagate import few_keys, matched_rows, merge_names
 from namewake.scratch import Size, row_bytes, settle
 from namewake.sources.files import table
 
@@ -137,6 +137,17 @@ class PlanTarget:
         self._merged(commits, None).write.parquet(path)
         self._commit(commits[-1]["seq"], "full", path)
 
+    def obsolete(self) -> list[str]:
+        """Paths below the target that no read uses any more, for the owner to remove.
+
+        A reader that started earlier may still need them for a while.
+        """
+        commits = self.commits()
+        used = {c["path"] for c in self._row_commits(commits)}
+        used |= set(self._name_paths(commits))
+        own = (c["path"] for c in commits if c["path"].startswith(self.path))
+        return [path for path in own if path not in used]
+
     # reading
 
     def _row_commits(self, commits: list[Row]) -> list[Row]:
@@ -144,13 +155,17 @@ class PlanTarget:
         after = full[0]["seq"] if full else -1
         return full + [c for c in commits if c["kind"] == "rows" and c["seq"] > after]
 
-    def _names(self, commits: list[Row]) -> DataFrame | None:
-        """The last name per entity and key among those younger than the oldest rows."""
+    def _name_paths(self, commits: list[Row]) -> list[str]:
         oldest = min((c["seq"] for c in self._row_commits(commits)), default=-1)
         compacted = [c for c in commits if c["kind"] == "compacted"][-1:]
         after = max(oldest, compacted[0]["seq"] if compacted else -1)
         paths = [c["path"] for c in compacted if c["seq"] > oldest]
         paths += [c["path"] for c in commits if c["kind"] == "names" and c["seq"] > after]
+        return paths
+
+    def _names(self, commits: list[Row]) -> DataFrame | None:
+        """The last name per entity and key among those younger than the oldest rows."""
+        paths = self._name_paths(commits)
         if not paths:
             return None
         names = self.spark.read.schema(_NAMES).parquet(*paths)
@@ -227,10 +242,10 @@ class KeyedStoreTarget:
         for spec in self.specs:
             if spec.entity not in sizes:
                 continue
-            plan = self.rows()
-            hit = matched_rows(
-                plan, _names_of(names, spec, plan), spec, size=sizes[spec.entity]
-            )
+            plan, size = self.rows(), sizes[spec.entity]
+            latest = _names_of(names, spec, plan)
+            plan = few_keys(plan, latest, spec.fk, spec.key, size)
+            hit = matched_rows(plan, latest, spec, size=size)
             writer = hit.write.mode("append").format(self.format).options(**self.options)
             writer.save(self.path) if self.path else writer.save()
         return True
