@@ -21,7 +21,7 @@ def _one_path_glob(path: str) -> str:
 def file_stream(
     spark: SparkSession,
     path: str,
-    schema: T.StructType,
+    schema: T.StructType | str,
     format: str = "parquet",
     max_files: int | None = None,
 ) -> DataFrame:
