@@ -90,7 +90,7 @@ def lookup_join(
     """
     spark = fact.sparkSession
     if size is None:
-        size = measure(lookup)
+        size = measure(lookup, broadcast_limit(spark))
     if fits_broadcast(spark, size):
         joined = fact.join(F.broadcast(lookup), fact[fk] == lookup[key], how)
     else:
@@ -102,17 +102,23 @@ def lookup_join(
     return joined.drop(key)
 
 
-def matched_keys(
-    fact: DataFrame, lookup: DataFrame, fk: str, key: str, size: Size | None = None
+def without_match(
+    lookup: DataFrame, fact: DataFrame, fk: str, key: str, size: Size | None = None
 ) -> DataFrame:
-    """The lookup's keys that occur in ``fact``, once each.
+    """Lookup rows whose key does not occur in ``fact``.
 
-    Duplicates fall away before the shuffle, so frequent keys stay cheap.
+    The keys that do occur are found first, once each. Duplicates fall away before
+    the shuffle, so frequent keys stay cheap. They are no more than the lookup's
+    keys, and broadcast where those may be.
     """
     keys = lookup.select(F.col(key).alias("__wanted"))
+    limit = broadcast_limit(fact.sparkSession)
     if size is None:
-        size = measure(keys)
+        size = measure(keys, limit)
     found = fact.select(F.col(fk).alias(key))
-    if fits_broadcast(fact.sparkSession, size):
-        found = found.join(F.broadcast(keys), F.col(key) == F.col("__wanted"), "left_semi")
-    return found.distinct()
+    if size.bytes <= limit:
+        wanted = F.col(key) == F.col("__wanted")
+        found = F.broadcast(found.join(F.broadcast(keys), wanted, "left_semi").distinct())
+    else:
+        found = found.distinct().hint("merge")
+    return lookup.join(found, key, "left_anti")

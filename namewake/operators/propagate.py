@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from namewake.entities import EntitySpec
-from namewake.operators.joins import fits_broadcast, lookup_join, matched_keys
+from namewake.operators.joins import broadcast_limit, fits_broadcast, lookup_join, without_match
 from namewake.scratch import Size, measure_all, settle
 
 _KEY, _NAME, _HIT = "__key", "__name", "__hit"
@@ -74,7 +74,7 @@ def unmatched_updates(
     size: Size | None = None,
 ) -> DataFrame:
     """Updates whose key no plan row carries."""
-    return latest.join(matched_keys(plan, latest, fk, key, size), key, "left_anti")
+    return without_match(latest, plan, fk, key, size)
 
 
 def merge_names(
@@ -148,14 +148,20 @@ def star_enrich(
     """Add the names of several dimensions at read time.
 
     Unlike propagation this shows the current name to every row, however late the
-    row came. All dimensions are measured in one job. Those that fit are broadcast,
+    row came. All dimensions are measured together. Those that fit are broadcast,
     nested ones straight onto the fact; one that does not fit gets its nested names
     first and is joined then. Large ones go first, so that columns added by the
-    others are not shuffled.
+    others are not shuffled. ``row_id`` counts only where something does not fit; it
+    may name metadata of the fact's files.
     """
+    spark = fact.sparkSession
     tables = [d for top in dimensions for d in top.with_nested()]
-    sizes = {id(d.rows): s for d, s in zip(tables, measure_all([d.lookup() for d in tables]))}
-    return _enrich(fact, dimensions, row_id, sizes)
+    measured = measure_all([d.lookup() for d in tables], broadcast_limit(spark))
+    sizes = {id(d.rows): size for d, size in zip(tables, measured)}
+    if all(fits_broadcast(spark, size) for size in measured):
+        return _enrich(fact, dimensions, row_id, sizes)
+    told_apart = fact.withColumn("__row", F.xxhash64(*row_id))
+    return _enrich(told_apart, dimensions, ["__row"], sizes).drop("__row")
 
 
 def _enrich(

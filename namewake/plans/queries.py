@@ -153,14 +153,13 @@ def star_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_partkey",
         "l_suppkey",
         "l_quantity",
-        F.col("_metadata.row_index").alias("__row"),
     )
     dimensions = [
         dim("part", "l_partkey", "p_partkey", {"p_name": "p_name"}),
         dim("supplier", "l_suppkey", "s_suppkey", {"s_name": "s_name"}, place("s_nationkey", "supp")),
         dim("orders", "l_orderkey", "o_orderkey", {"o_orderpriority": "o_orderpriority"}, customer),
     ]
-    return pr.star_enrich(lines, dimensions, row_id=["__row"]).drop("__row")
+    return pr.star_enrich(lines, dimensions, row_id=["_metadata.row_index"])
 
 
 # Messages, text and schemas

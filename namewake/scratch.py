@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -42,37 +42,52 @@ class Size:
     bytes: int
 
 
-def row_bytes(schema: T.StructType) -> Column:
-    """Bytes of one row: fixed-width columns by type, text and binary as counted."""
-    fixed, counted = 24, []
+_ROW, _CELL = 24, 16
+
+
+def _fixed_bytes(schema: T.StructType) -> int:
+    """Bytes of a row without its text, the least a row can take."""
     for field in schema.fields:
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            fixed += 16
-            counted.append(F.coalesce(F.octet_length(F.col(field.name)), F.lit(0)))
-        elif isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
+        if isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
             raise TypeError(f"flatten column {field.name} before measuring it")
-        else:
-            fixed += 16
-    return sum((c.cast("bigint") for c in counted), F.lit(fixed).cast("bigint"))
-
-
-def measure_all(tables: Sequence[DataFrame]) -> list[Size]:
-    """Count rows and bytes of several tables in one job."""
-    counted = [
-        t.agg(
-            F.lit(i).alias("i"),
-            F.count(F.lit(1)).alias("rows"),
-            F.sum(row_bytes(t.schema)).alias("bytes"),
-        )
-        for i, t in enumerate(tables)
+    return _ROW + _CELL * len(schema.fields)
+
+
+def row_bytes(schema: T.StructType) -> Column:
+    """Bytes of one row: fixed-width columns by type, text and binary as counted."""
+    text = [
+        F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)).cast("bigint")
+        for f in schema.fields
+        if isinstance(f.dataType, (T.StringType, T.BinaryType))
     ]
-    rows = reduce(DataFrame.unionAll, counted).collect() if counted else []
-    return [Size(r["rows"], r["bytes"] or 0) for r in sorted(rows, key=lambda r: r["i"])]
+    return sum(text, F.lit(_fixed_bytes(schema)).cast("bigint"))
+
+
+def _counts(tables: Sequence[DataFrame], what: Callable[[DataFrame], Column]) -> list[int]:
+    if not tables:
+        return []
+    one_each = [t.agg(F.lit(i).alias("i"), what(t).alias("n")) for i, t in enumerate(tables)]
+    return [r["n"] or 0 for r in sorted(reduce(DataFrame.unionAll, one_each).collect())]
+
+
+def measure_all(tables: Sequence[DataFrame], enough: int) -> list[Size]:
+    """Count rows and bytes of several tables, all in one job or two.
+
+    Rows are counted first, for which files need not be read beyond their footers.
+    Where these alone make more than ``enough`` bytes, the text is not looked at,
+    and the bytes are a lower bound.
+    """
+    rows = _counts(tables, lambda t: F.count(F.lit(1)))
+    least = [n * _fixed_bytes(t.schema) for n, t in zip(rows, tables)]
+    near = [i for i, n in enumerate(least) if n <= enough]
+    exact = _counts([tables[i] for i in near], lambda t: F.sum(row_bytes(t.schema)))
+    sizes = dict(enumerate(least)) | dict(zip(near, exact))
+    return [Size(n, sizes[i]) for i, n in enumerate(rows)]
 
 
-def measure(df: DataFrame) -> Size:
-    """Count rows and bytes of ``df``."""
-    return measure_all([df])[0]
+def measure(df: DataFrame, enough: int) -> Size:
+    """Count rows and bytes of ``df``, these only as far as they matter."""
+    return measure_all([df], enough)[0]
 
 
 def settle(df: DataFrame, purpose: str = "settled") -> tuple[DataFrame, Size]:

@@ -60,14 +60,18 @@ def batch_handler(
     """Copy a micro-batch to the log, then apply it; both may be repeated safely.
 
     With ``report``, updates that match no plan row are written there. That scans
-    the foreign keys of the plan once per micro-batch.
+    the foreign keys of the plan once per micro-batch. A micro-batch is kept, in
+    memory and on disk, only where more than the target needs it; the source's
+    options set how large it may be.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         context = batch.sparkSession.sparkContext
         # The query id stays with the checkpoint, so batch ids are unique under it.
         query_id = context.getLocalProperty("sql.streaming.queryId")
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        kept = log is not None or report is not None
+        if kept:
+            batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if log is not None:
                 log.write(batch, query_id, batch_id)
@@ -78,7 +82,8 @@ def batch_handler(
                 )
             target.put_names(names, query_id, batch_id)
         finally:
-            batch.unpersist()
+            if kept:
+                batch.unpersist()
 
     return handle
 
