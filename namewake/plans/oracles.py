@@ -76,6 +76,19 @@ def _all_entities() -> str:
     return f"{_LAST_U}, {_plan()} SELECT p.PLAN_ID, p.op_type, {names} FROM plan p {joins}"
 
 
+_NARROW = (
+    f"{_LAST_U} SELECT o_orderkey, o_orderstatus, o_custkey, u.name AS customer_name "
+    "FROM orders JOIN last_u u ON o_custkey = u.key"
+)
+_BOTH = (
+    f"WITH {_changes()}, {_last()}, {_changes(key=_PRIORITY, alias='chg_p')}, "
+    f"{_last('chg_p', 'last_p')} SELECT {_ORDER}, "
+    f"CASE WHEN u.key IS NOT NULL THEN u.name ELSE {_OLD} END AS customer_name, "
+    "CASE WHEN p.key IS NOT NULL THEN p.name END AS priority_name "
+    "FROM orders LEFT JOIN last_u u ON o_custkey = u.key "
+    "LEFT JOIN last_p p ON o_orderpriority = p.key"
+)
+
 ORACLES: dict[str, str] = {
     "change_extract": f"WITH {_changes()} SELECT key, op_type, name FROM chg",
     "update_filter": f"WITH {_changes()} SELECT key, op_type, name FROM chg WHERE op_type = 'U'",
@@ -91,10 +104,8 @@ ORACLES: dict[str, str] = {
     "key_lookup": (
         f"SELECT {_ORDER}, {_OLD} AS customer_name FROM orders WHERE o_custkey = 42"
     ),
-    "propagate_narrow": (
-        f"{_LAST_U} SELECT o_orderkey, o_orderstatus, o_custkey, u.name AS customer_name "
-        "FROM orders JOIN last_u u ON o_custkey = u.key"
-    ),
+    "propagate_narrow": _NARROW,
+    "stream_partial_rows": _NARROW,
     "propagate_wide": (
         f"{_LAST_U} SELECT {_ORDER}, u.name AS customer_name "
         "FROM orders JOIN last_u u ON o_custkey = u.key"
@@ -105,14 +116,8 @@ ORACLES: dict[str, str] = {
     ),
     "upsert_target": _upsert(),
     "upsert_null_name": _upsert(name=f"CASE WHEN {_K} < 10 THEN NULL ELSE {_NAME} END"),
-    "multi_entity": (
-        f"WITH {_changes()}, {_last()}, {_changes(key=_PRIORITY, alias='chg_p')}, "
-        f"{_last('chg_p', 'last_p')} SELECT {_ORDER}, "
-        f"CASE WHEN u.key IS NOT NULL THEN u.name ELSE {_OLD} END AS customer_name, "
-        "CASE WHEN p.key IS NOT NULL THEN p.name END AS priority_name "
-        "FROM orders LEFT JOIN last_u u ON o_custkey = u.key "
-        "LEFT JOIN last_p p ON o_orderpriority = p.key"
-    ),
+    "multi_entity": _BOTH,
+    "stream_multi_entity": _BOTH,
     "star_enrich": (
         "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, p_name, s_name, "
         "sn.n_name AS supp_nation, sr.r_name AS supp_region, o_orderpriority, c_name, "
@@ -147,6 +152,14 @@ ORACLES: dict[str, str] = {
     "select_star_view": (
         f"SELECT event_id, {_TS} AS ts, user_id, event_type, value, props FROM events"
     ),
+    "stream_rekey": (
+        "SELECT event_type AS key, event_id, user_id, event_type, value, props FROM events"
+    ),
+    "stream_report": (
+        f"WITH {_changes(key='user_id * 11')}, {_last()} "
+        "SELECT 'customer' AS entity, CAST(key AS VARCHAR) AS key, name FROM last_u u "
+        "WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = u.key)"
+    ),
     "stream_propagate": _upsert(),
     "stream_resume": _upsert(),
     "stream_late_rows": _upsert(when="u.key IS NOT NULL AND o_orderkey % 2 = 0"),

@@ -19,9 +19,9 @@ from namewake.scratch import settle, shared_folder
 from namewake.sources.files import keyed_lines
 from namewake.sources.topics import declare_stream, decoded
 from namewake.streaming.feeds import tag_feed, union_feeds
-from namewake.streaming.job import copy_stream, start
+from namewake.streaming.job import Target, copy_stream, start
 from namewake.streaming.logs import FileLog, compact_log
-from namewake.streaming.targets import PlanTarget
+from namewake.streaming.targets import KeyedStoreTarget, PlanTarget
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -281,6 +281,16 @@ def select_star_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{out}/rows")
 
 
+def stream_rekey(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A declared stream, written on under another key."""
+    events = tb.stream(spark, sf_dir, "events").drop("ts")
+    declare_stream(events, "events_to_rekey")
+    out = shared_folder(spark, "rekey")
+    keyed = ch.rekey(spark.sql("SELECT * FROM events_to_rekey"), "event_type")
+    copy_stream(keyed, f"{out}/rows", f"{out}/checkpoint")
+    return spark.read.parquet(f"{out}/rows")
+
+
 def _customer_target(spark: SparkSession, sf_dir: str, folder: str) -> PlanTarget:
     target = PlanTarget.create(spark, f"{folder}/target", [tb.CUSTOMER])
     target.append(tb.named_orders(tb.read(spark, sf_dir, "orders")))
@@ -291,7 +301,7 @@ def _customer_feed(events: DataFrame) -> DataFrame:
     return tag_feed(tb.customer_changes(events), tb.CUSTOMER, tb.ORDER)
 
 
-def _finish(feed: DataFrame, target: PlanTarget, folder: str, **options) -> None:
+def _finish(feed: DataFrame, target: Target, folder: str, **options) -> None:
     checkpoint = f"{folder}/checkpoint"
     start(feed, target, checkpoint, available_now=True, **options).awaitTermination()
 
@@ -354,6 +364,44 @@ def stream_all_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read(["PLAN_ID", "op_type", *(s.plan_name for s in specs)])
 
 
+def stream_multi_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two dimensions, one with a text key, in one query."""
+    folder = shared_folder(spark, "stream-multi-entity")
+    target = PlanTarget.create(spark, f"{folder}/target", [tb.CUSTOMER, tb.PRIORITY])
+    target.append(tb.named_orders(tb.read(spark, sf_dir, "orders")))
+    by_priority = tb.priority_changes(tb.stream(spark, sf_dir, "events"))
+    feeds = [
+        _customer_feed(tb.stream(spark, sf_dir, "events")),
+        tag_feed(by_priority, tb.PRIORITY, tb.ORDER),
+    ]
+    _finish(union_feeds(feeds), target, folder)
+    return target.read([*ORDER_COLUMNS, "priority_name"])
+
+
+def stream_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Updates no order took, as the job reports them."""
+    folder = shared_folder(spark, "stream-report")
+    target = _customer_target(spark, sf_dir, folder)
+    changes = tb.customer_changes(tb.stream(spark, sf_dir, "events"), F.col("user_id") * 11)
+    feed = tag_feed(changes, tb.CUSTOMER, tb.ORDER)
+    _finish(feed, target, folder, report=f"{folder}/report")
+    return spark.read.parquet(f"{folder}/report").select("entity", "key", "name")
+
+
+def stream_partial_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the job appends to a store that upserts partial rows."""
+    folder = shared_folder(spark, "stream-partial-rows")
+    store = f"{folder}/store"
+    tb.named_orders(tb.read(spark, sf_dir, "orders")).write.parquet(store)
+    target = KeyedStoreTarget(spark, [tb.CUSTOMER], "parquet", store, mergeSchema="true")
+    _finish(_customer_feed(tb.stream(spark, sf_dir, "events")), target, folder)
+    return (
+        target.rows()
+        .filter(F.col("o_totalprice").isNull())
+        .select("o_orderkey", "o_orderstatus", "o_custkey", "customer_name")
+    )
+
+
 def _entity_log(spark: SparkSession, sf_dir: str, spec: EntitySpec) -> DataFrame:
     folder = shared_folder(spark, "stream-log")
     target = PlanTarget.create(spark, f"{folder}/target", [spec])
@@ -406,11 +454,15 @@ QUERIES: dict[str, Query] = {
         time_parse,
         avro_schema_to_struct,
         select_star_view,
+        stream_rekey,
         stream_propagate,
         stream_resume,
         stream_late_rows,
         stream_fold,
         stream_all_entities,
+        stream_multi_entity,
+        stream_report,
+        stream_partial_rows,
         change_log,
         change_log_compacted,
     )
