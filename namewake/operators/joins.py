@@ -12,6 +12,9 @@ from namewake.scratch import Size, measure, settle
 BROADCAST_BYTES = "spark.namewake.broadcastBytes"
 BROADCAST_BYTES_DEFAULT = 64 << 20
 
+# Small pieces even out what hashing them to tasks makes uneven.
+PIECES_PER_TASK = 4
+
 _SALT, _SALTS, _HOT = "__salt", "__salts", "__hot_key"
 
 
@@ -26,18 +29,19 @@ def fits_broadcast(spark: SparkSession, size: Size) -> bool:
 def hot_keys(keys: DataFrame) -> DataFrame:
     """Keys of a one-column table too frequent for one shuffle task, with salt counts.
 
-    A key is hot when it holds more rows than an average task would get. At most
-    as many keys as there are shuffle partitions can be, which bounds the result.
-    The null key is treated like any other.
+    A key is hot when it holds more rows than a quarter of an average task's share,
+    and is split into pieces of about that many. At most four times as many keys as
+    there are shuffle partitions can be hot, which bounds the result. The null key
+    is treated like any other.
     """
     spark, key = keys.sparkSession, keys.columns[0]
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    fair_share = keys.count() // tasks + 1
+    pieces = PIECES_PER_TASK * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    piece = keys.count() // pieces + 1
     return (
         keys.groupBy(F.col(key).alias(_HOT))
         .count()
-        .filter(F.col("count") > fair_share)
-        .select(_HOT, F.ceil(F.col("count") / fair_share).cast("int").alias(_SALTS))
+        .filter(F.col("count") > piece)
+        .select(_HOT, F.ceil(F.col("count") / piece).cast("int").alias(_SALTS))
     )
 
 

@@ -67,7 +67,7 @@ def test_hot_rows_are_spread(spark, no_broadcast):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert sum(r["count"] for r in loads) == 30000
-    assert max(r["count"] for r in loads) < 30000 / 3
+    assert max(r["count"] for r in loads) < 2 * 30000 / 8
 
 
 def test_plain_shuffle_join_without_hot_keys(spark, no_broadcast):
@@ -81,9 +81,9 @@ def test_hot_keys_are_few(spark):
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     hot = {r["__hot_key"]: r["__salts"] for r in joins.hot_keys(skewed(spark).select("fk")).collect()}
     assert set(hot) == {7, None}
-    assert sum(hot.values()) <= 2 * tasks
-    even = spark.range(1000).select((F.col("id") % tasks).alias("fk"))
-    assert joins.hot_keys(even).count() <= tasks
+    assert tasks < sum(hot.values()) <= joins.PIECES_PER_TASK * tasks + len(hot)
+    even = spark.range(1000).select((F.col("id") % (5 * tasks)).alias("fk"))
+    assert joins.hot_keys(even).count() <= joins.PIECES_PER_TASK * tasks
 
 
 def test_merge_through_the_salted_join(spark, no_broadcast):
