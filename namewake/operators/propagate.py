@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
@@ -119,6 +119,7 @@ class Dimension:
     key: str
     columns: dict[str, str]
     dimensions: tuple[Dimension, ...] = ()
+    size: Size | None = None
 
     def with_nested(self) -> list[Dimension]:
         return [self, *(n for d in self.dimensions for n in d.with_nested())]
@@ -126,6 +127,11 @@ class Dimension:
     def names(self) -> list[str]:
         return [n for d in self.with_nested() for n in d.columns.values()]
 
+    def sized(self, sizes: Iterator[Size]) -> Dimension:
+        """The same with sizes, given in the order of ``with_nested``."""
+        size = next(sizes)
+        return replace(self, size=size, dimensions=tuple(d.sized(sizes) for d in self.dimensions))
+
     def inner_fk(self, nested: Dimension) -> str:
         return f"__{self.fk}__{nested.fk}"
 
@@ -157,30 +163,27 @@ def star_enrich(
     spark = fact.sparkSession
     tables = [d for top in dimensions for d in top.with_nested()]
     measured = measure_all([d.lookup() for d in tables], broadcast_limit(spark))
-    sizes = {id(d.rows): size for d, size in zip(tables, measured)}
+    sizes = iter(measured)
+    dimensions = [d.sized(sizes) for d in dimensions]
     if all(fits_broadcast(spark, size) for size in measured):
-        return _enrich(fact, dimensions, row_id, sizes)
+        return _enrich(fact, dimensions, row_id)
     told_apart = fact.withColumn("__row", F.xxhash64(*row_id))
-    return _enrich(told_apart, dimensions, ["__row"], sizes).drop("__row")
+    return _enrich(told_apart, dimensions, ["__row"]).drop("__row")
 
 
 def _enrich(
-    fact: DataFrame,
-    dimensions: Sequence[Dimension],
-    row_id: Sequence[Column | str],
-    sizes: dict[int, Size],
+    fact: DataFrame, dimensions: Sequence[Dimension], row_id: Sequence[Column | str]
 ) -> DataFrame:
     out, spark = fact, fact.sparkSession
-    for d in sorted(dimensions, key=lambda d: sizes[id(d.rows)].bytes, reverse=True):
-        lookup, size, key = d.lookup(), sizes[id(d.rows)], f"__{d.fk}"
-        flat = all(fits_broadcast(spark, sizes[id(n.rows)]) for n in d.with_nested())
+    for d in sorted(dimensions, key=lambda d: d.size.bytes, reverse=True):
+        lookup, size, key = d.lookup(), d.size, f"__{d.fk}"
+        flat = all(fits_broadcast(spark, n.size) for n in d.with_nested())
         if d.dimensions and not flat:
-            enriched = _enrich(lookup, d.below(), [key], sizes).select(key, *d.names())
+            lookup = _enrich(lookup, d.below(), [key]).select(key, *d.names())
             if fits_broadcast(spark, size):
-                enriched, size = settle(enriched, "dimension")
-            lookup = enriched
+                lookup, size = settle(lookup, "dimension")
         out = lookup_join(out, lookup, d.fk, key, row_id=row_id, size=size, base=fact)
         if d.dimensions and flat:
-            out = _enrich(out, d.below(), row_id, sizes)
+            out = _enrich(out, d.below(), row_id)
     names = [n for d in dimensions for n in d.names()]
     return out.select(*fact.columns, *names)

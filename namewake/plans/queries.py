@@ -356,10 +356,8 @@ def stream_all_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     specs = list(ENTITIES.values())
     target = PlanTarget.create(spark, f"{folder}/target", specs)
     target.append(tb.plan_table(tb.read(spark, sf_dir, "orders")))
-    feeds = [
-        tag_feed(tb.entity_changes(tb.stream(spark, sf_dir, "events"), s), s, ["pos", "op_ts"])
-        for s in specs
-    ]
+    events = tb.stream(spark, sf_dir, "events")
+    feeds = [tag_feed(tb.entity_changes(events, s), s, ["pos", "op_ts"]) for s in specs]
     _finish(union_feeds(feeds), target, folder)
     return target.read(["PLAN_ID", "op_type", *(s.plan_name for s in specs)])
 
@@ -369,10 +367,10 @@ def stream_multi_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "stream-multi-entity")
     target = PlanTarget.create(spark, f"{folder}/target", [tb.CUSTOMER, tb.PRIORITY])
     target.append(tb.named_orders(tb.read(spark, sf_dir, "orders")))
-    by_priority = tb.priority_changes(tb.stream(spark, sf_dir, "events"))
+    events = tb.stream(spark, sf_dir, "events")
     feeds = [
-        _customer_feed(tb.stream(spark, sf_dir, "events")),
-        tag_feed(by_priority, tb.PRIORITY, tb.ORDER),
+        _customer_feed(events),
+        tag_feed(tb.priority_changes(events), tb.PRIORITY, tb.ORDER),
     ]
     _finish(union_feeds(feeds), target, folder)
     return target.read([*ORDER_COLUMNS, "priority_name"])

@@ -103,6 +103,9 @@ def start(
     a key appear in the query's progress under ``changes``. With ``available_now``
     it ends when all input present is done, otherwise it runs until stopped.
     """
+    if log is None:
+        # A micro-batch is computed with all its columns, so unused ones go before.
+        feed = feed.drop("msg_key", "msg_value")
     observed = feed.observe(
         "changes",
         F.count(F.lit(1)).alias("changes"),

@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from namewake.entities import EntitySpec
@@ -29,10 +29,11 @@ def entity_sizes(names: DataFrame) -> dict[str, Size]:
 
 
 def _names_of(
-    names: DataFrame, spec: EntitySpec, plan: DataFrame, *extra: str
+    names: DataFrame, spec: EntitySpec, plan: DataFrame, *extra: Column
 ) -> DataFrame:
-    key = F.col("key").cast(plan.schema[spec.fk].dataType)
-    return names.filter(F.col("entity") == spec.entity).select(
+    """One entity's names by key; a key the plan's type cannot hold has no rows there."""
+    key = F.col("key").try_cast(plan.schema[spec.fk].dataType)
+    return names.filter((F.col("entity") == spec.entity) & key.isNotNull()).select(
         key.alias(spec.key), F.col("name").alias(spec.name), *extra
     )
 
