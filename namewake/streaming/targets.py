@@ -51,19 +51,31 @@ class PlanTarget:
     What counts is listed in ``commits``, one small file each, written after the data
     it names: files of a failed attempt are never seen, and a micro-batch committed
     once is skipped when it is replayed. One process at a time adds names and rows;
-    ``fold`` and ``compact_names`` may run beside it.
+    ``fold`` and ``compact_names`` may run beside it. Names are compacted whenever
+    ``compact_after`` micro-batches are pending.
     """
 
-    def __init__(self, spark: SparkSession, path: str, specs: Iterable[EntitySpec]):
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        specs: Iterable[EntitySpec],
+        compact_after: int = 100,
+    ):
         self.spark, self.path, self.specs = spark, path.rstrip("/"), tuple(specs)
+        self.compact_after = compact_after
         self._known: list[Row] | None = None
 
     @classmethod
     def create(
-        cls, spark: SparkSession, path: str, specs: Iterable[EntitySpec]
+        cls,
+        spark: SparkSession,
+        path: str,
+        specs: Iterable[EntitySpec],
+        compact_after: int = 100,
     ) -> PlanTarget:
         """Open the target, made anew if there is none."""
-        target = cls(spark, path, specs)
+        target = cls(spark, path, specs, compact_after)
         none = spark.range(0).select(F.col("id").alias("seq"))
         none.write.mode("ignore").json(f"{target.path}/commits")
         return target
@@ -72,7 +84,8 @@ class PlanTarget:
 
     def commits(self) -> list[Row]:
         """All commits, as stored now."""
-        listed = self.spark.read.schema(_COMMIT).json(f"{self.path}/commits").collect()
+        stored = self.spark.read.schema(_COMMIT).option("ignoreMissingFiles", True)
+        listed = stored.json(f"{self.path}/commits").select("*", "_metadata.file_path").collect()
         self._known = sorted(listed, key=lambda c: c["seq"])
         return self._known
 
@@ -119,6 +132,8 @@ class PlanTarget:
             path
         )
         self._commit(seq, "names", path, query_id, batch_id)
+        if len(self._name_paths(self._own_commits())) > self.compact_after:
+            self.compact_names()
         return True
 
     def compact_names(self) -> None:
@@ -139,15 +154,20 @@ class PlanTarget:
         self._commit(commits[-1]["seq"], "full", path)
 
     def obsolete(self) -> list[str]:
-        """Paths below the target that no read uses any more, for the owner to remove.
+        """Files and folders of the target that are needed no more, for the owner to remove.
 
-        A reader that started earlier may still need them for a while.
+        These are data that no read uses and commits that say nothing any more; they
+        may go in any order. A reader that started earlier may still use the data.
         """
         commits = self.commits()
         used = {c["path"] for c in self._row_commits(commits)}
         used |= set(self._name_paths(commits))
-        own = (c["path"] for c in commits if c["path"].startswith(self.path))
-        return [path for path in own if path not in used]
+        # A query can only replay its last micro-batch, and numbering goes on.
+        telling = {c["query"]: c["file_path"] for c in commits if c["query"]}
+        telling = {*telling.values(), *(c["file_path"] for c in commits[-1:])}
+        idle = [c for c in commits if c["path"] not in used]
+        own = [c["path"] for c in idle if c["path"].startswith(self.path)]
+        return own + [c["file_path"] for c in idle if c["file_path"] not in telling]
 
     # reading
 

@@ -1,6 +1,7 @@
 """Every registered query against an independent SQL engine, on whole tables."""
 
 import math
+import os
 import sys
 from pathlib import Path
 
@@ -10,7 +11,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 import __spark_entry__ as entry  # noqa: E402
 
-SF = "/root/testdata/sf0.01"
+SF = os.environ.get("NAMEWAKE_SF_DIR", "/root/testdata/sf0.01")
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"

@@ -1,5 +1,7 @@
 import json
 import random
+import shutil
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -54,6 +56,12 @@ class Run:
         return self.log.read(self.spark, ORD)
 
 
+def remove(paths):
+    for path in paths:
+        path = Path(path.removeprefix("file://").removeprefix("file:"))
+        shutil.rmtree(path) if path.is_dir() else path.unlink()
+
+
 def pieces(rows, n):
     size = -(-len(rows) // n)
     return [rows[i : i + size] for i in range(0, len(rows), size)]
@@ -163,10 +171,33 @@ def test_rows_that_arrive_later_are_left_alone(spark, tmp_path):
     run.go()
     again = fold([dict(zip(plan[0], t)) for t in want], [(1, "U", "newest", 0)])
     assert sorted_rows(run.target.read()) == again
+    # what is named obsolete can go, and a later batch finds its way
     kinds = {c["path"]: c["kind"] for c in run.target.commits()}
-    assert sorted(kinds[p] for p in run.target.obsolete()) == [
+    gone = run.target.obsolete()
+    assert sorted(kinds[p] for p in gone if p in kinds) == [
         "compacted", "names", "names", "rows", "rows",
     ]
+    assert len(gone) == 10
+    remove(gone)
+    run.target = PlanTarget(spark, run.target.path, [SPEC])
+    assert sorted_rows(run.target.read()) == again
+    run.arrive([(2, "U", "last", 2000)])
+    run.go()
+    once_more = fold([dict(zip(plan[0], t)) for t in again], [(2, "U", "last", 0)])
+    assert sorted_rows(run.target.read()) == once_more
+
+
+def test_names_are_compacted_now_and_then(spark, tmp_path):
+    plan = plan_rows(40, 4, random.Random(2))
+    run = Run(spark, tmp_path, plan)
+    run.target.compact_after = 3
+    changes = [(i % 4, "U", f"n{i}", i) for i in range(6)]
+    for change in changes:
+        run.arrive([change])
+        run.go()
+    kinds = [c["kind"] for c in run.target.commits()]
+    assert kinds.count("compacted") == 1 and kinds.count("names") == 6
+    assert sorted_rows(run.target.read()) == fold(plan, changes)
 
 
 def test_fold_beside_the_writer_loses_nothing(spark, tmp_path):
