@@ -131,6 +131,13 @@ ORACLES: dict[str, str] = {
         "LEFT JOIN nation cn ON c_nationkey = cn.n_nationkey "
         "LEFT JOIN region cr ON cn.n_regionkey = cr.r_regionkey"
     ),
+    "star_from_feed": (
+        f"WITH {_changes()}, {_last(where='')}, {_changes(key=_PRIORITY, alias='chg_p')}, "
+        f"{_last('chg_p', 'last_p', where='')} SELECT o_orderkey, o_custkey, o_orderpriority, "
+        "u.name AS customer_now, p.name AS priority_now FROM orders "
+        "LEFT JOIN last_u u ON o_custkey = u.key AND u.op_type <> 'D' "
+        "LEFT JOIN last_p p ON o_orderpriority = p.key AND p.op_type <> 'D'"
+    ),
     "to_json_value": (
         f"SELECT CAST(o_orderkey AS VARCHAR) AS msg_key, {_ORDER}, {_OLD} AS customer_name "
         "FROM orders"

@@ -162,6 +162,21 @@ def star_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pr.star_enrich(lines, dimensions, row_id=["_metadata.row_index"])
 
 
+def star_from_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with the names the compacted feed shows now, inserts included."""
+    events = tb.read(spark, sf_dir, "events")
+    dimensions = []
+    for changes, spec, column in (
+        (tb.customer_changes(events), tb.CUSTOMER, "customer_now"),
+        (tb.priority_changes(events), tb.PRIORITY, "priority_now"),
+    ):
+        live = ch.compact(changes, ["key"], tb.ORDER, deleted=F.col("op_type") == "D")
+        names, _ = settle(live.select("key", "name"))
+        dimensions.append(pr.Dimension(names, spec.fk, "key", {"name": column}))
+    orders = tb.read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    return pr.star_enrich(orders, dimensions, row_id=["o_orderkey"])
+
+
 # Messages, text and schemas
 
 
@@ -444,6 +459,7 @@ QUERIES: dict[str, Query] = {
         upsert_null_name,
         multi_entity,
         star_enrich,
+        star_from_feed,
         to_json_value,
         framed_value,
         union_unwrap,

@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from namewake.entities import EntitySpec
@@ -123,14 +123,18 @@ class PlanTarget:
         self._commit(self._next_seq(), "rows", path)
 
     def put_names(self, names: DataFrame, query_id: str, batch_id: int) -> bool:
-        """Commit a micro-batch's last names; False if it was committed before."""
+        """Commit a micro-batch's last names.
+
+        False if there are none, or if it was committed before.
+        """
         for c in self._own_commits():
             if c["query"] == query_id and c["batch_id"] == batch_id:
                 return False
-        seq, path = self._next_seq(), self._new_path("names")
-        names.select("entity", "key", "name", F.lit(seq).cast("bigint").alias("seq")).write.parquet(
-            path
-        )
+        seq, path, seen = self._next_seq(), self._new_path("names"), Observation()
+        numbered = names.select("entity", "key", "name", F.lit(seq).cast("bigint").alias("seq"))
+        numbered.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+        if seen.get["rows"] == 0:
+            return False
         self._commit(seq, "names", path, query_id, batch_id)
         if len(self._name_paths(self._own_commits())) > self.compact_after:
             self.compact_names()

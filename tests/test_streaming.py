@@ -215,6 +215,16 @@ def test_fold_beside_the_writer_loses_nothing(spark, tmp_path):
     assert sorted_rows(run.target.read()) == fold(plan, [(1, "U", "a", 0), (2, "U", "b", 1)])
 
 
+def test_a_batch_without_updates_commits_nothing(spark, tmp_path):
+    plan = plan_rows(10, 2, random.Random(2))
+    run = Run(spark, tmp_path, plan)
+    run.arrive([(1, "I", "a", 0), (None, "U", "b", 1)])
+    run.go()
+    assert [c["kind"] for c in run.target.commits()] == ["rows"]
+    assert sorted_rows(run.target.read()) == fold(plan, [])
+    assert run.logged().count() == 2
+
+
 def test_adopted_files_are_not_copied_or_dropped(spark, tmp_path):
     plan = plan_rows(20, 3, random.Random(2))
     plan_df(spark, plan).write.parquet(f"{tmp_path}/existing")
