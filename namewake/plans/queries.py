@@ -137,28 +137,46 @@ def entity_rows(entity: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 def star_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with the names of eight lookups."""
 
-    def dim(table: str, fk: str, key: str, columns: dict[str, str], *nested: pr.Dimension):
-        return pr.Dimension(tb.read(spark, sf_dir, table), fk, key, columns, nested)
+    def table(name: str) -> DataFrame:
+        return tb.read(spark, sf_dir, name)
+
+    nations, regions = table("nation"), table("region")
 
     def place(fk: str, prefix: str) -> pr.Dimension:
-        region = dim("region", "n_regionkey", "r_regionkey", {"r_name": f"{prefix}_region"})
-        return dim("nation", fk, "n_nationkey", {"n_name": f"{prefix}_nation"}, region)
+        region = pr.Dimension(regions, "n_regionkey", "r_regionkey", {"r_name": f"{prefix}_region"})
+        return pr.Dimension(nations, fk, "n_nationkey", {"n_name": f"{prefix}_nation"}, (region,))
 
-    customer = dim(
-        "customer", "o_custkey", "c_custkey", {"c_name": "c_name"}, place("c_nationkey", "cust")
+    customer = pr.Dimension(
+        table("customer"),
+        "o_custkey",
+        "c_custkey",
+        {"c_name": "c_name"},
+        (place("c_nationkey", "cust"),),
     )
-    lines = tb.read(spark, sf_dir, "lineitem").select(
+    dimensions = [
+        pr.Dimension(table("part"), "l_partkey", "p_partkey", {"p_name": "p_name"}),
+        pr.Dimension(
+            table("supplier"),
+            "l_suppkey",
+            "s_suppkey",
+            {"s_name": "s_name"},
+            (place("s_nationkey", "supp"),),
+        ),
+        pr.Dimension(
+            table("orders"),
+            "l_orderkey",
+            "o_orderkey",
+            {"o_orderpriority": "o_orderpriority"},
+            (customer,),
+        ),
+    ]
+    lines = table("lineitem").select(
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
         "l_suppkey",
         "l_quantity",
     )
-    dimensions = [
-        dim("part", "l_partkey", "p_partkey", {"p_name": "p_name"}),
-        dim("supplier", "l_suppkey", "s_suppkey", {"s_name": "s_name"}, place("s_nationkey", "supp")),
-        dim("orders", "l_orderkey", "o_orderkey", {"o_orderpriority": "o_orderpriority"}, customer),
-    ]
     return pr.star_enrich(lines, dimensions, row_id=["_metadata.row_index"])
 
 

@@ -5,10 +5,12 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -90,6 +92,16 @@ def measure(df: DataFrame, enough: int) -> Size:
     return measure_all([df], enough)[0]
 
 
+@contextmanager
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """Keep ``df`` in memory and on disk while it is used several times."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
 def settle(df: DataFrame, purpose: str = "settled") -> tuple[DataFrame, Size]:
     """Write ``df`` to the shared folder; return it read back, with its size.
 

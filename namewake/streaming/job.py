@@ -3,17 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 from typing import Protocol
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from namewake.entities import UPDATE, EntitySpec
 from namewake.operators.changes import latest_updates
 from namewake.operators.propagate import unmatched_updates
-from namewake.scratch import settle
+from namewake.scratch import kept
+from namewake.streaming.targets import entity_sizes
 
 # Fixed value: time between micro-batches.
 BATCH_INTERVAL = "10 seconds"
@@ -38,20 +37,20 @@ def last_names(batch: DataFrame) -> DataFrame:
 
 
 def unmatched_report(names: DataFrame, target: Target) -> DataFrame:
-    """Updates of a micro-batch that no plan row took, for all entities."""
-    names, _ = settle(names, "report")
-    plan = target.rows()
-    return reduce(
-        DataFrame.unionByName,
-        [
-            unmatched_updates(
-                plan.select(F.col(spec.fk).cast("string")),
-                names.filter(F.col("entity") == spec.entity),
-                spec.fk,
-            )
-            for spec in target.specs
-        ],
-    )
+    """Updates of a micro-batch that no plan row took, for all entities.
+
+    Keys are brought to the plan's type; one that it cannot hold matches nothing.
+    """
+    plan, sizes = target.rows(), entity_sizes(names)
+    report = names.filter(F.lit(False))
+    for spec in target.specs:
+        if spec.entity not in sizes:
+            continue
+        key = F.col("key").try_cast(plan.schema[spec.fk].dataType).alias("__typed")
+        latest = names.filter(F.col("entity") == spec.entity).select(*names.columns, key)
+        missed = unmatched_updates(plan, latest, spec.fk, "__typed", sizes[spec.entity])
+        report = report.unionByName(missed.drop("__typed"))
+    return report
 
 
 def batch_handler(
@@ -61,29 +60,29 @@ def batch_handler(
 
     With ``report``, updates that match no plan row are written there. That scans
     the foreign keys of the plan once per micro-batch. A micro-batch is kept, in
-    memory and on disk, only where more than the target needs it; the source's
-    options set how large it may be.
+    memory and on disk, only where both log and target need it; the source's options
+    set how large it may be.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         context = batch.sparkSession.sparkContext
         # The query id stays with the checkpoint, so batch ids are unique under it.
         query_id = context.getLocalProperty("sql.streaming.queryId")
-        kept = log is not None or report is not None
-        if kept:
-            batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if log is not None:
+        if log is None:
+            apply(last_names(batch), query_id, batch_id)
+        else:
+            with kept(batch) as batch:
                 log.write(batch, query_id, batch_id)
-            names = last_names(batch)
-            if report is not None:
-                unmatched_report(names, target).write.mode("overwrite").parquet(
-                    f"{report.rstrip('/')}/query={query_id}/batch_id={batch_id}"
-                )
+                apply(last_names(batch), query_id, batch_id)
+
+    def apply(names: DataFrame, query_id: str, batch_id: int) -> None:
+        if report is None:
             target.put_names(names, query_id, batch_id)
-        finally:
-            if kept:
-                batch.unpersist()
+        else:
+            path = f"{report.rstrip('/')}/query={query_id}/batch_id={batch_id}"
+            with kept(names) as names:
+                unmatched_report(names, target).write.mode("overwrite").parquet(path)
+                target.put_names(names, query_id, batch_id)
 
     return handle
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from namewake.entities import EntitySpec
 from namewake.operators.changes import latest_per_key
 from namewake.operators.propagate import few_keys, matched_rows, merge_names
-from namewake.scratch import Size, row_bytes, settle
+from namewake.scratch import Size, kept, row_bytes, settle
 from namewake.sources.files import table
 
 _SEQ, _NAMES_SEQ = "__seq", "__names_seq"
@@ -143,8 +143,8 @@ class PlanTarget:
     def compact_names(self) -> None:
         """Reduce the names committed so far to the last one per key."""
         commits = self.commits()
-        names = self._names(commits)
-        if names is None:
+        names, stored = self._names(commits)
+        if stored:
             return
         path = self._new_path("names")
         names.write.parquet(path)
@@ -188,16 +188,19 @@ class PlanTarget:
         paths += [c["path"] for c in commits if c["kind"] == "names" and c["seq"] > after]
         return paths
 
-    def _names(self, commits: list[Row]) -> DataFrame | None:
-        """The last name per entity and key among those younger than the oldest rows."""
+    def _names(self, commits: list[Row]) -> tuple[DataFrame | None, bool]:
+        """The last name per entity and key among those younger than the oldest rows.
+
+        Tells besides whether they lie in files that way.
+        """
         paths = self._name_paths(commits)
         if not paths:
-            return None
+            return None, True
         names = self.spark.read.schema(_NAMES).parquet(*paths)
         if len(paths) == 1:
-            return names
+            return names, True
         latest = latest_per_key(names, ["entity", "key"], ["seq"])
-        return settle(latest.select("entity", "key", "name", "seq"), "names")[0]
+        return latest.select("entity", "key", "name", "seq"), False
 
     def _rows(self, commits: list[Row]) -> DataFrame:
         parts = [
@@ -209,10 +212,10 @@ class PlanTarget:
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
     def _merged(self, commits: list[Row], wanted: Sequence[str] | None) -> DataFrame:
-        rows, names = self._rows(commits), self._names(commits)
-        out, sizes = rows, {}
-        if names is not None:
-            sizes = entity_sizes(names)
+        rows, (names, stored) = self._rows(commits), self._names(commits)
+        if not stored:
+            names, _ = settle(names, "names")
+        out, sizes = rows, entity_sizes(names) if names is not None else {}
         for spec in self.specs:
             if wanted is not None and spec.plan_name not in wanted:
                 continue
@@ -262,18 +265,18 @@ class KeyedStoreTarget:
         return table(self.spark, self.path, self.format, **self.options)
 
     def put_names(self, names: DataFrame, query_id: str, batch_id: int) -> bool:
-        names, _ = settle(names, "names")
-        sizes = entity_sizes(names)
-        for spec in self.specs:
-            if spec.entity not in sizes:
-                continue
-            plan, size = self.rows(), sizes[spec.entity]
-            latest = _names_of(names, spec, plan)
-            plan = few_keys(plan, latest, spec.fk, spec.key, size)
-            hit = matched_rows(plan, latest, spec, size=size)
-            writer = hit.write.mode("append").format(self.format).options(**self.options)
-            writer.save(self.path) if self.path else writer.save()
-        return True
+        with kept(names) as names:
+            sizes = entity_sizes(names)
+            for spec in self.specs:
+                if spec.entity in sizes:
+                    self._put(_names_of(names, spec, self.rows()), spec, sizes[spec.entity])
+        return bool(sizes)
+
+    def _put(self, latest: DataFrame, spec: EntitySpec, size: Size) -> None:
+        plan = few_keys(self.rows(), latest, spec.fk, spec.key, size)
+        hit = matched_rows(plan, latest, spec, size=size)
+        writer = hit.write.mode("append").format(self.format).options(**self.options)
+        writer.save(self.path) if self.path else writer.save()
 
 
 class MergeTarget:
@@ -286,18 +289,20 @@ class MergeTarget:
         return self.spark.table(self.name)
 
     def put_names(self, names: DataFrame, query_id: str, batch_id: int) -> bool:
-        names, _ = settle(names, "names")
-        sizes, plan = entity_sizes(names), self.rows()
-        for spec in self.specs:
-            if spec.entity not in sizes:
-                continue
-            lookup = _names_of(names, spec, plan).select(
-                F.col(spec.key).alias("__key"), F.col(spec.name).alias("__name")
-            )
-            (
-                lookup.mergeInto(self.name, F.col(f"{self.name}.{spec.fk}") == F.col("__key"))
-                .whenMatched()
-                .update({spec.plan_name: F.col("__name")})
-                .merge()
-            )
-        return True
+        with kept(names) as names:
+            sizes = entity_sizes(names)
+            for spec in self.specs:
+                if spec.entity in sizes:
+                    self._put(_names_of(names, spec, self.rows()), spec)
+        return bool(sizes)
+
+    def _put(self, latest: DataFrame, spec: EntitySpec) -> None:
+        source = latest.select(
+            F.col(spec.key).alias("__key"), F.col(spec.name).alias("__name")
+        )
+        (
+            source.mergeInto(self.name, F.col(f"{self.name}.{spec.fk}") == F.col("__key"))
+            .whenMatched()
+            .update({spec.plan_name: F.col("__name")})
+            .merge()
+        )

@@ -269,6 +269,18 @@ def test_progress_counts_and_report(spark, tmp_path):
     assert [(r["entity"], r["key"], r["name"]) for r in report.collect()] == [("shop", "77", "b")]
 
 
+def test_report_of_keys_beyond_the_plans_type(spark, tmp_path):
+    target = PlanTarget.create(spark, f"{tmp_path}/target", [SPEC])
+    target.append(spark.createDataFrame([(1, "U", 5)], "PLAN_ID int, op_type string, SHOP_ID int"))
+    names = spark.createDataFrame(
+        [("shop", "5", "a"), ("shop", "9999999999", "b"), ("other", "1", "c")],
+        "entity string, key string, name string",
+    )
+    assert [r["key"] for r in job.unmatched_report(names, target).collect()] == ["9999999999"]
+    target.put_names(names, "q", 0)
+    assert [r["SHOP_NAME"] for r in target.read().collect()] == ["a"]
+
+
 def test_cost_per_batch_does_not_grow_with_updates(spark, tmp_path):
     """A micro-batch takes the same number of Spark jobs for 5 and for 500 updates."""
     jobs = []
