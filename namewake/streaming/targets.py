@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
 import uuid
+from collections import defaultdict
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from namewake.entities import EntitySpec
 from namewake.operators.changes import latest_per_key
@@ -17,7 +20,7 @@ from namewake.sources.files import table
 
 _SEQ, _NAMES_SEQ = "__seq", "__names_seq"
 _NAMES = "entity string, key string, name string, seq bigint"
-_COMMIT = "seq bigint, kind string, path string, query string, batch_id bigint"
+_COMMIT = "seq bigint, kind string, path string, schema string, query string, batch_id bigint"
 
 
 def entity_sizes(names: DataFrame) -> dict[str, Size]:
@@ -93,9 +96,16 @@ class PlanTarget:
         return self.commits() if self._known is None else self._known
 
     def _commit(
-        self, seq: int, kind: str, path: str, query: str | None = None, batch_id: int | None = None
+        self,
+        seq: int,
+        kind: str,
+        path: str,
+        schema: T.StructType | None = None,
+        query: str | None = None,
+        batch_id: int | None = None,
     ) -> None:
-        entry = Row(seq=seq, kind=kind, path=path, query=query, batch_id=batch_id)
+        told = schema.json() if schema is not None else None
+        entry = Row(seq=seq, kind=kind, path=path, schema=told, query=query, batch_id=batch_id)
         (
             self.spark.range(1, numPartitions=1)
             .select(*(F.lit(v).alias(c) for c, v in entry.asDict().items()))
@@ -114,13 +124,18 @@ class PlanTarget:
 
     def adopt(self, path: str) -> None:
         """Take existing parquet files as plan rows, without copying them."""
-        self._commit(self._next_seq(), "rows", path)
+        schema = self.spark.read.parquet(path).schema
+        self._commit(self._next_seq(), "adopted", path, schema)
 
     def append(self, rows: DataFrame) -> None:
         """Add new plan rows; updates committed before do not touch them."""
+        self._put_rows(rows, self._next_seq(), "rows")
+
+    def _put_rows(self, rows: DataFrame, seq: int, kind: str) -> None:
         path = self._new_path("rows")
-        rows.write.parquet(path)
-        self._commit(self._next_seq(), "rows", path)
+        numbered = rows.withColumn(_SEQ, F.lit(seq).cast("bigint"))
+        numbered.write.parquet(path)
+        self._commit(seq, kind, path, numbered.schema)
 
     def put_names(self, names: DataFrame, query_id: str, batch_id: int) -> bool:
         """Commit a micro-batch's last names.
@@ -135,7 +150,7 @@ class PlanTarget:
         numbered.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
         if seen.get["rows"] == 0:
             return False
-        self._commit(seq, "names", path, query_id, batch_id)
+        self._commit(seq, "names", path, query=query_id, batch_id=batch_id)
         if len(self._name_paths(self._own_commits())) > self.compact_after:
             self.compact_names()
         return True
@@ -153,9 +168,7 @@ class PlanTarget:
     def fold(self) -> None:
         """Write rows and names out as the new rows."""
         commits = self.commits()
-        path = self._new_path("rows")
-        self._merged(commits, None).write.parquet(path)
-        self._commit(commits[-1]["seq"], "full", path)
+        self._put_rows(self._merged(commits, None), commits[-1]["seq"], "full")
 
     def obsolete(self) -> list[str]:
         """Files and folders of the target that are needed no more, for the owner to remove.
@@ -178,7 +191,8 @@ class PlanTarget:
     def _row_commits(self, commits: list[Row]) -> list[Row]:
         full = [c for c in commits if c["kind"] == "full"][-1:]
         after = full[0]["seq"] if full else -1
-        return full + [c for c in commits if c["kind"] == "rows" and c["seq"] > after]
+        added = [c for c in commits if c["kind"] in ("rows", "adopted")]
+        return full + [c for c in added if c["seq"] > after]
 
     def _name_paths(self, commits: list[Row]) -> list[str]:
         oldest = min((c["seq"] for c in self._row_commits(commits)), default=-1)
@@ -203,14 +217,22 @@ class PlanTarget:
         return latest.select("entity", "key", "name", "seq"), False
 
     def _rows(self, commits: list[Row]) -> DataFrame:
-        parts = [
-            self.spark.read.parquet(c["path"]).withColumn(_SEQ, F.lit(c["seq"]).cast("bigint"))
-            for c in self._row_commits(commits)
-        ]
+        """Plan rows with their number, as one read for all own files of one schema."""
+        listed, own, parts = self._row_commits(commits), defaultdict(list), []
+        for c in listed:
+            if c["kind"] == "adopted":
+                rows = self._read_rows(c["schema"], c["path"])
+                parts.append(rows.withColumn(_SEQ, F.lit(c["seq"]).cast("bigint")))
+            else:
+                own[c["schema"]].append(c["path"])
+        parts += [self._read_rows(schema, *paths) for schema, paths in own.items()]
         if not parts:
             raise ValueError(f"no plan rows in {self.path}")
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
+    def _read_rows(self, schema: str, *paths: str) -> DataFrame:
+        return self.spark.read.schema(T.StructType.fromJson(json.loads(schema))).parquet(*paths)
+
     def _merged(self, commits: list[Row], wanted: Sequence[str] | None) -> DataFrame:
         rows, (names, stored) = self._rows(commits), self._names(commits)
         if not stored:

@@ -236,6 +236,21 @@ def test_adopted_files_are_not_copied_or_dropped(spark, tmp_path):
     assert target.obsolete() == []
 
 
+def test_many_small_appends_are_one_read(spark, tmp_path):
+    plan = plan_rows(12, 2, random.Random(2))
+    target = PlanTarget.create(spark, f"{tmp_path}/target", [SPEC])
+    for row in plan[:6]:
+        target.append(plan_df(spark, [row]))
+    target.put_names(spark.createDataFrame([("shop", "1", "a")], "entity string, key string, name string"), "q", 0)
+    for row in plan[6:]:
+        target.append(plan_df(spark, [row]).drop("SHOP_NAME"))
+    plain = target.rows()._jdf.queryExecution().executedPlan().toString()
+    assert plain.count("FileScan") == 2
+    late = [r | {"SHOP_NAME": None} for r in plan[6:]]
+    want = sorted(fold(plan[:6], [(1, "U", "a", 0)]) + fold(late, []))
+    assert sorted_rows(target.read()) == want
+
+
 def test_only_wanted_names_are_joined(spark, tmp_path):
     run = Run(spark, tmp_path, plan_rows(20, 3, random.Random(2)))
     run.arrive([(1, "U", "a", 0)])
