@@ -52,12 +52,12 @@ def parse_date(text: Column | str, pattern: str = "dd-MMM-yy") -> Column:
 
     Text of another form gives null.
     """
-    return F.try_to_timestamp(text, F.lit(pattern)).cast("date")
+    return F.try_to_date(text, pattern)
 
 
 def parse_time(text: Column | str) -> Column:
-    """Timestamp of a text such as ``2018-07-18 18:51:34.000000``."""
-    return F.try_to_timestamp(text)
+    """Timestamp of a text such as ``2018-07-18 18:51:34.000000``, which names no zone."""
+    return (F.col(text) if isinstance(text, str) else text).try_cast("timestamp_ntz")
 
 
 def json_value(*columns: Column | str) -> Column:
