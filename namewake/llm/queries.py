@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from namewake.llm import url_filters
+from namewake.llm import quality_rules, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": url_filters.query,
+    "op10_quality_rules": quality_rules.query,
 }
 ORACLES: dict[str, str] = {
     "op1_url_filters": url_filters.ORACLE,
+    "op10_quality_rules": quality_rules.ORACLE,
 }
