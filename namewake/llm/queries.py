@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from namewake.llm import jaccard_join, quality_rules, url_filters
+from namewake.llm import chunk_bpe, huffman_files, jaccard_join, quality_rules, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": url_filters.query,
     "op5_jaccard_join": jaccard_join.query,
+    "op7_huffman_files": huffman_files.query,
+    "op9_bpe_chunks": chunk_bpe.query,
     "op10_quality_rules": quality_rules.query,
 }
 ORACLES: dict[str, str] = {
