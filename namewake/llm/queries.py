@@ -6,10 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from namewake.llm import chunk_bpe, disclosure, huffman_files, jaccard_join, quality_rules, url_filters
+from namewake.llm import (
+    chunk_bpe,
+    disclosure,
+    huffman_files,
+    jaccard_join,
+    mixing,
+    quality_rules,
+    url_filters,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": url_filters.query,
+    "op2_source_mixing": mixing.query,
     "op5_jaccard_join": jaccard_join.query,
     "op7_huffman_files": huffman_files.query,
     "op8_disclosure": disclosure.query,
