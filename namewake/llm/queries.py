@@ -13,12 +13,14 @@ from namewake.llm import (
     jaccard_join,
     mixing,
     quality_rules,
+    toxicity,
     url_filters,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": url_filters.query,
     "op2_source_mixing": mixing.query,
+    "op4_toxicity": toxicity.query,
     "op5_jaccard_join": jaccard_join.query,
     "op7_huffman_files": huffman_files.query,
     "op8_disclosure": disclosure.query,
