@@ -13,6 +13,7 @@ from namewake.llm import (
     jaccard_join,
     mixing,
     quality_rules,
+    topk_search,
     toxicity,
     url_filters,
 )
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_source_mixing": mixing.query,
     "op4_toxicity": toxicity.query,
     "op5_jaccard_join": jaccard_join.query,
+    "op6_topk_search": topk_search.query,
     "op7_huffman_files": huffman_files.query,
     "op8_disclosure": disclosure.query,
     "op9_bpe_chunks": chunk_bpe.query,
