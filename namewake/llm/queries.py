@@ -12,6 +12,7 @@ from namewake.llm import (
     huffman_files,
     jaccard_join,
     mixing,
+    quality_model,
     quality_rules,
     topk_search,
     toxicity,
@@ -21,6 +22,7 @@ from namewake.llm import (
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": url_filters.query,
     "op2_source_mixing": mixing.query,
+    "op3_quality_model": quality_model.query,
     "op4_toxicity": toxicity.query,
     "op5_jaccard_join": jaccard_join.query,
     "op6_topk_search": topk_search.query,
