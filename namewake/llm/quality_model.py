@@ -145,16 +145,20 @@ def votes(x: np.ndarray) -> np.ndarray:
 def expectation_maximisation(
     patterns: np.ndarray, counts: np.ndarray, rounds: int = EM_ROUNDS
 ) -> tuple[np.ndarray, np.ndarray, float]:
-    """Posterior of good for each pattern; rates[class, labeller, vote]; the share of good."""
+    """Posterior of good for each pattern; rates[class, labeller, vote]; the share of good.
+
+    A labeller's silence tells nothing: short texts, on which many are silent, aren't bad.
+    """
     good = ((patterns == 1).sum(axis=1) + 1) / ((patterns != 2).sum(axis=1) + 2)
-    rates, share = np.zeros((2, patterns.shape[1], 3)), 0.5
+    rates, share = np.zeros((2, patterns.shape[1], 2)), 0.5
     for _ in range(rounds):
         weight = np.stack([(1 - good) * counts, good * counts])
-        for v in range(3):
+        for v in range(2):
             rates[:, :, v] = weight @ (patterns == v) + 0.5
         rates /= rates.sum(axis=2, keepdims=True)
         share = (weight[1].sum() + 1) / (counts.sum() + 2)
-        told = np.log(rates)[:, np.arange(patterns.shape[1]), patterns].sum(axis=2)
+        said = np.log(rates)[:, np.arange(patterns.shape[1]), np.minimum(patterns, 1)]
+        told = np.where(patterns == 2, 0.0, said).sum(axis=2)
         odds = np.log(share / (1 - share)) + told[1] - told[0]
         new = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
         if np.abs(new - good).max() < 1e-9:
