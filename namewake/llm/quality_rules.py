@@ -6,8 +6,9 @@ are boilerplate and go; documents with too little left are rejected, as are docu
 fail the plain rules (too few words, too much repetition).
 
 Copies must not make each other's lines look like boilerplate. So documents count as
-distinct only when their other lines differ: a document stands under the smallest hash
-among its other lines, which near copies share.
+distinct only when their other lines differ: a document stands under the smallest and the
+largest hash among its other lines, which most near copies share; the fewer of both count,
+and a line goes only where they are at least half of all documents that have it.
 
 Counting is two aggregates that combine map-side. Lines above the limit are few beside all
 lines (each stands for ``max_docs`` documents at least); they are joined back by broadcast
@@ -45,7 +46,8 @@ _STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _SCHEMA = (
     "doc_id bigint, host string, rk bigint, "
     + ", ".join(f"{c} bigint" for c in _STATS)
-    + ", lines array<struct<h:bigint,words:bigint>>, sig1 bigint, sig2 bigint"
+    + ", lines array<struct<h:bigint,words:bigint>>, "
+    + ", ".join(f"sig{i} bigint" for i in range(4))
 )
 
 
@@ -82,15 +84,17 @@ def word_stats(texts: pa.Array) -> dict[str, np.ndarray]:
     }
 
 
-def _lines(text: str) -> tuple[int, dict[int, int], list[int]]:
-    """Repeated lines; words by line hash; the two smallest hashes."""
+def _lines(text: str) -> tuple[int, dict[int, int], list[int | None]]:
+    """Repeated lines; words by line hash; the two smallest and the two largest hashes."""
     raw = [line for line in text.encode().split(b"\n") if line.split()]
     by_hash: dict[int, int] = {}
     for line in raw:
         normal = normal_line(line)
         h = line_hash(normal)
         by_hash[h] = by_hash.get(h, 0) + normal.count(b" ") + 1
-    return len(raw) - len(set(raw)), by_hash, sorted(by_hash)[:2]
+    order = sorted(by_hash)
+    ends = [end[:2] + [None] * (2 - len(end[:2])) for end in (order, order[::-1])]
+    return len(raw) - len(set(raw)), by_hash, ends[0] + ends[1]
 
 
 def _profile(batches: Batches) -> Batches:
@@ -100,20 +104,20 @@ def _profile(batches: Batches) -> Batches:
         for lo, hi in pieces(texts):
             part = texts.slice(lo, hi - lo)
             stats = word_stats(part)
-            dup, lines, sig = [], [], ([], [])
+            dup, lines, sig = [], [], ([], [], [], [])
             for text in strings(part):
-                n, by_hash, least = _lines(text)
+                n, by_hash, ends = _lines(text)
                 dup.append(n)
                 lines.append([{"h": h, "words": w} for h, w in by_hash.items()])
-                for i in range(2):
-                    sig[i].append(least[i] if i < len(least) else None)
+                for held, h in zip(sig, ends):
+                    held.append(h)
             stats["n_dup_lines"] = np.array(dup, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [ids.slice(lo, hi - lo), hosts.slice(lo, hi - lo), rks.slice(lo, hi - lo)]
                 + [pa.array(stats[c], pa.int64()) for c in _STATS]
                 + [pa.array(lines, lines_type)]
                 + [pa.array(s, pa.int64()) for s in sig],
-                names=["doc_id", "host", "rk", *_STATS, "lines", "sig1", "sig2"],
+                names=["doc_id", "host", "rk", *_STATS, "lines", *(f"sig{i}" for i in range(4))],
             )
 
 
@@ -123,14 +127,22 @@ def _host_key(host: Column, h: Column) -> Column:
 
 def frequent_lines(profile: DataFrame, max_docs: int, max_share: float) -> DataFrame:
     """Hosts' lines (host, h) in more distinct documents than the limit."""
-    lines = profile.select("host", "sig1", "sig2", F.explode("lines.h").alias("h"))
-    other = F.when(F.col("h") == F.col("sig1"), F.col("sig2")).otherwise(F.col("sig1"))
-    distinct = lines.select("host", "h", other.alias("other")).distinct()
-    counts = distinct.groupBy("host", "h").agg(F.count(F.lit(1)).alias("docs"))
+    lines = profile.select("host", "sig0", "sig1", "sig2", "sig3", F.explode("lines.h").alias("h"))
+    counts = None
+    for end, (first, second) in enumerate((("sig0", "sig1"), ("sig2", "sig3"))):
+        other = F.when(F.col("h") == F.col(first), F.col(second)).otherwise(F.col(first))
+        alike = lines.groupBy("host", "h", other.alias("other")).agg(F.count(F.lit(1)).alias("n"))
+        distinct = alike.groupBy("host", "h").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("rows"))
+        above = distinct.filter((F.col("docs") > max_docs) & (2 * F.col("docs") >= F.col("rows")))
+        if counts is None:
+            counts = above
+        else:
+            ours = above.select(F.col("host").alias("h2"), F.col("h").alias("l2"), F.col("docs").alias("d2"))
+            same = F.col("host").eqNullSafe(F.col("h2")) & (F.col("h") == F.col("l2"))
+            counts = counts.join(ours, same).withColumn("docs", F.least("docs", "d2"))
     sizes = profile.groupBy(F.col("host").alias("of")).agg(F.count(F.lit(1)).alias("size"))
     return (
-        counts.filter(F.col("docs") > max_docs)
-        .join(sizes, F.col("host").eqNullSafe(F.col("of")))
+        counts.join(sizes, F.col("host").eqNullSafe(F.col("of")))
         .filter(F.col("docs") > F.col("size") * max_share)
         .select("host", "h")
     )
@@ -252,13 +264,18 @@ WITH words AS (
                        THEN 18446744073709551616::HUGEINT ELSE 0 END AS BIGINT) AS h
     FROM lines GROUP BY ALL
 ), sigs AS (
-    SELECT doc_id, list_sort(list(h))[1:2] AS s FROM by_line GROUP BY doc_id
+    SELECT doc_id, list_sort(list(h)) AS s FROM by_line GROUP BY doc_id
 ), frequent AS (
     SELECT b.source, norm FROM by_line b JOIN sigs USING (doc_id)
     JOIN (SELECT source, count(*) AS size FROM documents GROUP BY source) c
       ON b.source IS NOT DISTINCT FROM c.source
     GROUP BY b.source, norm, size
-    HAVING count(DISTINCT coalesce(CAST(CASE WHEN h = s[1] THEN s[2] ELSE s[1] END AS VARCHAR), '-')) > greatest(20, 0.002 * size)
+    HAVING least(count(DISTINCT coalesce(CAST(CASE WHEN h = s[1] THEN s[2] ELSE s[1] END AS VARCHAR), '-')),
+                 count(DISTINCT coalesce(CAST(CASE WHEN h = s[-1] THEN s[-2] ELSE s[-1] END AS VARCHAR), '-')))
+           > greatest(20, 0.002 * size)
+       AND 2 * least(count(DISTINCT coalesce(CAST(CASE WHEN h = s[1] THEN s[2] ELSE s[1] END AS VARCHAR), '-')),
+                     count(DISTINCT coalesce(CAST(CASE WHEN h = s[-1] THEN s[-2] ELSE s[-1] END AS VARCHAR), '-')))
+           >= count(*)
 ), removed AS (
     SELECT doc_id, sum(words) AS n FROM by_line b JOIN frequent f
       ON b.norm = f.norm AND b.source IS NOT DISTINCT FROM f.source GROUP BY doc_id
