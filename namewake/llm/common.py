@@ -20,7 +20,7 @@ from namewake.scratch import shared_folder
 SPACES = b" \t\n\x0b\x0c\r"
 
 #: Bytes of text worked on at once inside a task. A longer text is worked on alone.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15

@@ -49,8 +49,8 @@ SHINGLE, PERCENT = 5, 80
 FILTER_BITS = 27
 #: Shingles of more documents than this count as frequent and come last in the order.
 FREQUENT = 32
-LEAF, LEVELS = 8, 5
-_FLUSH = 2 << 20
+LEAF, LEVELS = 12, 3
+_FLUSH = 1 << 20
 
 
 def shingle_sets(texts: pa.Array, shingle: int = SHINGLE) -> list[np.ndarray]:
@@ -235,6 +235,16 @@ def _size_windows(members: DataFrame, percent: int) -> DataFrame:
     return cut.withColumn("region", F.xxhash64("region", "band")).drop("band")
 
 
+def _different(regions: DataFrame) -> DataFrame:
+    """One of all regions with the same members, of those with two members or more.
+
+    Copies share dozens of shingles, and pivots that part nothing give equal regions twice.
+    """
+    alike = [F.bit_xor(F.xxhash64("sid", F.lit(i))).alias(f"x{i}") for i in range(2)]
+    told = regions.groupBy("region").agg(F.count(F.lit(1)).alias("size"), *alike).filter("size > 1")
+    return regions.join(told.groupBy("size", "x0", "x1").agg(F.min("region").alias("region")).select("region"), "region")
+
+
 def _linked(links: DataFrame | None, regions: DataFrame) -> DataFrame:
     """Members (region, sid, n) with their components."""
     if links is None:
@@ -250,9 +260,7 @@ def similar_sets(points: DataFrame, percent: int) -> DataFrame | None:
         F.first("n").alias("n"), F.first("front").alias("front"), F.first("shingles").alias("shingles")
     ), "sets")
     fronts = sets.select(F.explode("front").alias("region"), "sid", "n")
-    more = fronts.groupBy("region").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi"))
-    more = more.filter("lo <> hi").select("region")
-    regions = save(fronts.join(more, "region"), "regions")
+    regions = save(_different(fronts), "regions")
     links, found = None, None
     for level in range(LEVELS + 1):
         members = _linked(links, regions)
@@ -285,7 +293,8 @@ def similar_sets(points: DataFrame, percent: int) -> DataFrame | None:
         links = components(found)
         if level == LEVELS:
             break
-        regions = save(_voronoi(members.filter(~small), compared, 1 - percent / 100), "regions")
+        regions = _voronoi(members.filter(~small), compared, 1 - percent / 100)
+        regions = save(_different(regions), "regions")
     return links
 
 
