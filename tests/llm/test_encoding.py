@@ -1,0 +1,130 @@
+"""Operators 7 and 9 against the tokenizers library, and exact round trips."""
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from namewake.llm import chunk_bpe, huffman_files as hf
+from namewake.llm.words_bpe import PartEncoder, library, tokenizer_path
+from namewake.scratch import shared_folder
+from tests.llm.odd import no_docs, odd_docs, odd_rows
+
+PIECES = list("abAB  '.,éñÉßΣσςİ中1٣") + [
+    "\x1c", "\x85", "\xa0", "\u2003", "\u0301", "<|endoftext|>", "<|StartOfText|>", "😀", "\u200b", "'s", "'ll", "\n", "ẛ̣",
+]
+
+
+def library_ids(texts):
+    return [e.ids for e in library(tokenizer_path()).encode_batch(texts, add_special_tokens=False)]
+
+
+def random_texts(n, size):
+    rng = random.Random(n)
+    return ["".join(rng.choice(PIECES) for _ in range(rng.randint(0, size))) for _ in range(n)]
+
+
+def test_parts_encode_like_the_library():
+    texts = random_texts(4000, 60)
+    coder = PartEncoder(tokenizer_path())
+    assert [np.frombuffer(c, "<u2").tolist() for c in coder.encode(texts)] == library_ids(texts)
+
+
+@pytest.mark.parametrize("mean", [3, 40])
+def test_chunks_encode_like_the_library_wherever_they_are_cut(monkeypatch, mean):
+    import pyarrow as pa
+
+    from namewake.llm.common import text_bytes
+
+    own = chunk_bpe.cuts
+    monkeypatch.setattr(chunk_bpe, "cuts", lambda data: own(data, mean))
+    texts = random_texts(500, 500) + ["x" * 3000, "", " " * 99]
+    coder = chunk_bpe.ChunkEncoder(tokenizer_path())
+    for _ in range(2):  # new chunks, then known ones
+        got = coder.encode(*text_bytes(pa.array(texts)))
+        assert [np.frombuffer(c, "<u2").tolist() for c in got] == library_ids(texts)
+
+
+def test_shared_passages_share_chunks():
+    passage = " ".join(f"word{i} goes here" for i in range(400)).encode()
+    a = {bytes(x) for x in _chunks(b"some start " + passage)}
+    b = {bytes(x) for x in _chunks(b"quite another and longer start " + passage)}
+    assert len(a & b) > 0.8 * len(a)
+
+
+def _chunks(raw):
+    at = [0, *chunk_bpe.cuts(np.frombuffer(raw, np.uint8)).tolist(), len(raw)]
+    return [raw[i:j] for i, j in zip(at, at[1:])]
+
+
+def test_digests_of_odd_rows(spark):
+    rows = odd_rows()
+    ids = library_ids([r[1] or "" for r in rows])
+    tokenizer = library(tokenizer_path())
+    want = sorted(
+        (str(r[0]), len(i), hashlib.sha256(" ".join(map(str, i)).encode()).hexdigest(),
+         hashlib.sha256(tokenizer.decode(i, skip_special_tokens=False).encode()).hexdigest())
+        for r, i in zip(rows, ids)
+    )
+    got = chunk_bpe.encode_digests(odd_docs(spark))
+    assert sorted((str(r.doc_id), r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got.collect()) == want
+    assert chunk_bpe.encode(no_docs(spark)).count() == 0
+
+
+def test_code_lengths_are_bounded_and_best():
+    rng = np.random.Generator(np.random.PCG64(1))
+    for n in (1, 2, 3, 50, 1000):
+        counts = rng.integers(1, 10, n) ** 6
+        free, short = hf.code_lengths(counts, 40), hf.code_lengths(counts, 12)
+        for lengths in (free, short):
+            used = lengths[lengths > 0].astype(float)
+            assert len(used) == n and (n == 1 or (2.0**-used).sum() == 1)
+        assert short.max() <= 12
+        assert (counts * free).sum() == _huffman_cost(counts.tolist()) or n == 1
+    with pytest.raises(ValueError):
+        hf.code_lengths(np.ones(20, int), 4)
+
+
+def _huffman_cost(counts):
+    import heapq
+
+    heapq.heapify(counts)
+    cost = 0
+    while len(counts) > 1:
+        a = heapq.heappop(counts) + heapq.heappop(counts)
+        cost += a
+        heapq.heappush(counts, a)
+    return cost
+
+
+def test_blocks_decode_alone():
+    rng = np.random.Generator(np.random.PCG64(2))
+    sizes = np.array([1, 5000, 1024, 1025, 7])
+    ids = np.minimum(rng.geometric(0.01, sizes.sum()), 40_000).astype("<u2")
+    lengths = hf.code_lengths(np.bincount(ids, minlength=1 << 16))
+    data, begin, marks = hf.pack(ids, sizes, lengths, hf.canonical_codes(lengths))
+    table = hf.decode_table(lengths)
+    third = hf.unpack(data, marks[1][2:3].astype(np.int64) + 8 * begin[1], np.array([1024]), table)[0]
+    assert third.tolist() == ids[1 + 2048 : 1 + 3072].tolist()
+
+
+@pytest.mark.parametrize("segment", [50, 1 << 20])
+def test_files_round_trip(spark, monkeypatch, segment):
+    monkeypatch.setattr(hf, "SEGMENT_IDS", segment)
+    folder = shared_folder(spark, "test-huffman")
+    hf.write_ids(odd_docs(spark), folder)
+    rows = sorted(odd_rows(), key=lambda r: -1 if r[0] is None else r[0])
+    at, want = 0, []
+    for r, ids in zip(rows, library_ids([r[1] or "" for r in rows])):
+        want.append((r[0], at, len(ids) + 1, zlib.crc32(np.array([*ids, 1], "<u4").tobytes())))
+        at += len(ids) + 1
+    got = sorted(map(tuple, hf.read_ids(spark, folder, digests=True).collect()), key=lambda r: r[1])
+    assert got == want
+
+
+def test_files_of_no_documents(spark):
+    folder = shared_folder(spark, "test-huffman")
+    hf.write_ids(no_docs(spark), folder)
+    assert hf.read_ids(spark, folder).count() == 0

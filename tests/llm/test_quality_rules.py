@@ -1,0 +1,57 @@
+from collections import Counter
+
+import pytest
+
+from namewake.llm import quality_rules
+from tests.llm.odd import no_docs, odd_docs, odd_rows, words_of
+
+
+def plain_stats(text):
+    text = text or ""
+    words, lines = words_of(text), [x for x in text.split("\n") if words_of(x)]
+    grams = Counter(tuple(words[i : i + 3]) for i in range(len(words) - 2))
+    covered = {i + k for i in range(len(words) - 2) if grams[tuple(words[i : i + 3])] > 1 for k in range(3)}
+    return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered))
+
+
+def test_odd_rows_against_plain_counts(spark):
+    got = quality_rules.judge(odd_docs(spark)).collect()
+    assert len(got) == len(odd_rows())
+    want = {r[0]: plain_stats(r[1]) for r in odd_rows()}
+    for r in got:
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want[r.doc_id]
+        assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words)
+        assert r.kept == (not r.base_failed)
+    assert quality_rules.judge(no_docs(spark)).count() == 0
+
+
+@pytest.mark.parametrize("limit", ["0", str(64 << 20)])
+def test_lines_of_many_documents_go_and_copies_do_not_count(spark, limit):
+    def body(i):
+        return "\n".join(f"line {i} {k} " + " ".join(f"w{i}x{k}y{j}" for j in range(12)) for k in range(6))
+
+    notice = "  All  rights RESERVED by this host "
+    rows = [(i, body(i) + "\n" + notice, "h") for i in range(6)]  # six documents share a line
+    rows += [(100 + i, body(100) + f"\ncopy number {i}", "h") for i in range(6)]  # near copies of one
+    rows += [(200, "\n".join(["all rights reserved by this host"] * 12), "h")]  # nothing else in it
+    rows += [(300 + i, body(300 + i) + "\n" + notice, None) for i in range(2)]  # two on another host
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    spark.conf.set("spark.namewake.broadcastBytes", limit)
+    try:
+        got = {r.doc_id: r for r in quality_rules.judge(docs, max_docs=3, max_share=0).collect()}
+        kept = {r.doc_id: r.text for r in quality_rules.clean_documents(docs, max_docs=3, max_share=0).collect()}
+    finally:
+        spark.conf.unset("spark.namewake.broadcastBytes")
+    assert all(got[i].removed_words == 6 and got[i].kept for i in range(6))
+    assert all(got[i].removed_words == 0 and got[i].kept for i in (*range(100, 106), 300, 301))
+    assert not got[200].kept
+    assert kept[0] == body(0) and kept[300] == body(300) + "\n" + notice and 200 not in kept
+    assert kept[100] == body(100) + "\ncopy number 0"
+
+
+def test_clean_documents_keep_all_columns(spark):
+    docs = odd_docs(spark)
+    kept = quality_rules.clean_documents(docs)
+    assert kept.schema == docs.schema
+    good = {r.doc_id for r in quality_rules.judge(docs).collect() if r.kept}
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r[0] for r in odd_rows() if r[0] in good)

@@ -1,0 +1,87 @@
+"""Operators 3 and 6."""
+
+import math
+from collections import Counter, defaultdict
+from itertools import product
+
+import duckdb
+import numpy as np
+import pytest
+
+from namewake.llm import quality_model, topk_search
+from tests.llm.odd import lower_az, no_docs, odd_docs, odd_rows, words_of
+
+SF = "/root/testdata/sf0.001"
+
+
+def plain_bm25(texts, queries):
+    """(query, rank) -> score, all documents against all queries."""
+    terms = [(i, Counter(words_of(lower_az(t)))) for i, t in texts]
+    df = Counter(w for _, c in terms for w in c)
+    mean = sum(sum(c.values()) for _, c in terms) / max(1, len(terms))
+    out = {}
+    for q, text in queries:
+        scores = []
+        for i, c in terms:
+            s = sum(
+                math.log(1 + (len(terms) - df[w] + 0.5) / (df[w] + 0.5)) * c[w] * 2.2
+                / (c[w] + 1.2 * (0.25 + 0.75 * sum(c.values()) / mean))
+                for w in set(words_of(lower_az(text))) & c.keys()
+            )
+            scores += [(-s, math.inf if i is None else i)] if s > 0 else []
+        out |= {(q, k + 1): -s for k, (s, _) in enumerate(sorted(scores)[:10])}
+    return out
+
+
+@pytest.mark.parametrize("shard,block,lot", [(7, 2, 3), (1 << 14, 64, 4096)])
+def test_search_is_exact(spark, monkeypatch, shard, block, lot):
+    for name, value in (("SHARD_DOCS", shard), ("BLOCK_DOCS", block), ("LOT_QUERIES", lot)):
+        monkeypatch.setattr(topk_search, name, value)
+    docs = odd_docs(spark)
+    queries = docs.filter("doc_id % 5 = 0 OR doc_id = 3").selectExpr("doc_id AS query_id", "text")
+    got = {(r.query_id, r["rank"]): r.score for r in topk_search.top_k(docs, queries).collect()}
+    rows = [r[:2] for r in odd_rows()]
+    want = plain_bm25(rows, [r for r in rows if r[0] and (r[0] % 5 == 0 or r[0] == 3)])
+    assert got == pytest.approx(want)
+
+
+def test_search_without_rows(spark):
+    none = no_docs(spark)
+    some = odd_docs(spark).selectExpr("doc_id AS query_id", "text")
+    assert topk_search.top_k(none, some).count() == 0
+    assert topk_search.top_k(odd_docs(spark), some.limit(0)).count() == 0
+
+
+def test_em_finds_which_labellers_err():
+    rng = np.random.Generator(np.random.PCG64(1))
+    good = rng.random(20_000) < 0.7
+    right = [0.95, 0.9, 0.8, 0.55, 0.9]
+    told = np.stack([np.where(rng.random(len(good)) < p, good, ~good) for p in right], axis=1).astype(int)
+    told[rng.random(told.shape) < 0.3] = 2
+    patterns = np.array(list(product(range(3), repeat=5)))
+    codes = told @ 3 ** np.arange(5)
+    counts = np.bincount(codes, minlength=3**5)[patterns @ 3 ** np.arange(5)]
+    posterior, rates, share = quality_model.expectation_maximisation(patterns, counts.astype(float))
+    assert share == pytest.approx(0.7, abs=0.03)
+    assert rates[1, :, 1] == pytest.approx(right, abs=0.04)
+    by_code = dict(zip((patterns @ 3 ** np.arange(5)).tolist(), posterior))
+    assert np.mean((np.array([by_code[c] for c in codes]) > 0.5) == good) > 0.9
+
+
+def test_scores_agree_with_marked_documents_that_were_never_used(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    got = {r.doc_id: r for r in quality_model.score(docs).collect()}
+    assert len(got) == docs.count()
+    marked = duckdb.sql(f"SELECT doc_id, quality FROM '{SF}/labels.parquet'").fetchall()
+    by_mark = defaultdict(list)
+    for i, q in marked:
+        by_mark[q].append(got[i].predicted == q)
+    assert np.mean(by_mark[1]) >= 0.97 and np.mean(by_mark[0]) >= 0.7
+
+
+def test_model_on_odd_rows(spark):
+    got = quality_model.score(odd_docs(spark)).collect()
+    assert len(got) == len(odd_rows()) and all(0 <= r.score <= 1 for r in got)
+    again = quality_model.score(odd_docs(spark).repartition(5)).collect()
+    assert sorted((str(r.doc_id), r.score) for r in got) == sorted((str(r.doc_id), r.score) for r in again)
+    assert quality_model.score(no_docs(spark)).count() == 0
