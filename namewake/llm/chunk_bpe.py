@@ -21,6 +21,7 @@ Other columns are passed on by ``encode``, except those it makes itself, which i
 from __future__ import annotations
 
 import hashlib
+import re
 from functools import cache
 
 import numpy as np
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from namewake.llm.common import (
     SPACES, U64, Batches, _BASE, _power, map_arrow, mix, pieces, text_bytes,
 )
-from namewake.llm.words_bpe import KEEP, encoder, library, tokenizer_path
+from namewake.llm.words_bpe import encoder, library, tokenizer_path
 
 WINDOW, CHUNK_BYTES = 24, 256
 KEEP_CHUNKS = 100_000
@@ -50,67 +51,58 @@ def cuts(data: np.ndarray, mean: int = CHUNK_BYTES) -> np.ndarray:
     return at[(data[at] & 0xC0) != 0x80]  # not inside a character
 
 
+_BLANK = re.compile(rb"[ \t\n\x0b\x0c\r]")
+
+
+def split_chunk(chunk: bytes) -> tuple[bytes, bytes, bytes] | None:
+    """The cut words at both edges and what is between white space; None without any."""
+    first = _BLANK.search(chunk)
+    if not first:
+        return None
+    last = len(chunk) - len(chunk.split()[-1]) if chunk[-1] not in SPACES else len(chunk)
+    return chunk[: first.start()], chunk[first.start() : last], chunk[last:]
+
+
 class ChunkEncoder:
     """Ids of texts as little-endian 16-bit values, chunk by chunk."""
 
     def __init__(self, path: str):
-        self.parts = encoder(path)
+        self.words = encoder(path)
         self.known: dict[bytes, tuple[bytes, bytes, bytes] | None] = {}
 
-    def _split(self, chunk: bytes) -> tuple[bytes, list[bytes], bytes] | None:
-        """The cut word at either edge and the whole words between; None without white space."""
-        words = chunk.split()
-        if not words:
-            return b"", [], b""
-        open_left, open_right = chunk[0] not in SPACES, chunk[-1] not in SPACES
-        if len(words) == 1 and open_left and open_right:
-            return None
-        head = words.pop(0) if open_left else b""
-        tail = words.pop() if open_right else b""
-        return head, words, tail
-
     def encode(self, data: np.ndarray, offs: np.ndarray) -> list[bytes]:
-        raw = data.tobytes()
-        if any(s in raw.lower() for s in self.parts.specials):
-            texts = [raw[a:b] for a, b in zip(offs.tolist(), offs[1:].tolist())]
-            raw = b"".join(map(self.parts.folded, texts))
-        else:
-            raw = raw.lower()
-        data = np.frombuffer(raw, np.uint8)
-        begins = cuts(data)
-        edges = np.unique(np.concatenate([begins, offs])).tolist()
+        """Ids of the texts that lie in ``data`` end to end, from ``offs`` on."""
+        raw, known = data.tobytes(), self.known
+        edges = np.unique(np.concatenate([cuts(data), offs])).tolist()
         at = np.searchsorted(edges, offs).tolist()
         chunks = [raw[a:b] for a, b in zip(edges, edges[1:])]
-        known, parts = self.known, self.parts.known
         if len(known) > KEEP_CHUNKS:
             known.clear()
-        new = {c: self._split(c) for c in set(chunks).difference(known)}
-        words = {w for s in new.values() if s for w in s[1]}
+        new = [(c, split_chunk(c)) for c in set(chunks).difference(known)]
+        inner = self.words.encode([s[1].decode() for _, s in new if s])
+        coded = iter(inner)
+        for c, s in new:
+            known[c] = s and (s[0], next(coded), s[2])
         # Joins: the cut words around every edge, up to white space on both sides.
-        plans, joins = [], set()
+        plans, joins = [], {}
         for lo, hi in zip(at, at[1:]):
             plan, open_ = [], b""
             for c in chunks[lo:hi]:
-                s = known[c] if c in known else new[c]
+                s = known[c]
                 if s is None:
                     open_ += c
                     continue
                 if joined := open_ + s[0]:
-                    plan.append((joined, None))
-                    joins.add(joined)
-                plan.append((None, c))
+                    plan.append((joined, b""))
+                    joins[joined] = b""
+                plan.append((b"", s[1]))
                 open_ = s[2]
             if open_:
-                plan.append((open_, None))
-                joins.add(open_)
+                plan.append((open_, b""))
+                joins[open_] = b""
             plans.append(plan)
-        if len(parts) > KEEP:
-            parts.clear()
-        if missing := (words | joins).difference(parts):
-            self.parts.learn(missing)
-        for c, s in new.items():
-            known[c] = s and (s[0], b"".join([parts[w] for w in s[1]]), s[2])
-        return [b"".join([parts[j] if c is None else known[c][1] for j, c in plan]) for plan in plans]
+        joins = dict(zip(joins, self.words.encode([j.decode() for j in joins])))
+        return [b"".join([joins[j] if j else ids for j, ids in plan]) for plan in plans]
 
 
 @cache

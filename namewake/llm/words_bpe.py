@@ -1,9 +1,11 @@
 """Encoding by a public tokenizer file, with work shared between equal words.
 
-The tokenizer drops white space and never joins text across it, so the tokens of a text are
-the tokens of its parts between ASCII white space, one after another. Parts seen before are
-looked up; new ones are encoded together by the tokenizers library. Everything kept is
-bounded: when ``KEEP`` parts are held, all are dropped and the table fills anew.
+The tokenizer drops white space and splits the rest into words by a rule before it merges
+letters. Of texts that hold nothing but ASCII and Latin letters the words are found here,
+by the same rule; words seen before are looked up, new ones encoded together by the
+tokenizers library. Other texts go to the library part by part between white space, across
+which no token reaches. Everything kept is bounded: when ``KEEP`` words are held, all are
+dropped and the table fills anew.
 """
 
 from __future__ import annotations
@@ -16,12 +18,13 @@ from functools import cache
 
 import numpy as np
 
-KEEP = 600_000
+KEEP = 400_000
 TOKENIZER = "word_bpe_49k.json"
 
-#: Parts that the normaliser and the split rule leave whole: lower-case letters of ASCII.
-_PLAIN = re.compile(rb"[a-z]+")
-_CLOSED = re.compile(rb"([a-z]+)([.,!?;:])")
+#: Texts of ASCII and Latin letters, which the normaliser only lower-cases.
+_SIMPLE = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*")
+#: Fixed value: the tokenizer's split rule, for such texts.
+_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -51,71 +54,65 @@ def _model_alone(path: str):
 
     with open(path, encoding="utf-8") as f:
         told = json.load(f)
-    told |= {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "WhitespaceSplit"}}
+    told |= {"normalizer": None, "added_tokens": [], "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "WhitespaceSplit"},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    }}
     return Tokenizer.from_str(json.dumps(told))
 
 
-class PartEncoder:
+class WordEncoder:
     """Token ids of texts as little-endian 16-bit values."""
 
     def __init__(self, path: str):
-        self.path, self.known = path, {}
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[bytes, bytes] = {}
         self.tokenizer, self.model = library(path), _model_alone(path)
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         if max(vocab.values()) >= 1 << 16:
             raise ValueError("ids of this vocabulary take more than 16 bits")
-        added = self.tokenizer.get_added_tokens_decoder().values()
-        self.specials = [t.content.encode().lower() for t in added]
         self.closes = np.zeros(max(vocab.values()) + 1, bool)
         self.closes[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-
-    def folded(self, text: bytes) -> bytes:
-        """A-Z lower-cased, as the normaliser does, but not where that makes a special token."""
-        low = text.lower()
-        return text if any(s in low for s in self.specials) else low
-
-    def _plain(self, words: list[bytes]) -> list[bytes]:
-        ids = np.array(self.model.encode(b" ".join(words).decode(), add_special_tokens=False).ids, "<u2")
-        ends = (np.flatnonzero(self.closes[ids]) + 1).tolist()
-        raw, at, out = ids.tobytes(), 0, []
-        for end in ends:
-            out.append(raw[2 * at : 2 * end])
-            at = end
-        return out
-
-    def learn(self, parts: Iterable[bytes]) -> None:
-        """Encode parts that are not known, whole words together."""
-        plain, other, closed = [], [], []
-        for p in parts:
-            if _PLAIN.fullmatch(p):
-                plain.append(p)
-            elif m := _CLOSED.fullmatch(p):
-                closed.append((p, m[1], m[2]))
-            else:
-                other.append(p)
-        known = self.known
-        wanted = {w for _, a, b in closed for w in (a, b) if w not in known}.union(plain)
-        for lot in _lots(sorted(wanted), 2000):
-            letters = [w for w in lot if _PLAIN.fullmatch(w)]
-            known.update(zip(letters, self._plain(letters)) if letters else ())
-            other += [w for w in lot if not _PLAIN.fullmatch(w)]
-        for lot in _lots(other, 500):
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.specials = [t.content.lower() for t in added]
+
+    def _learn_words(self, new: set[str]) -> None:
+        """Words that the split rule leaves whole, encoded together."""
+        for lot in _lots(list(new), 1000):
+            ids = np.array(self.model.encode(" ".join(lot), add_special_tokens=False).ids, "<u2")
+            ends = (2 * (np.flatnonzero(self.closes[ids]) + 1)).tolist()
+            raw = ids.tobytes()
+            self.words.update(zip(lot, [raw[a:b] for a, b in zip([0, *ends], ends)]))
+
+    def _learn_parts(self, new: set[bytes]) -> None:
+        for lot in _lots(list(new), 500):
             done = self.tokenizer.encode_batch([p.decode() for p in lot], add_special_tokens=False)
-            known.update((p, np.array(e.ids, "<u2").tobytes()) for p, e in zip(lot, done))
-        for p, a, b in closed:
-            known[p] = known[a] + known[b]
+            self.parts.update((p, np.array(e.ids, "<u2").tobytes()) for p, e in zip(lot, done))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text."""
-        known = self.known
-        if len(known) > KEEP:
-            known.clear()
-        split = [self.folded(t.encode()).split() for t in texts]
-        new = set().union(*split).difference(known)
-        if new:
-            self.learn(new)
-        get = known.__getitem__
-        return [b"".join(map(get, parts)) for parts in split]
+        if len(self.words) > KEEP:
+            self.words.clear()
+        if len(self.parts) > KEEP // 4:
+            self.parts.clear()
+        split, by_part = [], []
+        for i, text in enumerate(texts):
+            low = text.lower()
+            if _SIMPLE.fullmatch(text) and not any(s in low for s in self.specials):
+                split.append(_SPLIT.findall(low))
+            else:
+                split.append(text.encode().split())
+                by_part.append(i)
+        other = set(by_part)
+        if new := set().union(*[w for i, w in enumerate(split) if i not in other]).difference(self.words):
+            self._learn_words(new)
+        if by_part and (new := set().union(*[split[i] for i in by_part]).difference(self.parts)):
+            self._learn_parts(new)
+        word, part = self.words.__getitem__, self.parts.__getitem__
+        return [b"".join(map(part if i in other else word, ws)) for i, ws in enumerate(split)]
 
 
 def _lots(items: list, size: int) -> Iterable[list]:
@@ -124,6 +121,6 @@ def _lots(items: list, size: int) -> Iterable[list]:
 
 
 @cache
-def encoder(path: str) -> PartEncoder:
+def encoder(path: str) -> WordEncoder:
     """One for each worker process, used from task to task."""
-    return PartEncoder(path)
+    return WordEncoder(path)

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from namewake.llm import chunk_bpe, huffman_files as hf
-from namewake.llm.words_bpe import PartEncoder, library, tokenizer_path
+from namewake.llm.words_bpe import WordEncoder, library, tokenizer_path
 from namewake.scratch import shared_folder
 from tests.llm.odd import no_docs, odd_docs, odd_rows
 
@@ -26,9 +26,9 @@ def random_texts(n, size):
     return ["".join(rng.choice(PIECES) for _ in range(rng.randint(0, size))) for _ in range(n)]
 
 
-def test_parts_encode_like_the_library():
-    texts = random_texts(4000, 60)
-    coder = PartEncoder(tokenizer_path())
+def test_words_encode_like_the_library():
+    texts = random_texts(4000, 60) + random_texts(3000, 8) + [t.encode("latin1", "ignore").decode("latin1") for t in random_texts(2000, 50)]
+    coder = WordEncoder(tokenizer_path())
     assert [np.frombuffer(c, "<u2").tolist() for c in coder.encode(texts)] == library_ids(texts)
 
 
