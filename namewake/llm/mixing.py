@@ -244,7 +244,8 @@ def plan(
     stretches = streams(sizes).select(
         "doc_id", "rk", F.col("skey").alias("of"), "begin", "size", F.explode(F.sequence(first, last)).alias("in_block")
     )
-    met = slots.join(stretches, (F.col("skey") == F.col("of")) & (F.col("block") == F.col("in_block")))
+    # Slots come out of a small table of sources and would be taken for small themselves.
+    met = slots.hint("merge").join(stretches, (F.col("skey") == F.col("of")) & (F.col("block") == F.col("in_block")))
     at = F.col("block") * block_words - F.col("begin")
     lo, hi = F.greatest(at, F.lit(0)), F.least(at + F.col("words"), F.col("size"))
     mixed = met.select("shard", "slot", "epoch", "doc_id", "rk", lo.alias("lo"), hi.alias("hi")).filter("lo < hi")
@@ -282,7 +283,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     )
     own = docs.withColumn("__own", row_key("source", "text")).dropDuplicates(["doc_id", "__own"])
     rest = [c for c in docs.columns if c != "text"]
-    met = own.join(taken, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__rk")))
+    met = own.join(taken.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__rk")))
     packed = met.select(
         F.col("text").alias("__text"), F.struct(*[F.col(f"`{c}`") for c in rest]).alias("__row"), "__spans",
         F.regexp_count("text", F.lit(WORD)).cast("bigint").alias("__size"),
@@ -302,6 +303,6 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(F.col("hi") - F.col("lo")).alias("taken")
     )
     rows = sizes.join(targets.withColumnRenamed("skey", "of"), F.col("skey") == F.col("of")).join(
-        taken, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("rk") == F.col("__rk")), "left"
+        taken.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("rk") == F.col("__rk")), "left"
     )
     return rows.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("bigint")).alias("taken"))
