@@ -48,7 +48,7 @@ def _either(tagged: Column, plain: Column, kind: str) -> Column:
 
 
 def parse_date(text: Column | str, pattern: str = "dd-MMM-yy") -> Column:
-    """Date of a text such as ``25-JUN-18``; two-digit years are of this century.
+    """Date of a text such as ``03-NOV-21``; two-digit years are of this century.
 
     Text of another form gives null.
     """
@@ -56,7 +56,7 @@ def parse_date(text: Column | str, pattern: str = "dd-MMM-yy") -> Column:
 
 
 def parse_time(text: Column | str) -> Column:
-    """Timestamp of a text such as ``2018-07-18 18:51:34.000000``, which names no zone."""
+    """Timestamp of a text such as ``2021-11-03 07:08:09.000010``, which names no zone."""
     return (F.col(text) if isinstance(text, str) else text).try_cast("timestamp_ntz")
 
 

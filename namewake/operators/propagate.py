@@ -20,19 +20,6 @@ def key_lookup(plan: DataFrame, fk: str, key: int) -> DataFrame:
     return plan.filter(F.col(fk) == key)
 
 
-def few_keys(
-    plan: DataFrame, latest: DataFrame, fk: str, key: str, size: Size, limit: int = 1000
-) -> DataFrame:
-    """Plan rows of the keys in ``latest``, as a filter the source can use.
-
-    Holds for up to ``limit`` keys, by count; with more, all rows are returned.
-    """
-    if size.rows > limit:
-        return plan
-    keys = [row[0] for row in latest.select(key).collect()]
-    return plan.filter(F.col(fk).isin(keys))
-
-
 def _lookup(latest: DataFrame, key: str, name: str) -> DataFrame:
     return latest.select(F.col(key).alias(_KEY), F.col(name).alias(_NAME))
 

@@ -98,8 +98,8 @@ ORACLES: dict[str, str] = {
         f"{_LAST_ANY} SELECT key, op_type, name, event_id FROM last_u WHERE op_type <> 'D'"
     ),
     "rekey": (
-        "SELECT CAST(user_id AS VARCHAR) AS key, event_id, user_id, event_type, value, props "
-        "FROM events"
+        "SELECT CAST(user_id AS VARCHAR) AS key, hex(CAST(user_id AS VARCHAR)) AS key_hex, "
+        "event_id, user_id, event_type, value, props FROM events"
     ),
     "key_lookup": (
         f"SELECT {_ORDER}, {_OLD} AS customer_name FROM orders WHERE o_custkey = 42"
@@ -139,23 +139,33 @@ ORACLES: dict[str, str] = {
         "LEFT JOIN last_p p ON o_orderpriority = p.key AND p.op_type <> 'D'"
     ),
     "to_json_value": (
-        f"SELECT CAST(o_orderkey AS VARCHAR) AS msg_key, {_ORDER}, {_OLD} AS customer_name "
-        "FROM orders"
+        f"SELECT CAST(o_orderkey AS VARCHAR) AS msg_key, {_ORDER}, {_OLD} AS customer_name, "
+        "hex(format('{{\"o_orderkey\":{},\"o_custkey\":{},\"o_orderstatus\":\"{}\",\"o_totalprice\":{},"
+        "\"o_orderpriority\":\"{}\",\"customer_name\":\"old#{}\"}}', o_orderkey, o_custkey, o_orderstatus, "
+        "CAST(o_totalprice AS VARCHAR), o_orderpriority, o_custkey)) AS msg_hex FROM orders"
+    ),
+    "framed_value": (
+        "SELECT event_id, '0000000015' || hex(props) AS message_hex, 21 AS schema_id, props FROM events"
     ),
-    "framed_value": "SELECT event_id, 21 AS schema_id, props FROM events",
     "union_unwrap": f"SELECT event_id, {_K} AS k, event_type AS kind FROM events",
     "keyed_line_records": (
         "SELECT CAST(o_orderkey AS VARCHAR) AS key, o_orderkey AS PLAN_ID, "
         "o_custkey AS ADVERTISER_ID, o_orderpriority AS PLAN_NAME, "
-        "CAST(NULL AS BIGINT) AS AGENCY_ID FROM orders"
+        "CAST(NULL AS BIGINT) AS AGENCY_ID, format('\"{}\":{{\"PLAN_ID\":{},\"ADVERTISER_ID\":"
+        "{{\"long\": {}}}, \"PLAN_NAME\" :\"{}\",\"AGENCY_ID\":null}}', o_orderkey, o_orderkey, o_custkey, "
+        "o_orderpriority) AS line FROM orders"
     ),
     "date_parse": (
         "SELECT o_orderkey, upper(strftime(o_orderdate, '%d-%b-%y')) AS text, "
         "strftime(strptime(strftime(o_orderdate, '%d-%b-20%y'), '%d-%b-%Y'), '%Y-%m-%d') AS day "
         "FROM orders"
     ),
-    "time_parse": "SELECT event_id, strftime(ts, '%Y%m%d%H%M%S.%f') AS at FROM events",
-    "avro_schema_to_struct": "SELECT event_id, user_id, event_type, props FROM events",
+    "time_parse": f"SELECT event_id, {_TS} AS text, strftime(ts, '%Y%m%d%H%M%S.%f') AS at FROM events",
+    "avro_schema_to_struct": (
+        "SELECT event_id, user_id, event_type, props, 'event_id:bigint,user_id:bigint,event_type:string,"
+        "props:string' AS fields, format('{{\"event_id\":{},\"user_id\":{},\"event_type\":\"{}\",\"props\":{}}}', "
+        "event_id, user_id, event_type, CAST(to_json(props) AS VARCHAR)) AS text FROM events"
+    ),
     "select_star_view": (
         f"SELECT event_id, {_TS} AS ts, user_id, event_type, value, props FROM events"
     ),
@@ -167,6 +177,23 @@ ORACLES: dict[str, str] = {
         "SELECT 'customer' AS entity, CAST(key AS VARCHAR) AS key, name FROM last_u u "
         "WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = u.key)"
     ),
+    "stream_report_all": (
+        f"WITH {_changes(key='user_id * 11')}, {_last()}, {_plan()} "
+        + " UNION ALL ".join(
+            f"SELECT '{s.entity}' AS entity, CAST(key AS VARCHAR) AS key, '{s.entity}:' || name AS name "
+            f"FROM last_u WHERE NOT EXISTS (SELECT 1 FROM plan WHERE {s.fk} = last_u.key)"
+            for s in ENTITIES.values()
+        )
+    ),
+    "stream_counts": (
+        f"WITH {_changes()} SELECT count(*) AS changes, count(*) FILTER (op_type = 'U') AS updates, "
+        "count(*) FILTER (key IS NULL) AS without_key FROM chg"
+    ),
+    "upsert_without_updates": f"SELECT {_ORDER}, {_OLD} AS customer_name FROM orders",
+    "mixed_case_columns": _NARROW,
+    "stream_upserted_rows": _upsert(),
+    "stream_old_files": _upsert(),
+    "stream_fold_two_entities": _BOTH,
     "stream_propagate": _upsert(),
     "stream_resume": _upsert(),
     "stream_late_rows": _upsert(when="u.key IS NOT NULL AND o_orderkey % 2 = 0"),
@@ -181,4 +208,17 @@ ORACLES: dict[str, str] = {
         f"{_LAST_ANY} SELECT CAST(key AS VARCHAR) AS msg_key, op_type, "
         "'division:' || name AS CHANNEL_DIVISION_NAME FROM last_u"
     ),
+    "change_log_two_queries": (
+        f"WITH {_changes()}, last_c AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY key "
+        "ORDER BY event_id <= (SELECT max(event_id) // 2 FROM events) DESC, event_id DESC) AS rn FROM chg) "
+        "WHERE rn = 1) SELECT CAST(key AS VARCHAR) AS msg_key, op_type, 'agency:' || name AS AGENCY_NAME "
+        "FROM last_c WHERE op_type <> 'D'"
+    ),
+    "change_log_raw": (
+        "WITH lines AS (SELECT event_id % 97 = 0 AS broken, CAST(user_id AS VARCHAR) AS k, "
+        "CASE WHEN event_id % 97 = 0 THEN 'no record ' || event_id ELSE format('{{\"op_type\": \"U\",  "
+        "\"PROPERTY_ID\": {}, \"PROPERTY_NAME\": \"{}\", \"EXTRA\": \"{}\"}}', user_id, event_type, event_id) END "
+        "AS line FROM events) SELECT CASE WHEN NOT broken THEN k END AS msg_key, line AS msg_value, "
+        "'logged' AS \"in\" FROM lines UNION ALL SELECT NULL, line, 'rejected' FROM lines WHERE broken"
+    ),
 } | {f"entity_{e}": _entity(spec) for e, spec in ENTITIES.items()}

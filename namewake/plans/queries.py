@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from dataclasses import replace
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,17 +12,17 @@ from pyspark.sql import functions as F
 
 from namewake.entities import ENTITIES, EntitySpec
 from namewake.functions import framing, values
-from namewake.functions.schemas import avro_to_struct
+from namewake.functions.schemas import avro_to_struct, schema_text
 from namewake.operators import changes as ch
 from namewake.operators import propagate as pr
 from namewake.plans import tables as tb
 from namewake.scratch import settle, shared_folder
-from namewake.sources.files import keyed_lines
+from namewake.sources.files import keyed_lines, raw_change_stream
 from namewake.sources.topics import declare_stream, decoded
 from namewake.streaming.feeds import tag_feed, union_feeds
 from namewake.streaming.job import Target, copy_stream, start
 from namewake.streaming.logs import FileLog, compact_log
-from namewake.streaming.targets import KeyedStoreTarget, PlanTarget
+from namewake.streaming.targets import PlanTarget, UpsertFiles
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,7 +70,8 @@ def compact_live(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rekey(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = tb.read(spark, sf_dir, "events")
     return ch.rekey(events, "user_id").select(
-        "key", "event_id", "user_id", "event_type", "value", "props"
+        "key", F.hex(values.as_bytes("key")).alias("key_hex"),
+        "event_id", "user_id", "event_type", "value", "props",
     )
 
 
@@ -207,7 +209,11 @@ def to_json_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     record = values.parse_json(values.as_text("value"), orders.schema)
     read_back = decoded(ch.non_null(messages), record)
-    return read_back.select(values.as_text("msg_key").alias("msg_key"), *orders.columns)
+    return read_back.select(
+        values.as_text("msg_key").alias("msg_key"),
+        F.hex("msg_value").alias("msg_hex"),
+        *orders.columns,
+    )
 
 
 def framed_value(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,6 +222,7 @@ def framed_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     framed = events.select("event_id", framing.frame(values.as_bytes("props"), 21).alias("value"))
     return framed.select(
         "event_id",
+        F.hex("value").alias("message_hex"),
         framing.frame_schema_id("value").alias("schema_id"),
         values.as_text(framing.unframe("value")).alias("props"),
     )
@@ -257,7 +264,8 @@ def keyed_line_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "PLAN_NAME": "string",
         "AGENCY_ID": "bigint",
     }
-    return keyed_lines(orders.select(line.alias("value")), fields)
+    lines = orders.select(line.alias("value"))
+    return keyed_lines(lines.withColumn("line", F.col("value")), fields, keep=["line"])
 
 
 def date_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,7 +283,7 @@ def time_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
     at = values.parse_time(text)
     return events.select(
-        "event_id", F.date_format(at, "yyyyMMddHHmmss.SSSSSS").alias("at")
+        "event_id", text.alias("text"), F.date_format(at, "yyyyMMddHHmmss.SSSSSS").alias("at")
     )
 
 
@@ -294,11 +302,16 @@ EVENT_RECORD = json.dumps(
 
 
 def avro_schema_to_struct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as JSON, read by the row schema of an Avro record."""
+    """Events as JSON, read by the row schema of an Avro record that is looked up by topic."""
+    folder = shared_folder(spark, "schemas")
+    spark.createDataFrame([(EVENT_RECORD,)], "value string").coalesce(1).write.text(f"{folder}/events-value/1.avsc")
+    schema = avro_to_struct(schema_text(spark, folder, "events"))
     events = tb.read(spark, sf_dir, "events")
-    schema = avro_to_struct(EVENT_RECORD)
     text = values.json_value("event_id", "user_id", "event_type", "props")
-    return events.select(values.parse_json(text, schema).alias("r")).select("r.*")
+    told = F.concat_ws(",", *(F.lit(f"{f.name}:{f.dataType.simpleString()}") for f in schema.fields))
+    return events.select(text.alias("text"), values.parse_json(text, schema).alias("r"), told.alias("fields")).select(
+        "text", "fields", "r.*"
+    )
 
 
 # Streams
@@ -355,7 +368,8 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = tb.read(spark, sf_dir, "events")
     half = events.agg(F.max("event_id")).first()[0] // 2
     arrivals = f"{folder}/arrivals"
-    for part in (F.col("event_id") <= half, F.col("event_id") > half):
+    first = F.coalesce(F.col("event_id") <= half, F.lit(False))
+    for part in (first, ~first):
         events.filter(part).write.mode("append").parquet(arrivals)
         feed = _customer_feed(tb.file_stream(spark, arrivals, events.schema))
         _finish(feed, target, folder)
@@ -366,7 +380,7 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Odd orders arrive after the updates, which leave them alone."""
     folder = shared_folder(spark, "stream-late-rows")
     orders = tb.named_orders(tb.read(spark, sf_dir, "orders"))
-    odd = F.col("o_orderkey") % 2 == 1
+    odd = F.coalesce(F.col("o_orderkey") % 2 == 1, F.lit(False))
     target = PlanTarget.create(spark, f"{folder}/target", [tb.CUSTOMER])
     target.append(orders.filter(~odd))
     _finish(_customer_feed(tb.stream(spark, sf_dir, "events")), target, folder)
@@ -419,18 +433,115 @@ def stream_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/report").select("entity", "key", "name")
 
 
+def _arrivals(spark: SparkSession, sf_dir: str, folder: str, parts: int) -> DataFrame:
+    """Events in files that arrive one after another, in order of event_id."""
+    events = tb.read(spark, sf_dir, "events")
+    bounds = events.approxQuantile("event_id", [k / parts for k in range(1, parts)], 0.001)
+    part = sum((F.coalesce(F.col("event_id") > b, F.lit(False)).cast("int") for b in bounds), F.lit(0))
+    for k in range(parts):
+        events.filter(part == k).coalesce(1).write.mode("append").parquet(f"{folder}/arrivals")
+    return events
+
+
 def stream_partial_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the job appends to a store that upserts partial rows."""
+    """Partial rows beside the plan after three micro-batches: the last of each order counts."""
     folder = shared_folder(spark, "stream-partial-rows")
-    store = f"{folder}/store"
-    tb.named_orders(tb.read(spark, sf_dir, "orders")).write.parquet(store)
-    target = KeyedStoreTarget(spark, [tb.CUSTOMER], "parquet", store, mergeSchema="true")
-    _finish(_customer_feed(tb.stream(spark, sf_dir, "events")), target, folder)
-    return (
-        target.rows()
-        .filter(F.col("o_totalprice").isNull())
-        .select("o_orderkey", "o_orderstatus", "o_custkey", "customer_name")
-    )
+    tb.named_orders(tb.read(spark, sf_dir, "orders")).write.parquet(f"{folder}/plan")
+    target = UpsertFiles(spark, [tb.CUSTOMER], f"{folder}/plan", f"{folder}/partial")
+    events = _arrivals(spark, sf_dir, folder, 3)
+    feed = tb.file_stream(spark, f"{folder}/arrivals", events.schema, max_files=1)
+    _finish(_customer_feed(feed), target, folder)
+    return target.partial_rows(tb.CUSTOMER).select("o_orderkey", "o_orderstatus", "o_custkey", "customer_name")
+
+
+def stream_upserted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plan table as such a store shows it."""
+    folder = shared_folder(spark, "stream-upserted-rows")
+    tb.named_orders(tb.read(spark, sf_dir, "orders")).write.parquet(f"{folder}/plan")
+    target = UpsertFiles(spark, [tb.CUSTOMER], f"{folder}/plan", f"{folder}/partial")
+    events = _arrivals(spark, sf_dir, folder, 3)
+    feed = tb.file_stream(spark, f"{folder}/arrivals", events.schema, max_files=1)
+    _finish(_customer_feed(feed), target, folder, log=FileLog(f"{folder}/log"))
+    return target.rows().select(*ORDER_COLUMNS)
+
+
+def _aged(spark: SparkSession, path: str, days: int) -> None:
+    """Date the files of a folder back."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.listStatus(at):
+        fs.setTimes(status.getPath(), status.getModificationTime() - days * 86_400_000, -1)
+
+
+def stream_old_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed in two halves; the files of the second are dated a month before the first."""
+    folder = shared_folder(spark, "stream-old-files")
+    target = _customer_target(spark, sf_dir, folder)
+    events = tb.read(spark, sf_dir, "events")
+    half = events.agg(F.max("event_id")).first()[0] // 2
+    first = F.coalesce(F.col("event_id") <= half, F.lit(False))
+    for k, part in enumerate((first, ~first)):
+        arrivals = f"{folder}/in/part={k}"
+        events.filter(part).write.parquet(arrivals)
+        _aged(spark, arrivals, 30 * k)
+        feed = tb.file_stream(spark, f"{folder}/in", events.schema).select(*events.columns)
+        _finish(_customer_feed(feed), target, folder)
+    return target.read(ORDER_COLUMNS)
+
+
+def stream_fold_two_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of two dimensions, folded by a process that knows one of them."""
+    folder = shared_folder(spark, "stream-fold-two")
+    target = PlanTarget.create(spark, f"{folder}/target", [tb.CUSTOMER, tb.PRIORITY])
+    target.append(tb.named_orders(tb.read(spark, sf_dir, "orders")))
+    events = tb.stream(spark, sf_dir, "events")
+    feeds = [_customer_feed(events), tag_feed(tb.priority_changes(events), tb.PRIORITY, tb.ORDER)]
+    _finish(union_feeds(feeds), target, folder)
+    PlanTarget(spark, target.path, [tb.CUSTOMER]).fold()
+    return PlanTarget(spark, target.path, []).read([*ORDER_COLUMNS, "priority_name"])
+
+
+def stream_report_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Updates of eight dimensions that no plan row took."""
+    folder = shared_folder(spark, "stream-report-all")
+    specs = list(ENTITIES.values())
+    target = PlanTarget.create(spark, f"{folder}/target", specs)
+    target.append(tb.plan_table(tb.read(spark, sf_dir, "orders")))
+    events = tb.stream(spark, sf_dir, "events").withColumn("user_id", F.col("user_id") * 11)
+    feeds = [tag_feed(tb.entity_changes(events, s), s, ["pos", "op_ts"]) for s in specs]
+    _finish(union_feeds(feeds), target, folder, report=f"{folder}/report")
+    return spark.read.parquet(f"{folder}/report").select("entity", "key", "name")
+
+
+def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the job counts of its changes, over three micro-batches."""
+    folder = shared_folder(spark, "stream-counts")
+    target = _customer_target(spark, sf_dir, folder)
+    events = _arrivals(spark, sf_dir, folder, 3)
+    feed = _customer_feed(tb.file_stream(spark, f"{folder}/arrivals", events.schema, max_files=1))
+    query = start(feed, target, f"{folder}/checkpoint", available_now=True)
+    query.awaitTermination()
+    seen = [p.observedMetrics["changes"] for p in query.recentProgress if "changes" in p.observedMetrics]
+    names = ("changes", "updates", "without_key")
+    return spark.createDataFrame([tuple(sum(getattr(r, n) for r in seen) for n in names)], ", ".join(f"{n} bigint" for n in names))
+
+
+def upsert_without_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed of inserts and deletes leaves the plan as it is."""
+    folder = shared_folder(spark, "no-updates")
+    target = _customer_target(spark, sf_dir, folder)
+    events = tb.stream(spark, sf_dir, "events").filter(F.col("event_type").isin("signup", "error"))
+    _finish(_customer_feed(events), target, folder)
+    return target.read(ORDER_COLUMNS)
+
+
+def mixed_case_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matched rows, with plan columns named in any case."""
+    latest, size = settle(_latest(tb.read(spark, sf_dir, "events")))
+    spec = replace(tb.CUSTOMER, fk="O_CustKey", plan_id="O_ORDERKEY", plan_op="o_OrderStatus")
+    hit = pr.matched_rows(tb.read(spark, sf_dir, "orders"), latest, spec, size=size)
+    return hit.select(F.col("O_OrderKey").alias("o_orderkey"), F.col("O_ORDERSTATUS").alias("o_orderstatus"),
+                      F.col("o_CUSTKEY").alias("o_custkey"), "customer_name")
 
 
 def _entity_log(spark: SparkSession, sf_dir: str, spec: EntitySpec) -> DataFrame:
@@ -460,6 +571,44 @@ def change_log_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return last.select("msg_key", "r.op_type", "r.CHANNEL_DIVISION_NAME")
 
 
+def change_log_two_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later events logged first, earlier ones by a second job: arrival decides, deletes count."""
+    folder, spec = shared_folder(spark, "log-two"), ENTITIES["agency"]
+    events = tb.read(spark, sf_dir, "events")
+    half = events.agg(F.max("event_id")).first()[0] // 2
+    first = F.coalesce(F.col("event_id") <= half, F.lit(False))
+    target = PlanTarget.create(spark, f"{folder}/target", [spec])
+    for k, part in enumerate((~first, first)):
+        events.filter(part).write.parquet(f"{folder}/in-{k}")
+        changes = tb.entity_changes(tb.file_stream(spark, f"{folder}/in-{k}", events.schema), spec)
+        message = F.when(F.col("op_type") != "D", values.json_value(*changes.columns))
+        feed = tag_feed(changes, spec, ["pos", "op_ts"], value=message)
+        start(feed, target, f"{folder}/cp-{k}", log=FileLog(f"{folder}/log"), available_now=True).awaitTermination()
+    log = FileLog(f"{folder}/log")
+    log.merge_files(spark)
+    last = compact_log(log.read(spark, feed.schema["ord"].dataType))
+    record = values.parse_json("msg_value", spec.schema)
+    return last.select("msg_key", record.alias("r")).select("msg_key", "r.op_type", "r.AGENCY_NAME")
+
+
+def change_log_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw lines, some broken, as they come into the log, and whether they are rejected."""
+    folder, spec = shared_folder(spark, "log-raw"), ENTITIES["property"]
+    events = tb.read(spark, sf_dir, "events")
+    record = F.concat(
+        F.lit('{"op_type": "U",  "PROPERTY_ID": '), "user_id", F.lit(', "PROPERTY_NAME": "'), "event_type",
+        F.lit('", "EXTRA": "'), "event_id", F.lit('"}'),
+    )
+    line = F.when(F.col("event_id") % 97 == 0, F.concat(F.lit("no record "), "event_id")).otherwise(record)
+    events.select(line.alias("value")).write.text(f"{folder}/in")
+    feed = tag_feed(raw_change_stream(spark, spec, f"{folder}/in"), spec, ["pos", "op_ts"])
+    target, log = PlanTarget.create(spark, f"{folder}/target", [spec]), FileLog(f"{folder}/log")
+    _finish(feed, target, folder, log=log, rejects=f"{folder}/rejects")
+    logged = log.read(spark, feed.schema["ord"].dataType).select("msg_key", "msg_value", F.lit("logged").alias("in"))
+    rejected = spark.read.parquet(f"{folder}/rejects").select("msg_key", "msg_value", F.lit("rejected").alias("in"))
+    return logged.unionByName(rejected)
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -495,7 +644,16 @@ QUERIES: dict[str, Query] = {
         stream_multi_entity,
         stream_report,
         stream_partial_rows,
+        stream_upserted_rows,
+        stream_old_files,
+        stream_fold_two_entities,
+        stream_report_all,
+        stream_counts,
+        upsert_without_updates,
+        mixed_case_columns,
         change_log,
         change_log_compacted,
+        change_log_two_queries,
+        change_log_raw,
     )
 } | {f"entity_{e}": partial(entity_rows, e) for e in ENTITIES}

@@ -13,22 +13,39 @@ from pyspark.sql import functions as F
 from namewake.operators.changes import one_envelope
 
 
-def starting_offsets(offsets: dict[str, dict[int, int]]) -> str:
+# Limit of a micro-batch, in messages.
+OFFSETS_PER_TRIGGER = 1_000_000
+
+# Fixed value: stands for the beginning of a partition in the reader's option.
+EARLIEST = -2
+
+
+def starting_offsets(
+    offsets: dict[str, dict[int, int]], partitions: dict[str, int] | None = None
+) -> str:
     """First offsets per topic and partition, as the reader option wants them.
 
-    They count for the first run only; later runs go on from the checkpoint.
+    They count for the first run only; later runs go on from the checkpoint. The reader
+    wants all partitions of a topic: with ``partitions``, their number by topic, those
+    that ``offsets`` leaves out start at their beginning.
     """
-    return json.dumps({t: {str(p): n for p, n in ps.items()} for t, ps in offsets.items()})
+    full = {t: dict.fromkeys(range((partitions or {}).get(t, 0)), EARLIEST) | ps for t, ps in offsets.items()}
+    return json.dumps({t: {str(p): n for p, n in ps.items()} for t, ps in full.items()})
 
 
 def topic_options(
-    servers: str, topic: str, offsets: dict[str, dict[int, int]] | None = None
+    servers: str,
+    topic: str,
+    offsets: dict[str, dict[int, int]] | None = None,
+    partitions: dict[str, int] | None = None,
+    max_offsets: int = OFFSETS_PER_TRIGGER,
 ) -> dict[str, str]:
     """Reader options; without ``offsets`` the first run starts at the beginning."""
     return {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
-        "startingOffsets": starting_offsets(offsets) if offsets else "earliest",
+        "startingOffsets": starting_offsets(offsets, partitions) if offsets else "earliest",
+        "maxOffsetsPerTrigger": str(max_offsets),
     }
 
 

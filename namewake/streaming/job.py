@@ -12,14 +12,13 @@ from namewake.entities import UPDATE, EntitySpec
 from namewake.operators.changes import latest_updates
 from namewake.operators.propagate import unmatched_updates
 from namewake.scratch import kept
-from namewake.streaming.targets import entity_sizes
 
 # Fixed value: time between micro-batches.
 BATCH_INTERVAL = "10 seconds"
 
 
 class Log(Protocol):
-    def write(self, batch: DataFrame, query_id: str, batch_id: int) -> None: ...
+    def write(self, batch: DataFrame, query_id: str, batch_id: int) -> DataFrame | None: ...
 
 
 class Target(Protocol):
@@ -39,49 +38,53 @@ def last_names(batch: DataFrame) -> DataFrame:
 def unmatched_report(names: DataFrame, target: Target) -> DataFrame:
     """Updates of a micro-batch that no plan row took, for all entities.
 
-    Keys are brought to the plan's type; one that it cannot hold matches nothing.
+    One scan of the plan's foreign keys serves all. Keys are compared as the plan's type
+    writes them; one that it cannot hold matches nothing.
     """
-    plan, sizes = target.rows(), entity_sizes(names)
-    report = names.filter(F.lit(False))
+    plan = target.rows()
+    typed, pairs = F.lit(None).cast("string"), []
     for spec in target.specs:
-        if spec.entity not in sizes:
-            continue
-        key = F.col("key").try_cast(plan.schema[spec.fk].dataType).alias("__typed")
-        latest = names.filter(F.col("entity") == spec.entity).select(*names.columns, key)
-        missed = unmatched_updates(plan, latest, spec.fk, "__typed", sizes[spec.entity])
-        report = report.unionByName(missed.drop("__typed"))
-    return report
+        kind = plan.schema[spec.fk].dataType
+        own = F.col("key").try_cast(kind).cast("string")
+        typed = F.when(F.col("entity") == spec.entity, own).otherwise(typed)
+        pairs.append(F.concat(F.lit(f"{spec.entity}:"), F.col(spec.fk).cast("string")))
+    known = names.filter(F.col("entity").isin([s.entity for s in target.specs]))
+    asked = known.withColumn("__pair", F.concat("entity", F.lit(":"), typed))
+    held = plan.select(F.explode(F.array(*pairs)).alias("__held")).filter("__held IS NOT NULL")
+    return unmatched_updates(held, asked, "__held", "__pair").drop("__pair")
 
 
 def batch_handler(
-    target: Target, log: Log | None = None, report: str | None = None
+    target: Target, log: Log | None = None, report: str | None = None, rejects: str | None = None
 ) -> Callable[[DataFrame, int], None]:
     """Copy a micro-batch to the log, then apply it; both may be repeated safely.
 
-    With ``report``, updates that match no plan row are written there. That scans
-    the foreign keys of the plan once per micro-batch. A micro-batch is kept, in
-    memory and on disk, only where both log and target need it; the source's options
-    set how large it may be.
+    What is applied is read from the log where that is in files, so that the source is
+    read once and no micro-batch is kept by executors. With ``report``, updates that match
+    no plan row are written there, at one scan of the plan's foreign keys. With
+    ``rejects``, messages that name no key, broken ones among them, are written there.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         context = batch.sparkSession.sparkContext
         # The query id stays with the checkpoint, so batch ids are unique under it.
         query_id = context.getLocalProperty("sql.streaming.queryId")
-        if log is None:
-            apply(last_names(batch), query_id, batch_id)
-        else:
-            with kept(batch) as batch:
-                log.write(batch, query_id, batch_id)
-                apply(last_names(batch), query_id, batch_id)
+        logged = log.write(batch, query_id, batch_id) if log is not None else None
+        changes = batch if logged is None else logged
+        if rejects is not None:
+            put(changes.filter(F.col("key").isNull()).select("entity", "msg_key", "msg_value"), rejects, query_id, batch_id)
+        apply(last_names(changes), query_id, batch_id)
+
+    def put(rows: DataFrame, folder: str, query_id: str, batch_id: int) -> None:
+        path = f"{folder.rstrip('/')}/query={query_id}/batch_id={batch_id}"
+        rows.write.mode("overwrite").parquet(path)
 
     def apply(names: DataFrame, query_id: str, batch_id: int) -> None:
         if report is None:
             target.put_names(names, query_id, batch_id)
         else:
-            path = f"{report.rstrip('/')}/query={query_id}/batch_id={batch_id}"
             with kept(names) as names:
-                unmatched_report(names, target).write.mode("overwrite").parquet(path)
+                put(unmatched_report(names, target), report, query_id, batch_id)
                 target.put_names(names, query_id, batch_id)
 
     return handle
@@ -93,6 +96,7 @@ def start(
     checkpoint: str,
     log: Log | None = None,
     report: str | None = None,
+    rejects: str | None = None,
     available_now: bool = False,
     interval: str = BATCH_INTERVAL,
 ) -> StreamingQuery:
@@ -102,7 +106,7 @@ def start(
     a key appear in the query's progress under ``changes``. With ``available_now``
     it ends when all input present is done, otherwise it runs until stopped.
     """
-    if log is None:
+    if log is None and rejects is None:
         # A micro-batch is computed with all its columns, so unused ones go before.
         feed = feed.drop("msg_key", "msg_value")
     observed = feed.observe(
@@ -111,7 +115,7 @@ def start(
         F.count_if(F.col("op_type") == UPDATE).alias("updates"),
         F.count_if(F.col("key").isNull()).alias("without_key"),
     )
-    writer = observed.writeStream.foreachBatch(batch_handler(target, log, report))
+    writer = observed.writeStream.foreachBatch(batch_handler(target, log, report, rejects))
     writer = writer.option("checkpointLocation", checkpoint)
     if available_now:
         return writer.trigger(availableNow=True).start()

@@ -2,26 +2,60 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from namewake.operators.changes import compact
+from namewake.streaming.commits import CommitList, latest_of_queries
 
 
 class FileLog:
-    """Changes in files, by query and micro-batch; a replay writes over itself."""
+    """Changes in files, one folder for each micro-batch, numbered as they arrive.
+
+    The number (``seq``) goes through all queries that write the log, so that a job with a
+    new checkpoint comes after the one before. A micro-batch that was logged is not logged
+    again when it is replayed. One process at a time writes; ``merge_files`` puts the small
+    files together whenever the owner wants it, beside the writer.
+    """
 
     def __init__(self, path: str, format: str = "parquet"):
         self.path, self.format = path.rstrip("/"), format
-
-    def write(self, batch: DataFrame, query_id: str, batch_id: int) -> None:
-        (
-            batch.select("entity", "msg_key", "msg_value", "ord")
-            .write.mode("overwrite")
-            .format(self.format)
-            .save(f"{self.path}/query={query_id}/batch_id={batch_id}")
+        self._list: CommitList | None = None
+
+    def _commits(self, spark: SparkSession) -> CommitList:
+        if self._list is None:
+            self._list = CommitList(spark, f"{self.path}/commits", self._live)
+        return self._list
+
+    @staticmethod
+    def _used(commits: list[Row]) -> list[Row]:
+        merged = [c for c in commits if c["kind"] == "merged"][-1:]
+        after = merged[0]["seq"] if merged else -1
+        return merged + [c for c in commits if c["kind"] == "batch" and c["seq"] > after]
+
+    def _live(self, commits: list[Row]) -> list[Row]:
+        wanted = [*self._used(commits), *latest_of_queries(commits), *commits[-1:]]
+        return [c for c in commits if any(c is w for w in wanted)]
+
+    def write(self, batch: DataFrame, query_id: str, batch_id: int) -> DataFrame:
+        """Log a micro-batch and return it as logged, from shared storage."""
+        spark, told = batch.sparkSession, self._commits(batch.sparkSession)
+        done = [c for c in told.known() if c["query"] == query_id and c["batch_id"] == batch_id]
+        seq = max((c["seq"] for c in told.known()), default=-1) + 1
+        path = done[0]["path"] if done else f"{self.path}/batches/{uuid.uuid4().hex}"
+        rows = batch.select(
+            "*",
+            F.lit(query_id).alias("query"),
+            F.lit(batch_id).cast("bigint").alias("batch_id"),
+            F.lit(seq).cast("bigint").alias("seq"),
         )
+        if not done:
+            rows.write.format(self.format).save(path)
+            told.add(seq=seq, kind="batch", path=path, query=query_id, batch_id=batch_id)
+        return spark.read.schema(rows.schema).format(self.format).load(path)
 
     def read(self, spark: SparkSession, ord_type: T.DataType, value: str = "string") -> DataFrame:
         schema = (
@@ -32,8 +66,28 @@ class FileLog:
             .add("ord", ord_type)
             .add("query", "string")
             .add("batch_id", "long")
+            .add("seq", "long")
         )
-        return spark.read.schema(schema).format(self.format).load(self.path)
+        paths = [c["path"] for c in self._used(self._commits(spark).read())]
+        if not paths:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).format(self.format).load(paths)
+
+    def merge_files(self, spark: SparkSession) -> None:
+        """Put all micro-batches logged so far into one folder."""
+        told = self._commits(spark)
+        used = self._used(told.read())
+        if len(used) > 1:
+            path = f"{self.path}/merged/{uuid.uuid4().hex}"
+            every = spark.read.format(self.format).load([c["path"] for c in used])
+            every.coalesce(max(1, every.rdd.getNumPartitions() // 4)).write.format(self.format).save(path)
+            told.add(seq=used[-1]["seq"], kind="merged", path=path)
+
+    def obsolete(self, spark: SparkSession) -> list[str]:
+        """Folders needed no more, for the owner to remove: all, in this order, or none."""
+        told = self._commits(spark)
+        used = {c["path"] for c in self._used(told.read())}
+        return sorted({c["path"] for c in told.everything()} - used) + told.earlier_segments()
 
 
 class TopicLog:
@@ -63,10 +117,15 @@ class TopicLog:
 
 
 def compact_log(log: DataFrame) -> DataFrame:
-    """The last message of every key; a message without a value deletes the key."""
+    """The last message of every key; a message without a value deletes the key.
+
+    Messages of later micro-batches are later, whichever query logged them. Messages without
+    a key, such as broken ones, are no key's last.
+    """
+    log = log.filter(F.col("msg_key").isNotNull())
     return compact(
-        log.select("entity", "msg_key", "batch_id", "ord", "msg_value"),
+        log.select("entity", "msg_key", "seq", "ord", "msg_value"),
         ["entity", "msg_key"],
-        ["batch_id", "ord"],
+        ["seq", "ord"],
         deleted=F.col("msg_value").isNull(),
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import json
 import uuid
 from collections import defaultdict
@@ -14,13 +15,17 @@ from pyspark.sql import types as T
 
 from namewake.entities import EntitySpec
 from namewake.operators.changes import latest_per_key
-from namewake.operators.propagate import few_keys, matched_rows, merge_names
+from namewake.operators.propagate import matched_rows, merge_names
 from namewake.scratch import Size, kept, row_bytes, settle
 from namewake.sources.files import table
+from namewake.streaming.commits import CommitList, folders, latest_of_queries
 
 _SEQ, _NAMES_SEQ = "__seq", "__names_seq"
 _NAMES = "entity string, key string, name string, seq bigint"
-_COMMIT = "seq bigint, kind string, path string, schema string, query string, batch_id bigint"
+_SPECS = "entity string, spec string"
+
+# Formats that append files: a partial row there is one more row, not an upsert.
+FILE_FORMATS = ("parquet", "json", "csv", "orc", "text", "avro", "xml")
 
 
 def entity_sizes(names: DataFrame) -> dict[str, Size]:
@@ -51,49 +56,55 @@ class PlanTarget:
     an update sets one column of all rows that carry its key. ``fold`` writes the
     joined table out as the new rows, at a pace of the owner's choice.
 
-    What counts is listed in ``commits``, one small file each, written after the data
+    What counts is listed in ``commits``, one small entry each, written after the data
     it names: files of a failed attempt are never seen, and a micro-batch committed
     once is skipped when it is replayed. One process at a time adds names and rows;
-    ``fold`` and ``compact_names`` may run beside it. Names are compacted whenever
-    ``compact_after`` micro-batches are pending.
+    ``fold`` and ``compact_names`` may run beside it, at a pace of the owner's choice.
+
+    The target keeps the dimensions it was ever created with. Whoever opens it, with
+    whichever of them, reads and folds the names of all.
     """
 
-    def __init__(
-        self,
-        spark: SparkSession,
-        path: str,
-        specs: Iterable[EntitySpec],
-        compact_after: int = 100,
-    ):
+    def __init__(self, spark: SparkSession, path: str, specs: Iterable[EntitySpec]):
         self.spark, self.path, self.specs = spark, path.rstrip("/"), tuple(specs)
-        self.compact_after = compact_after
-        self._known: list[Row] | None = None
+        self._list = CommitList(spark, f"{self.path}/commits", self._live)
 
     @classmethod
-    def create(
-        cls,
-        spark: SparkSession,
-        path: str,
-        specs: Iterable[EntitySpec],
-        compact_after: int = 100,
-    ) -> PlanTarget:
-        """Open the target, made anew if there is none."""
-        target = cls(spark, path, specs, compact_after)
-        none = spark.range(0).select(F.col("id").alias("seq"))
-        none.write.mode("ignore").json(f"{target.path}/commits")
+    def create(cls, spark: SparkSession, path: str, specs: Iterable[EntitySpec]) -> PlanTarget:
+        """Open the target, made anew if there is none, and add its dimensions."""
+        target = cls(spark, path, specs)
+        stored = {s.entity: s for s in target._stored_specs()}
+        new = [s for s in target.specs if stored.get(s.entity) != s]
+        if new or not stored:
+            rows = [(s.entity, json.dumps(dataclasses.asdict(s))) for s in new]
+            added = f"{target.path}/specs/{len(folders(spark, f'{target.path}/specs')):06d}"
+            spark.createDataFrame(rows, _SPECS).coalesce(1).write.json(added)
         return target
 
+    def _stored_specs(self) -> list[EntitySpec]:
+        found = {}
+        for path in folders(self.spark, f"{self.path}/specs"):
+            for r in self.spark.read.schema(_SPECS).json(path).collect():
+                told = json.loads(r["spec"])
+                told["attributes"] = tuple(map(tuple, told["attributes"]))
+                found[r["entity"]] = EntitySpec(**told | {"keep": tuple(told["keep"])})
+        return list(found.values())
+
+    def all_specs(self) -> list[EntitySpec]:
+        """The dimensions stored with the target and those it was opened with."""
+        stored = {s.entity: s for s in self._stored_specs()}
+        return list((stored | {s.entity: s for s in self.specs}).values())
+
     # commits
 
     def commits(self) -> list[Row]:
-        """All commits, as stored now."""
-        stored = self.spark.read.schema(_COMMIT).option("ignoreMissingFiles", True)
-        listed = stored.json(f"{self.path}/commits").select("*", "_metadata.file_path").collect()
-        self._known = sorted(listed, key=lambda c: c["seq"])
-        return self._known
+        """The commits that matter, as stored now; their number is bounded."""
+        return self._list.read()
 
-    def _own_commits(self) -> list[Row]:
-        return self.commits() if self._known is None else self._known
+    def _live(self, commits: list[Row]) -> list[Row]:
+        used = {c["path"] for c in self._row_commits(commits)} | set(self._name_paths(commits))
+        telling = [*latest_of_queries(commits), *commits[-1:]]
+        return [c for c in commits if c["path"] in used or any(c is t for t in telling)]
 
     def _commit(
         self,
@@ -105,17 +116,10 @@ class PlanTarget:
         batch_id: int | None = None,
     ) -> None:
         told = schema.json() if schema is not None else None
-        entry = Row(seq=seq, kind=kind, path=path, schema=told, query=query, batch_id=batch_id)
-        (
-            self.spark.range(1, numPartitions=1)
-            .select(*(F.lit(v).alias(c) for c, v in entry.asDict().items()))
-            .write.mode("append")
-            .json(f"{self.path}/commits")
-        )
-        self._known = [*self._own_commits(), entry]
+        self._list.add(seq=seq, kind=kind, path=path, schema=told, query=query, batch_id=batch_id)
 
     def _next_seq(self) -> int:
-        return max((c["seq"] for c in self._own_commits()), default=-1) + 1
+        return max((c["seq"] for c in self._list.known()), default=-1) + 1
 
     def _new_path(self, kind: str) -> str:
         return f"{self.path}/{kind}/{uuid.uuid4().hex}"
@@ -140,23 +144,30 @@ class PlanTarget:
     def put_names(self, names: DataFrame, query_id: str, batch_id: int) -> bool:
         """Commit a micro-batch's last names.
 
-        False if there are none, or if it was committed before.
+        False if there are none, or if it was committed before. Names of a dimension
+        that the target does not have are an error, and nothing is committed.
         """
-        for c in self._own_commits():
+        for c in self._list.known():
             if c["query"] == query_id and c["batch_id"] == batch_id:
                 return False
         seq, path, seen = self._next_seq(), self._new_path("names"), Observation()
         numbered = names.select("entity", "key", "name", F.lit(seq).cast("bigint").alias("seq"))
-        numbered.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+        unknown = ~F.col("entity").isin([s.entity for s in self.all_specs()])
+        numbered.observe(
+            seen, F.count(F.lit(1)).alias("rows"), F.count_if(unknown).alias("unknown")
+        ).write.parquet(path)
+        if seen.get["unknown"]:
+            raise ValueError("names of a dimension the target was not created with")
         if seen.get["rows"] == 0:
             return False
         self._commit(seq, "names", path, query=query_id, batch_id=batch_id)
-        if len(self._name_paths(self._own_commits())) > self.compact_after:
-            self.compact_names()
         return True
 
     def compact_names(self) -> None:
-        """Reduce the names committed so far to the last one per key."""
+        """Reduce the names committed so far to the last one per key.
+
+        Worth while after some hundred micro-batches, beside the job.
+        """
         commits = self.commits()
         names, stored = self._names(commits)
         if stored:
@@ -166,25 +177,21 @@ class PlanTarget:
         self._commit(commits[-1]["seq"], "compacted", path)
 
     def fold(self) -> None:
-        """Write rows and names out as the new rows."""
+        """Write rows and names, those of all dimensions, out as the new rows."""
         commits = self.commits()
         self._put_rows(self._merged(commits, None), commits[-1]["seq"], "full")
 
     def obsolete(self) -> list[str]:
         """Files and folders of the target that are needed no more, for the owner to remove.
 
-        These are data that no read uses and commits that say nothing any more; they
-        may go in any order. A reader that started earlier may still use the data.
+        These are data that no read uses, then commits of earlier segments. A reader that
+        started earlier may still use the data. All should go, in this order, or none.
         """
-        commits = self.commits()
-        used = {c["path"] for c in self._row_commits(commits)}
-        used |= set(self._name_paths(commits))
-        # A query can only replay its last micro-batch, and numbering goes on.
-        telling = {c["query"]: c["file_path"] for c in commits if c["query"]}
-        telling = {*telling.values(), *(c["file_path"] for c in commits[-1:])}
-        idle = [c for c in commits if c["path"] not in used]
-        own = [c["path"] for c in idle if c["path"].startswith(self.path)]
-        return own + [c["file_path"] for c in idle if c["file_path"] not in telling]
+        live = {c["path"] for c in self._row_commits(self.commits())}
+        live |= set(self._name_paths(self._list.known()))
+        idle = {c["path"] for c in self._list.everything()} - live
+        own = sorted(p for p in idle if p.startswith(self.path))
+        return own + self._list.earlier_segments()
 
     # reading
 
@@ -238,7 +245,7 @@ class PlanTarget:
         if not stored:
             names, _ = settle(names, "names")
         out, sizes = rows, entity_sizes(names) if names is not None else {}
-        for spec in self.specs:
+        for spec in self.all_specs():
             if wanted is not None and spec.plan_name not in wanted:
                 continue
             if spec.entity in sizes:
@@ -269,7 +276,8 @@ class KeyedStoreTarget:
     """A table in a store where appending a partial row upserts it by primary key.
 
     The table is read anew for every micro-batch and the matching rows are written
-    back with plan id, op, key, name and the columns the entity keeps.
+    back with plan id, op, key, name and the columns the entity keeps. Plain files do
+    not upsert and are refused; ``UpsertFiles`` keeps partial rows in files.
     """
 
     def __init__(
@@ -280,6 +288,8 @@ class KeyedStoreTarget:
         path: str = "",
         **options: str,
     ):
+        if format.lower() in FILE_FORMATS:
+            raise ValueError(f"{format} files do not upsert partial rows")
         self.spark, self.specs = spark, tuple(specs)
         self.format, self.path, self.options = format, path, options
 
@@ -295,12 +305,63 @@ class KeyedStoreTarget:
         return bool(sizes)
 
     def _put(self, latest: DataFrame, spec: EntitySpec, size: Size) -> None:
-        plan = few_keys(self.rows(), latest, spec.fk, spec.key, size)
-        hit = matched_rows(plan, latest, spec, size=size)
+        hit = matched_rows(self.rows(), latest, spec, size=size)
         writer = hit.write.mode("append").format(self.format).options(**self.options)
         writer.save(self.path) if self.path else writer.save()
 
 
+class UpsertFiles:
+    """A plan table in parquet with partial rows beside it; the last one per plan id counts.
+
+    What a store with upserts does, in files: ``path`` holds whole rows and is only read,
+    ``partial_path`` takes the partial rows of each dimension, numbered by micro-batch.
+    """
+
+    def __init__(self, spark: SparkSession, specs: Iterable[EntitySpec], path: str, partial_path: str):
+        self.spark, self.specs = spark, tuple(specs)
+        self.path, self.partial_path = path, partial_path.rstrip("/")
+
+    def _folder(self, spec: EntitySpec) -> str:
+        return f"{self.partial_path}/{spec.entity}"
+
+    def partial_rows(self, spec: EntitySpec) -> DataFrame | None:
+        """The last partial row of every plan id, if there is any."""
+        if not folders(self.spark, self._folder(spec)):
+            return None
+        stored = self.spark.read.option("basePath", self._folder(spec)).parquet(self._folder(spec))
+        return latest_per_key(stored, [spec.plan_id], ["seq"]).drop("seq")
+
+    def rows(self) -> DataFrame:
+        """The plan table as of now."""
+        out = self.spark.read.parquet(self.path)
+        for spec in self.specs:
+            partial = self.partial_rows(spec)
+            if partial is None:
+                if spec.plan_name not in out.columns:
+                    out = out.withColumn(spec.plan_name, F.lit(None).cast("string"))
+                continue
+            last = partial.select(
+                F.col(spec.plan_id).alias("__id"), F.col(spec.plan_name).alias("__name"), F.lit(True).alias("__hit")
+            )
+            old = F.col(spec.plan_name) if spec.plan_name in out.columns else F.lit(None).cast("string")
+            out = out.join(last, out[spec.plan_id] == last["__id"], "left").withColumn(
+                spec.plan_name, F.when(F.col("__hit"), F.col("__name")).otherwise(old)
+            ).drop("__id", "__name", "__hit")
+        return out
+
+    def put_names(self, names: DataFrame, query_id: str, batch_id: int) -> bool:
+        with kept(names) as names:
+            sizes = entity_sizes(names)
+            for spec in self.specs:
+                if spec.entity in sizes:
+                    plan = self.spark.read.parquet(self.path)
+                    latest = _names_of(names, spec, plan)
+                    hit = matched_rows(plan, latest, spec, size=sizes[spec.entity])
+                    seq = len(folders(self.spark, self._folder(spec)))
+                    hit.write.parquet(f"{self._folder(spec)}/seq={seq:010d}")
+        return bool(sizes)
+
+
 class MergeTarget:
     """A table whose format supports MERGE INTO."""
 

@@ -1,6 +1,9 @@
 """Files, lines and topics; records are invented in the shapes the feeds have."""
 
 import json
+import os
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -44,7 +47,7 @@ def plan_line(plan_id=9001, **named):
         "PLAN_NAME": "Spring plan (9000)-V2",
         "STEW_LINK_ID": None,
         **{k: {"long": v} for k, v in TAGGED_LONG.items()},
-        "START_DATE": {"string": "25-JUN-18"},
+        "START_DATE": {"string": "03-NOV-21"},
         "PLAN_CLASS": {"string": "National"},
         **named,
     }
@@ -61,7 +64,7 @@ def test_keyed_lines(spark, tmp_path):
     rows = files.keyed_line_file(spark, path, FIELDS).orderBy("key").collect()
     assert [r["key"] for r in rows] == ["9001", "9002"]
     assert rows[0]["PLAN_ID"] == 9001 and rows[0]["PROPERTY_ID"] == TAGGED_LONG["PROPERTY_ID"]
-    assert rows[0]["START_DATE"] == "25-JUN-18" and rows[0]["STEW_LINK_ID"] is None
+    assert rows[0]["START_DATE"] == "03-NOV-21" and rows[0]["STEW_LINK_ID"] is None
 
 
 def test_eight_updates_build_the_target_record(spark, tmp_path):
@@ -147,6 +150,9 @@ def test_topic_options():
     assert json.loads(options["startingOffsets"]) == {"shops": {"0": 12, "1": 7}}
     assert options["subscribe"] == "shops"
     assert topics.topic_options("host:1", "shops")["startingOffsets"] == "earliest"
+    assert topics.topic_options("host:1", "shops")["maxOffsetsPerTrigger"] == "1000000"
+    rest = topics.topic_options("host:1", "shops", {"shops": {1: 7}}, partitions={"shops": 3})
+    assert json.loads(rest["startingOffsets"]) == {"shops": {"0": -2, "1": 7, "2": -2}}
 
 
 def test_topics_need_their_module(spark):
@@ -174,3 +180,24 @@ def test_decoded_messages(spark):
     ]
     assert bytes(feed[0]["msg_value"]) == good.encode() and feed[1]["msg_value"] is None
     assert feed[0]["ord"].asDict() == {"partition": 0, "offset": 1}
+
+
+def test_old_files_and_uncommitted_files(spark, tmp_path):
+    """Files of any age are read; files beside a sink's commit log are not."""
+
+    def copy(source, sink):
+        stream = files.file_stream(spark, f"{tmp_path}/{source}", "id bigint")
+        copy_stream(stream, f"{tmp_path}/{sink}", f"{tmp_path}/checkpoint-{sink}")
+
+    Path(tmp_path, "in").mkdir()
+    for i, days in enumerate((0, 10, 900)):
+        spark.range(i, i + 1).coalesce(1).write.parquet(f"{tmp_path}/written-{i}")
+        file = next(Path(tmp_path, f"written-{i}").glob("*.parquet"))
+        os.utime(file, (time.time() - days * 86400,) * 2)
+        file.rename(Path(tmp_path, "in", file.name))
+        copy("in", "out")
+    spark.range(99, 100).coalesce(1).write.parquet(f"{tmp_path}/stray")
+    stray = next(Path(tmp_path, "stray").glob("*.parquet"))
+    stray.rename(Path(tmp_path, "out", stray.name))
+    copy("out", "again")
+    assert sorted(r["id"] for r in spark.read.parquet(f"{tmp_path}/again").collect()) == [0, 1, 2]

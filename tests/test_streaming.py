@@ -10,12 +10,13 @@ from pyspark.sql import types as T
 from namewake.entities import ENTITIES, EntitySpec
 from namewake.operators.changes import latest_updates
 from namewake.operators.joins import BROADCAST_BYTES
-from namewake.sources.files import file_stream
+from namewake.sources.files import file_stream, raw_change_stream
 from namewake.streaming import job
+from namewake.streaming.commits import CommitList, folders
 from namewake.streaming.feeds import FEED_COLUMNS, tag_feed, union_feeds
 from namewake.streaming.job import last_names, start
 from namewake.streaming.logs import FileLog, TopicLog, compact_log
-from namewake.streaming.targets import KeyedStoreTarget, MergeTarget, PlanTarget
+from namewake.streaming.targets import KeyedStoreTarget, MergeTarget, PlanTarget, UpsertFiles
 from tests.helpers import CHANGES, SPEC, change_rows, fold, plan_df, plan_rows, sorted_rows
 
 SCHEMA = CHANGES
@@ -177,7 +178,7 @@ def test_rows_that_arrive_later_are_left_alone(spark, tmp_path):
     assert sorted(kinds[p] for p in gone if p in kinds) == [
         "compacted", "names", "names", "rows", "rows",
     ]
-    assert len(gone) == 10
+    assert len(gone) == 5
     remove(gone)
     run.target = PlanTarget(spark, run.target.path, [SPEC])
     assert sorted_rows(run.target.read()) == again
@@ -187,17 +188,53 @@ def test_rows_that_arrive_later_are_left_alone(spark, tmp_path):
     assert sorted_rows(run.target.read()) == once_more
 
 
-def test_names_are_compacted_now_and_then(spark, tmp_path):
+def test_commits_are_read_in_bounded_time(spark, tmp_path):
+    """Segments of commits: many micro-batches, few files read, nothing lost."""
     plan = plan_rows(40, 4, random.Random(2))
     run = Run(spark, tmp_path, plan)
-    run.target.compact_after = 3
-    changes = [(i % 4, "U", f"n{i}", i) for i in range(6)]
-    for change in changes:
-        run.arrive([change])
-        run.go()
-    kinds = [c["kind"] for c in run.target.commits()]
-    assert kinds.count("compacted") == 1 and kinds.count("names") == 6
-    assert sorted_rows(run.target.read()) == fold(plan, changes)
+    run.target._list.segment = 4
+    names = "entity string, key string, name string"
+    changes = [(i % 4, "U", f"n{i}", i) for i in range(14)]
+    for key, _, name, i in changes:
+        run.target.put_names(spark.createDataFrame([("shop", str(key), name)], names), "q", i)
+        if i % 6 == 5:
+            run.target.compact_names()
+    assert len(folders(spark, f"{run.target.path}/commits")) > 3
+    again = PlanTarget(spark, run.target.path, [SPEC])
+    files = {c["file_path"] for c in again.commits()}
+    assert len(files) <= 5 and len(again.commits()) < 10
+    assert sorted_rows(again.read()) == fold(plan, changes)
+    assert not again.put_names(spark.createDataFrame([("shop", "1", "again")], names), "q", 13)
+    remove(again.obsolete())
+    assert sorted_rows(PlanTarget(spark, run.target.path, [SPEC]).read()) == fold(plan, changes)
+
+
+def test_a_thousand_commits_cost_no_more_than_a_hundred(spark, tmp_path):
+    def live(entries):
+        return entries[-2:]
+
+    told = CommitList(spark, f"{tmp_path}/commits", live, segment=10)
+    told.read = lambda: (_ for _ in ()).throw(AssertionError("reads while writing"))
+    told._known = []
+    for i in range(120):
+        told.add(seq=i, kind="rows", path=f"p{i}")
+    stored = CommitList(spark, f"{tmp_path}/commits", live, segment=10).read()
+    assert stored[-1]["seq"] == 119 and len(stored) <= 12
+    assert len({c["file_path"] for c in stored}) <= 11
+
+
+def test_fold_by_one_opener_keeps_the_names_of_all(spark, tmp_path):
+    person = EntitySpec("person", key="P", name="P_NAME", fk="PERSON_ID")
+    target = PlanTarget.create(spark, f"{tmp_path}/t", [SPEC, person])
+    target.append(spark.createDataFrame([(1, "U", 1, 1)], "PLAN_ID int, op_type string, SHOP_ID bigint, PERSON_ID bigint"))
+    names = "entity string, key string, name string"
+    target.put_names(spark.createDataFrame([("shop", "1", "s"), ("person", "1", "p")], names), "q", 0)
+    PlanTarget(spark, f"{tmp_path}/t", [SPEC]).fold()
+    row = PlanTarget(spark, f"{tmp_path}/t", []).read().first()
+    assert (row["SHOP_NAME"], row["P_NAME"]) == ("s", "p")
+    with pytest.raises(ValueError, match="dimension"):
+        target.put_names(spark.createDataFrame([("stranger", "1", "x")], names), "q", 1)
+    assert sorted(c["kind"] for c in target.commits()) == ["full", "names", "rows"]
 
 
 def test_fold_beside_the_writer_loses_nothing(spark, tmp_path):
@@ -292,7 +329,7 @@ def test_report_of_keys_beyond_the_plans_type(spark, tmp_path):
         "entity string, key string, name string",
     )
     assert [r["key"] for r in job.unmatched_report(names, target).collect()] == ["9999999999"]
-    target.put_names(names, "q", 0)
+    target.put_names(names.filter("entity = 'shop'"), "q", 0)
     assert [r["SHOP_NAME"] for r in target.read().collect()] == ["a"]
 
 
@@ -349,7 +386,7 @@ def test_json_log(spark, tmp_path):
 
 
 def test_log_compaction_with_tombstones(spark):
-    schema = "entity string, msg_key string, batch_id bigint, ord struct<pos:bigint>, msg_value string"
+    schema = "entity string, msg_key string, seq bigint, ord struct<pos:bigint>, msg_value string"
     rows = [
         ("a", "1", 0, (1,), "x"),
         ("a", "1", 0, (2,), "y"),
@@ -392,20 +429,105 @@ def test_topic_log_messages(spark):
     assert got == [("people", "2", None), ("shops", "1", "v")]
 
 
-def test_keyed_store_gets_the_narrow_rows(spark, tmp_path):
-    """A parquet folder stands in for the store: partial rows are appended to it."""
-    plan = [(1, "D", 1, None, "x"), (2, "I", 2, "b", "y"), (3, "U", 1, "c", "z")]
-    store = f"{tmp_path}/store"
-    spark.createDataFrame(plan, "PLAN_ID int, op_type string, SHOP_ID bigint, SHOP_NAME string, NOTE string").write.parquet(store)
-    target = KeyedStoreTarget(spark, [SPEC], "parquet", store, mergeSchema="true")
-    spark.createDataFrame([(1, "U", "a", 0), (9, "U", "n", 1)], CHANGES).write.parquet(f"{tmp_path}/in")
-    feed = tag_feed(file_stream(spark, f"{tmp_path}/in", SCHEMA), SPEC, ["pos"])
-    start(feed, target, f"{tmp_path}/cp", available_now=True).awaitTermination()
-    partial = target.rows().filter("NOTE IS NULL").orderBy("PLAN_ID").collect()
-    assert [(r["PLAN_ID"], r["op_type"], r["SHOP_ID"], r["SHOP_NAME"]) for r in partial] == [
-        (1, "D", 1, "a"),
-        (3, "U", 1, "a"),
+def test_keyed_store_refuses_plain_files(spark, tmp_path):
+    with pytest.raises(ValueError, match="upsert"):
+        KeyedStoreTarget(spark, [SPEC], "parquet", f"{tmp_path}/store")
+
+
+@pytest.mark.parametrize("batches", [1, 4])
+def test_upsert_files_equal_the_row_loop(spark, tmp_path, batches):
+    rng = random.Random(batches)
+    plan, changes = plan_rows(80, 8, rng), change_rows(80, 8, rng)
+    run = Run(spark, tmp_path, [])
+    plan_df(spark, plan).write.parquet(f"{tmp_path}/plan")
+    target = UpsertFiles(spark, [SPEC], f"{tmp_path}/plan", f"{tmp_path}/partial")
+    assert sorted_rows(target.rows()) == fold(plan, [])
+    for piece in pieces(changes, batches):
+        run.arrive(piece)
+    run.go(target, max_files=1)
+    assert sorted_rows(target.rows()) == fold(plan, changes)
+    hit = {k for k, op, _, _ in changes if op == "U" and k is not None}
+    partial = target.partial_rows(SPEC).collect()
+    assert sorted(r["PLAN_ID"] for r in partial) == sorted(r["PLAN_ID"] for r in plan if r["SHOP_ID"] in hit)
+
+
+def test_a_log_of_two_queries_is_in_order_of_arrival(spark, tmp_path):
+    run = Run(spark, tmp_path, plan_rows(10, 2, random.Random(1)))
+    for i, name in enumerate(("first", "second", "OLD")):
+        run.arrive([(1, "U", name, 9 - i)])
+        run.go()
+    Path(run.folder, "in").rename(Path(run.folder, "in-before"))
+    run.arrive([(1, "U", "NEW", 0)])
+    run.log = FileLog(f"{tmp_path}/log")  # another process
+    run.go(checkpoint="another")
+    assert [json.loads(r["msg_value"])["SHOP_NAME"] for r in compact_log(run.logged()).collect()] == ["NEW"]
+    before = sorted(map(str, run.logged().collect()))
+    run.log.merge_files(spark)
+    assert sorted(map(str, run.logged().collect())) == before
+    remove(run.log.obsolete(spark))
+    assert sorted(map(str, FileLog(f"{tmp_path}/log").read(spark, ORD).collect())) == before
+    run.arrive([(1, "U", "NEWEST", 0)])
+    run.go(checkpoint="another")
+    assert [json.loads(r["msg_value"])["SHOP_NAME"] for r in compact_log(run.logged()).collect()] == ["NEWEST"]
+
+
+def test_raw_lines_are_logged_unchanged_and_broken_ones_rejected(spark, tmp_path):
+    spec = EntitySpec("shop", key="SHOP_ID", name="SHOP_NAME")
+    lines = [
+        '{"SHOP_ID":1, "op_type":"U","SHOP_NAME":"a","EXTRA":"keep me"}', "not json at all", "",
+        '{"SHOP_ID":"text","op_type":"U","SHOP_NAME":"b"}', '{"table":"t","SHOP_ID":2,"op_type":"I"}',
     ]
+    Path(tmp_path, "in").mkdir()
+    Path(tmp_path, "in", "a.json").write_text("\n".join(lines) + "\n")
+    feed = tag_feed(raw_change_stream(spark, spec, f"{tmp_path}/in"), spec, ["pos"])
+    target = PlanTarget.create(spark, f"{tmp_path}/target", [spec])
+    log = FileLog(f"{tmp_path}/log")
+    start(feed, target, f"{tmp_path}/cp", log=log, rejects=f"{tmp_path}/rejects", available_now=True).awaitTermination()
+    logged = log.read(spark, T.StructType().add("pos", "string")).collect()
+    assert sorted(r["msg_value"] for r in logged) == sorted(lines)
+    assert sorted((r["msg_key"] or "", r["msg_value"]) for r in logged)[-2:] == [("1", lines[0]), ("2", lines[4])]
+    rejected = spark.read.parquet(f"{tmp_path}/rejects").collect()
+    assert sorted(r["msg_value"] for r in rejected) == sorted(lines[1:4])
+    assert [c["kind"] for c in target.commits()] == ["names"]
+
+
+def test_no_micro_batch_is_kept_by_executors(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    def refuse(*_):
+        raise AssertionError("kept")
+
+    monkeypatch.setattr(DataFrame, "persist", refuse)
+    run = Run(spark, tmp_path, plan_rows(10, 2, random.Random(1)))
+    run.arrive([(1, "U", "a", 0)])
+    run.go()
+    assert run.logged().count() == 1
+
+
+def test_report_scans_the_plan_once_for_all_entities(spark, tmp_path):
+    specs = list(ENTITIES.values())
+    plan = spark.range(50).select(
+        F.col("id").alias("PLAN_ID"), F.lit("U").alias("op_type"), *((F.col("id") % 9).alias(s.fk) for s in specs)
+    )
+    target = PlanTarget.create(spark, f"{tmp_path}/t", specs)
+    target.append(plan)
+    names = [(s.entity, str(k), "n") for s in specs for k in (3, 8, 9, 70)]
+    df = spark.createDataFrame(names, "entity string, key string, name string")
+    report = job.unmatched_report(df, target)
+    assert report._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+    assert sorted((r["entity"], r["key"]) for r in report.collect()) == sorted((e, k) for e, k, _ in names if int(k) > 8)
+
+
+def test_print_changes_shows_every_row(spark, tmp_path):
+    """The text goes to the JVM's output; the query tells where its rows went."""
+    run = Run(spark, tmp_path, plan_rows(2, 1, random.Random(1)))
+    run.arrive([(1, "U", "a", 0), (2, "I", "b", 1)])
+    query = job.print_changes(run.feed(), rows=7)
+    query.processAllAvailable()
+    query.stop()
+    shown = [p for p in query.recentProgress if p.numInputRows]
+    assert [p.numInputRows for p in shown] == [2]
+    assert "Console" in shown[0].sink.description and "7" in shown[0].sink.description
 
 
 def test_merge_target_reaches_merge_into(spark, tmp_path):
