@@ -161,7 +161,7 @@ def expectation_maximisation(
         told = np.where(patterns == 2, 0.0, said).sum(axis=2)
         odds = np.log(share / (1 - share)) + told[1] - told[0]
         new = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
-        if np.abs(new - good).max() < 1e-9:
+        if np.abs(new - good).max(initial=0) < 1e-9:
             break
         good = new
     return good, rates, share
@@ -170,6 +170,8 @@ def expectation_maximisation(
 def train(where: list[np.ndarray], values: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     """Weights of a hashed linear model, bias last, by adaptive gradient steps on soft labels."""
     w, scale = np.zeros(DIMENSIONS + 1), np.full(DIMENSIONS + 1, 1e-8)
+    if not len(y):
+        return w
     for epoch in range(EPOCHS):
         order = np.random.Generator(np.random.PCG64(epoch)).permutation(len(y))
         for lot in np.array_split(order, max(1, len(y) // 64)):

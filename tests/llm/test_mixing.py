@@ -93,7 +93,7 @@ def test_no_documents_and_no_words(spark):
 def test_permutations():
     for n in (1, 2, 3, 5, 64, 1000):
         seen = {tuple(mixing.feistel(np.arange(n), n, key).tolist()) for key in range(5)}
-        assert all(sorted(p) == list(range(n)) for p in seen) and (n < 5 or len(seen) == 5)
+        assert all(sorted(p) == list(range(n)) for p in seen) and (n < 64 or len(seen) == 5)
         for e in range(3):
             p = mixing.feistel(np.arange(n), n, mixing._epoch_key(9, e))
             assert p[mixing._place_of_last(n, 9, e)] == n - 1
