@@ -15,8 +15,9 @@ metric, so distances to pivots bound the distance of two documents.
    the nearer pivot, and to the other's too if the triangle inequality leaves a link across
    open: when its distance there is within twice the radius of the smaller one. Links found
    on the way join components, so that large groups of near copies, which lie within the
-   radius of a pivot, take one round and as many comparisons as sets. Regions that no pivot
-   splits further are joined pair by pair within windows of size at the end.
+   radius of a pivot, take one round and as many comparisons as sets. Pairs are compared only
+   where sizes, and what both have from the region's shingle on, allow a link. Regions that
+   no pivot splits further are joined pair by pair within windows of size at the end.
 
 All tables are spread by shingle, set or pair. No list of documents or links is collected;
 what is broadcast are two bit tables of fixed size (``FILTER_BITS``). They only order and
@@ -42,14 +43,14 @@ from namewake.llm.common import (
     U64, Batches, find_words, hash_windows, hash_words, lists, lower_ascii, map_arrow, mix,
     partitions, pieces, save, ship, text_bytes,
 )
-from namewake.llm.components import components
+from namewake.llm.components import components, near_labels
 from namewake.operators.joins import lookup_join
 
 SHINGLE, PERCENT = 5, 80
 FILTER_BITS = 27
 #: Shingles of more documents than this count as frequent and come last in the order.
 FREQUENT = 32
-LEAF, LEVELS = 12, 3
+LEAF, LEVELS = 12, 2
 _FLUSH = 1 << 20
 
 
@@ -144,12 +145,11 @@ def shingle_classes(docs: DataFrame, filter_bits: int) -> tuple[Broadcast, Broad
     slices = rows.groupBy("bucket").applyInArrow(
         _bucket_bits(bits, filter_bits), "bucket int, shared binary, frequent binary"
     )
-    size = 1 << (filter_bits - bits - 3)
-    tables = np.zeros((2, 1 << bits, size), np.uint8)
-    for r in slices.collect():  # as many bytes as the tables have, however many documents
-        tables[0, r["bucket"]] = np.frombuffer(r["shared"], np.uint8)
-        tables[1, r["bucket"]] = np.frombuffer(r["frequent"], np.uint8)
-    return tuple(spark.sparkContext.broadcast(t.tobytes()) for t in tables)
+    none = bytes(1 << (filter_bits - bits - 3))
+    # As many bytes as the tables have, however many documents.
+    rows = {r["bucket"]: (bytes(r["shared"]), bytes(r["frequent"])) for r in slices.collect()}
+    tables = [b"".join(rows.get(b, (none, none))[i] for b in range(1 << bits)) for i in range(2)]
+    return tuple(spark.sparkContext.broadcast(t) for t in tables)
 
 
 def _points(shared: Broadcast, frequent: Broadcast, filter_bits: int, percent: int):
@@ -163,7 +163,7 @@ def _points(shared: Broadcast, frequent: Broadcast, filter_bits: int, percent: i
         for batch in batches:
             ids, texts = batch.columns
             for lo, hi in pieces(texts):
-                n, sids, posts, sets = [], [], [], []
+                n, sids, alone, posts, sets = [], [], [], [], []
                 for s in shingle_sets(texts.slice(lo, hi - lo)):
                     n.append(len(s))
                     total = np.add.reduce(mix(s ^ U64(0x5851F42D4C957F2D)), dtype=U64)
@@ -171,7 +171,8 @@ def _points(shared: Broadcast, frequent: Broadcast, filter_bits: int, percent: i
                     slots = s >> U64(64 - filter_bits)
                     first, last = flags(tables[0], slots), flags(tables[1], slots)
                     front = len(s) - (percent * len(s) + 99) // 100 + 1
-                    open_ = front - int(len(s) - first.sum())
+                    alone.append(len(s) - int(first.sum()))
+                    open_ = front - alone[-1]
                     if len(s) and open_ > 0:
                         mine = s[first == 1]
                         mine = mine[np.argsort(last[first == 1], kind="stable")][:open_]
@@ -182,9 +183,9 @@ def _points(shared: Broadcast, frequent: Broadcast, filter_bits: int, percent: i
                         sets.append(None)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(lo, hi - lo), pa.array(n, pa.int64()),
-                     pa.array(np.array(sids, U64).astype(np.int64)), lists(posts, pa.int64()),
-                     pa.array(sets, pa.binary())],
-                    names=["doc_id", "n", "sid", "front", "shingles"],
+                     pa.array(np.array(sids, U64).astype(np.int64)), pa.array(alone, pa.int64()),
+                     lists(posts, pa.int64()), pa.array(sets, pa.binary())],
+                    names=["doc_id", "n", "sid", "alone", "front", "shingles"],
                 )
 
     return run
@@ -215,23 +216,28 @@ def _compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def _similar_sizes(a: str, b: str, percent: int) -> F.Column:
-    return (100 * F.col(a) >= percent * F.col(b)) & (100 * F.col(b) >= percent * F.col(a))
-
-
 def _pairs_within(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a region's sets in different components, of sizes that allow a link."""
-    x = members.select("region", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-    y = members.select("region", F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-    met = x.join(y, "region").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")))
-    return met.filter(_similar_sizes("na", "nb", percent)).select("a", "b").distinct()
+    """Pairs of a region's sets in different components that may still link.
+
+    Two sets that meet first at the region's shingle have no more in common than what either
+    has from there on (``rest``); pairs that met before are found in that earlier region.
+    """
+    x, y = (
+        members.select("region", F.col("sid").alias(s), F.col("n").alias(f"n{s}"),
+                       F.col("rest").alias(f"r{s}"), F.col("comp").alias(f"c{s}"))
+        for s in "ab"
+    )
+    both = F.least("ra", "rb")
+    enough = 100 * both >= percent * (F.col("na") + F.col("nb") - both)
+    met = x.join(y, "region").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & enough)
+    return met.select("a", "b").distinct()
 
 
 def _size_windows(members: DataFrame, percent: int) -> DataFrame:
     """Regions cut into windows of size; sets that can link share one."""
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9)
     windows = F.explode(F.array(band, band + 1)).alias("band")
-    cut = members.select("region", "sid", "n", "comp", windows)
+    cut = members.select("region", "sid", "n", "rest", "comp", windows)
     return cut.withColumn("region", F.xxhash64("region", "band")).drop("band")
 
 
@@ -239,14 +245,18 @@ def _different(regions: DataFrame) -> DataFrame:
     """One of all regions with the same members, of those with two members or more.
 
     Copies share dozens of shingles, and pivots that part nothing give equal regions twice.
+    The one kept is the first in the order of shingles, where all members have most left.
     """
     alike = [F.bit_xor(F.xxhash64("sid", F.lit(i))).alias(f"x{i}") for i in range(2)]
-    told = regions.groupBy("region").agg(F.count(F.lit(1)).alias("size"), *alike).filter("size > 1")
-    return regions.join(told.groupBy("size", "x0", "x1").agg(F.min("region").alias("region")).select("region"), "region")
+    told = regions.groupBy("region").agg(
+        F.count(F.lit(1)).alias("size"), F.sum("rest").alias("left"), *alike
+    ).filter("size > 1")
+    first = told.groupBy("size", "x0", "x1").agg(F.max(F.struct("left", "region")).alias("best"))
+    return regions.join(first.select(F.col("best.region").alias("region")), "region")
 
 
 def _linked(links: DataFrame | None, regions: DataFrame) -> DataFrame:
-    """Members (region, sid, n) with their components."""
+    """Members (region, sid, n, rest, own) with their components."""
     if links is None:
         return regions.withColumn("comp", F.col("sid"))
     own = regions.join(links, F.col("sid") == F.col("node"), "left")
@@ -257,20 +267,25 @@ def similar_sets(points: DataFrame, percent: int) -> DataFrame | None:
     """(node, comp) for sets linked to another set; None where there are none."""
     own = points.filter(F.col("shingles").isNotNull())
     sets = save(own.groupBy("sid").agg(
-        F.first("n").alias("n"), F.first("front").alias("front"), F.first("shingles").alias("shingles")
+        F.first("n").alias("n"), F.first("alone").alias("alone"), F.first("front").alias("front"),
+        F.first("shingles").alias("shingles"),
     ), "sets")
-    fronts = sets.select(F.explode("front").alias("region"), "sid", "n")
+    fronts = sets.select("sid", "n", "alone", F.posexplode("front").alias("at", "region")).select(
+        "region", "sid", "n", (F.col("n") - F.col("alone") - F.col("at")).alias("rest"),
+        (F.col("alone") / F.col("n")).alias("own"),
+    )
     regions = save(_different(fronts), "regions")
     links, found = None, None
     for level in range(LEVELS + 1):
         members = _linked(links, regions)
-        order = [F.xxhash64("comp", F.lit(level)), F.xxhash64("sid", F.lit(level)), F.col("sid")]
-        ranked = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
+        # One pivot with few shingles of its own, in the midst of the others; one of any component.
+        central = F.struct("own", F.xxhash64("sid", F.lit(level)).alias("h"), "sid")
+        other = F.struct(F.xxhash64("comp", F.lit(level)).alias("c"), F.xxhash64("sid", F.lit(level)).alias("h"), "sid")
         state = members.groupBy("region").agg(
             F.count(F.lit(1)).alias("size"), F.min("comp").alias("c0"), F.max("comp").alias("c1"),
-            F.min(ranked).alias("p"), F.max(ranked).alias("q"),
+            F.min(central).alias("p"), F.max(other).alias("q"),
         ).filter("c0 <> c1").select(
-            "region", "size", F.col("p.k2").alias("p"), F.col("q.k2").alias("q")
+            "region", "size", F.col("p.sid").alias("p"), F.col("q.sid").alias("q")
         )
         members = save(members.join(state, "region"), "members")
         if members.isEmpty():
@@ -290,12 +305,12 @@ def similar_sets(points: DataFrame, percent: int) -> DataFrame | None:
             F.col("a").alias("u"), F.col("b").alias("v")
         )
         found = new if found is None else found.unionByName(new)
-        links = components(found)
         if level == LEVELS:
             break
+        links = save(near_labels(found), "labels")  # enough to pass over what is linked already
         regions = _voronoi(members.filter(~small), compared, 1 - percent / 100)
         regions = save(_different(regions), "regions")
-    return links
+    return None if found is None else components(found)
 
 
 def _voronoi(members: DataFrame, compared: DataFrame, radius: float) -> DataFrame:
@@ -303,14 +318,14 @@ def _voronoi(members: DataFrame, compared: DataFrame, radius: float) -> DataFram
     gap = 1 - F.col("both") / F.col("either")
     away = compared.select("a", "b", gap.alias("d"))
     away = away.unionByName(away.select(F.col("b").alias("a"), F.col("a").alias("b"), "d"))
-    rows = members.select("region", "sid", "n", F.explode(F.array("p", "q")).alias("pivot"))
+    rows = members.select("region", "sid", "n", "rest", "own", F.explode(F.array_distinct(F.array("p", "q"))).alias("pivot"))
     far = rows.join(
         away, (F.col("sid") == F.col("a")) & (F.col("pivot") == F.col("b")), "left"
     ).withColumn("d", F.coalesce("d", F.lit(0.0)))  # none for the pivot itself
     nearest = F.min("d").over(Window.partitionBy("region", "sid"))
     reach = F.col("nearest") + 2 * radius + 1e-9
     near = far.withColumn("nearest", nearest).filter(F.col("d") <= reach)
-    return near.select(F.xxhash64("region", "pivot").alias("region"), "sid", "n").distinct()
+    return near.select(F.xxhash64("region", "pivot").alias("region"), "sid", "n", "rest", "own")
 
 
 def classes(docs: DataFrame, percent: int = PERCENT, filter_bits: int = FILTER_BITS) -> DataFrame:
@@ -319,7 +334,7 @@ def classes(docs: DataFrame, percent: int = PERCENT, filter_bits: int = FILTER_B
     shared, frequent = shingle_classes(docs, filter_bits)
     points = save(
         map_arrow(docs.select("doc_id", "text"), _points(shared, frequent, filter_bits, percent),
-                  "doc_id bigint, n bigint, sid bigint, front array<bigint>, shingles binary"),
+                  "doc_id bigint, n bigint, sid bigint, alone bigint, front array<bigint>, shingles binary"),
         "points",
     )
     links = similar_sets(points, percent)
