@@ -6,11 +6,13 @@ are boilerplate and go; documents with too little left are rejected, as are docu
 fail the plain rules (too few words, too much repetition).
 
 Copies must not make each other's lines look like boilerplate. So documents count as
-distinct only when their other lines differ: a document stands under the smallest and the
-largest hash among its other lines, which most near copies share; the fewer of both count,
-and a line goes only where they are at least half of all documents that have it.
+distinct only where they are no near copies: exact copies (equal host and text) count once,
+and so do all documents of one class of near copies, as operator 5 finds them (exact Jaccard
+similarity of shingles). A page that shares less than that with any other page is a document
+of its own, however many of its lines are boilerplate. Classes are only looked for among
+documents with a line that more distinct texts than the limit have; no other line can go.
 
-Counting is two aggregates that combine map-side. Lines above the limit are few beside all
+Counting is aggregates that combine map-side. Lines above the limit are few beside all
 lines (each stands for ``max_docs`` documents at least); they are joined back by broadcast
 where counted to fit, else by a salted shuffle, since one line may be in a third of all rows.
 
@@ -33,11 +35,12 @@ from namewake.llm.common import (
     U64, Batches, among, by_text, find_words, hash_windows, hash_words, map_arrow, mix,
     pieces, row_key, save, strings, text_bytes,
 )
+from namewake.llm.jaccard_join import classes
 from namewake.operators.joins import lookup_join
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
-#: A line goes when more documents of one host than this have it: the larger of both counts.
+#: A line goes when more distinct documents of one host than this have it: the larger of both.
 MAX_DOCS, MAX_SHARE = 20, 0.002
 #: A document goes when less than this share of its words is left.
 MIN_LEFT = 0.2
@@ -46,8 +49,7 @@ _STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _SCHEMA = (
     "doc_id bigint, host string, rk bigint, "
     + ", ".join(f"{c} bigint" for c in _STATS)
-    + ", lines array<struct<h:bigint,words:bigint>>, "
-    + ", ".join(f"sig{i} bigint" for i in range(4))
+    + ", lines array<struct<h:bigint,words:bigint>>"
 )
 
 
@@ -84,17 +86,15 @@ def word_stats(texts: pa.Array) -> dict[str, np.ndarray]:
     }
 
 
-def _lines(text: str) -> tuple[int, dict[int, int], list[int | None]]:
-    """Repeated lines; words by line hash; the two smallest and the two largest hashes."""
+def _lines(text: str) -> tuple[int, dict[int, int]]:
+    """Repeated lines; words by line hash."""
     raw = [line for line in text.encode().split(b"\n") if line.split()]
     by_hash: dict[int, int] = {}
     for line in raw:
         normal = normal_line(line)
         h = line_hash(normal)
         by_hash[h] = by_hash.get(h, 0) + normal.count(b" ") + 1
-    order = sorted(by_hash)
-    ends = [end[:2] + [None] * (2 - len(end[:2])) for end in (order, order[::-1])]
-    return len(raw) - len(set(raw)), by_hash, ends[0] + ends[1]
+    return len(raw) - len(set(raw)), by_hash
 
 
 def _profile(batches: Batches) -> Batches:
@@ -104,20 +104,17 @@ def _profile(batches: Batches) -> Batches:
         for lo, hi in pieces(texts):
             part = texts.slice(lo, hi - lo)
             stats = word_stats(part)
-            dup, lines, sig = [], [], ([], [], [], [])
+            dup, lines = [], []
             for text in strings(part):
-                n, by_hash, ends = _lines(text)
+                n, by_hash = _lines(text)
                 dup.append(n)
                 lines.append([{"h": h, "words": w} for h, w in by_hash.items()])
-                for held, h in zip(sig, ends):
-                    held.append(h)
             stats["n_dup_lines"] = np.array(dup, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [ids.slice(lo, hi - lo), hosts.slice(lo, hi - lo), rks.slice(lo, hi - lo)]
                 + [pa.array(stats[c], pa.int64()) for c in _STATS]
-                + [pa.array(lines, lines_type)]
-                + [pa.array(s, pa.int64()) for s in sig],
-                names=["doc_id", "host", "rk", *_STATS, "lines", *(f"sig{i}" for i in range(4))],
+                + [pa.array(lines, lines_type)],
+                names=["doc_id", "host", "rk", *_STATS, "lines"],
             )
 
 
@@ -125,21 +122,38 @@ def _host_key(host: Column, h: Column) -> Column:
     return F.concat(F.hex(h), F.coalesce(F.concat(F.lit("="), host), F.lit("")))
 
 
-def frequent_lines(profile: DataFrame, max_docs: int, max_share: float) -> DataFrame:
+def frequent_lines(
+    profile: DataFrame, own: DataFrame, max_docs: int, max_share: float
+) -> DataFrame:
     """Hosts' lines (host, h) in more distinct documents than the limit."""
-    lines = profile.select("host", "sig0", "sig1", "sig2", "sig3", F.explode("lines.h").alias("h"))
-    counts = None
-    for end, (first, second) in enumerate((("sig0", "sig1"), ("sig2", "sig3"))):
-        other = F.when(F.col("h") == F.col(first), F.col(second)).otherwise(F.col(first))
-        alike = lines.groupBy("host", "h", other.alias("other")).agg(F.count(F.lit(1)).alias("n"))
-        distinct = alike.groupBy("host", "h").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("rows"))
-        above = distinct.filter((F.col("docs") > max_docs) & (2 * F.col("docs") >= F.col("rows")))
-        if counts is None:
-            counts = above
-        else:
-            ours = above.select(F.col("host").alias("h2"), F.col("h").alias("l2"), F.col("docs").alias("d2"))
-            same = F.col("host").eqNullSafe(F.col("h2")) & (F.col("h") == F.col("l2"))
-            counts = counts.join(ours, same).withColumn("docs", F.least("docs", "d2"))
+    lines = profile.select("row", "host", "rk", F.explode("lines.h").alias("h"))
+    alike = lines.groupBy("host", "h", "rk").agg(F.count(F.lit(1)).alias("n"))
+    often = alike.groupBy("host", "h").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("rows"))
+    often = save(
+        often.filter(F.col("docs") > max_docs).select(
+            _host_key(F.col("host"), F.col("h")).alias("key"), F.col("rows")
+        ),
+        "many-texts",
+    )
+    if often.isEmpty():
+        return profile.select("host", F.col("rk").alias("h")).limit(0)
+    keyed = lines.withColumn("line_key", _host_key(F.col("host"), F.col("h")))
+    met = lookup_join(keyed, often, "line_key", "key", "inner", row_id=["row"])
+    met = save(met.select("host", "h", "rk", "rows").distinct(), "documents-of-lines")
+    texts = lookup_join(
+        own, met.select(F.col("rk").alias("wanted")).distinct(), "rk", "wanted", "inner", row_id=["doc_id"]
+    )
+    texts = save(
+        texts.select(F.col("rk").alias("doc_id"), "text").dropDuplicates(["doc_id"]), "texts"
+    )
+    kinds = save(
+        classes(texts).select(F.col("doc_id").alias("of"), F.col("component_id").alias("kind")), "kinds"
+    )
+    told = lookup_join(met, kinds, "rk", "of", "inner", row_id=["h"])
+    counts = told.select("host", "h", "rows", "kind").distinct().groupBy("host", "h", "rows").agg(
+        F.count(F.lit(1)).alias("docs")
+    )
+    counts = counts.filter((F.col("docs") > max_docs) & (2 * F.col("docs") >= F.col("rows")))
     sizes = profile.groupBy(F.col("host").alias("of")).agg(F.count(F.lit(1)).alias("size"))
     return (
         counts.join(sizes, F.col("host").eqNullSafe(F.col("of")))
@@ -163,7 +177,7 @@ def judge(
         map_arrow(own, _profile, _SCHEMA).withColumn("row", F.monotonically_increasing_id()),
         "line-profile",
     )
-    frequent = frequent_lines(profile, max_docs, max_share).select(
+    frequent = frequent_lines(profile, own, max_docs, max_share).select(
         _host_key(F.col("host"), F.col("h")).alias("key"), F.lit(True).alias("above")
     )
     frequent = save(frequent, "frequent-lines")

@@ -55,3 +55,34 @@ def test_clean_documents_keep_all_columns(spark):
     assert kept.schema == docs.schema
     good = {r.doc_id for r in quality_rules.judge(docs).collect() if r.kept}
     assert sorted(r.doc_id for r in kept.collect()) == sorted(r[0] for r in odd_rows() if r[0] in good)
+
+
+def pages(n, own, shared, at=0):
+    """Different pages of ``own`` lines each, with ``shared`` notices in all."""
+    notices = [" ".join(f"notice{k}w{j}" for j in range(6)) for k in range(shared)]
+    return [
+        (at + i, "\n".join([" ".join(f"p{at + i}l{k}w{j}" for j in range(60)) for k in range(own)] + notices))
+        for i in range(n)
+    ]
+
+
+def test_several_shared_lines_of_one_host_all_go(spark):
+    rows = [
+        (100 * c + i, text, f"{own}+{shared}")
+        for c, (own, shared) in enumerate([(1, 1), (1, 2), (1, 3), (3, 5), (1, 10), (10, 10)])
+        for i, text in pages(30, own, shared)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = quality_rules.judge(docs).collect()
+    hosts = {i: host for i, _, host in rows}
+    for r in got:
+        assert r.removed_words == 6 * int(hosts[r.doc_id].split("+")[1]) and r.kept, hosts[r.doc_id]
+
+
+def test_depleted_documents_are_rejected(spark):
+    rows = [(i, text, "h") for i, text in pages(30, 2, 10)]
+    bare = "\n".join(rows[0][1].split("\n")[2:] + ["a few words of its own"])
+    docs = spark.createDataFrame(rows + [(1000, bare, "h")], "doc_id bigint, text string, source string")
+    got = {r.doc_id: r for r in quality_rules.judge(docs).collect()}
+    assert not got[1000].base_failed and not got[1000].kept and got[1000].removed_words == 60
+    assert all(got[i].kept for i in range(30))
