@@ -9,7 +9,9 @@ Copies must not make each other's lines look like boilerplate. So documents coun
 distinct only where they are no near copies: exact copies (equal host and text) count once,
 and so do all documents of one class of near copies, as operator 5 finds them (exact Jaccard
 similarity of shingles). A page that shares less than that with any other page is a document
-of its own, however many of its lines are boilerplate. Classes are only looked for among
+of its own, however many of its lines are boilerplate. The share of a host is one of its
+distinct documents too, so that copies keep no line in, how many there may be.
+Classes are only looked for among
 documents with a line that more distinct texts than the limit have; no other line can go.
 
 Counting is aggregates that combine map-side. Lines above the limit are few beside all
@@ -127,19 +129,16 @@ def frequent_lines(
 ) -> DataFrame:
     """Hosts' lines (host, h) in more distinct documents than the limit."""
     lines = profile.select("row", "host", "rk", F.explode("lines.h").alias("h"))
-    alike = lines.groupBy("host", "h", "rk").agg(F.count(F.lit(1)).alias("n"))
-    often = alike.groupBy("host", "h").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("rows"))
+    often = lines.select("host", "h", "rk").distinct().groupBy("host", "h").agg(F.count(F.lit(1)).alias("docs"))
     often = save(
-        often.filter(F.col("docs") > max_docs).select(
-            _host_key(F.col("host"), F.col("h")).alias("key"), F.col("rows")
-        ),
+        often.filter(F.col("docs") > max_docs).select(_host_key(F.col("host"), F.col("h")).alias("key")),
         "many-texts",
     )
     if often.isEmpty():
         return profile.select("host", F.col("rk").alias("h")).limit(0)
     keyed = lines.withColumn("line_key", _host_key(F.col("host"), F.col("h")))
     met = lookup_join(keyed, often, "line_key", "key", "inner", row_id=["row"])
-    met = save(met.select("host", "h", "rk", "rows").distinct(), "documents-of-lines")
+    met = save(met.select("host", "h", "rk").distinct(), "documents-of-lines")
     texts = lookup_join(
         own, met.select(F.col("rk").alias("wanted")).distinct(), "rk", "wanted", "inner", row_id=["doc_id"]
     )
@@ -150,13 +149,18 @@ def frequent_lines(
         classes(texts).select(F.col("doc_id").alias("of"), F.col("component_id").alias("kind")), "kinds"
     )
     told = lookup_join(met, kinds, "rk", "of", "inner", row_id=["h"])
-    counts = told.select("host", "h", "rows", "kind").distinct().groupBy("host", "h", "rows").agg(
-        F.count(F.lit(1)).alias("docs")
+    counts = told.select("host", "h", "kind").distinct().groupBy("host", "h").agg(F.count(F.lit(1)).alias("docs"))
+    # Texts of a host, less those that are near copies of another one.
+    texts_of = profile.select("host", "rk").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("n"))
+    seen = told.select("host", "rk", "kind").distinct()
+    kinds_of = seen.select("host", "kind").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("n"))
+    seen_of = seen.groupBy("host").agg((-F.count(F.lit(1))).alias("n"))
+    sizes = texts_of.unionByName(kinds_of).unionByName(seen_of).groupBy(F.col("host").alias("of")).agg(
+        F.sum("n").alias("size")
     )
-    counts = counts.filter((F.col("docs") > max_docs) & (2 * F.col("docs") >= F.col("rows")))
-    sizes = profile.groupBy(F.col("host").alias("of")).agg(F.count(F.lit(1)).alias("size"))
     return (
-        counts.join(sizes, F.col("host").eqNullSafe(F.col("of")))
+        counts.filter(F.col("docs") > max_docs)
+        .join(sizes, F.col("host").eqNullSafe(F.col("of")))
         .filter(F.col("docs") > F.col("size") * max_share)
         .select("host", "h")
     )

@@ -86,3 +86,14 @@ def test_depleted_documents_are_rejected(spark):
     got = {r.doc_id: r for r in quality_rules.judge(docs).collect()}
     assert not got[1000].base_failed and not got[1000].kept and got[1000].removed_words == 60
     assert all(got[i].kept for i in range(30))
+
+
+def test_copies_do_not_keep_lines_in(spark):
+    rows = [(i, text, "h") for i, text in pages(30, 2, 2)]
+    rows += [(100 + i, rows[0][1], "h") for i in range(100)]  # more copies of one page than pages
+    near = rows[1][1].split("\n")
+    rows += [(300 + i, "\n".join([near[0] + f" copy{i}", *near[1:]]), "h") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    for share in (0.002, 0.5):  # 30 documents, not 230, are what the share is taken of
+        got = quality_rules.judge(docs, max_share=share).collect()
+        assert len(got) == 230 and all(r.removed_words == 12 and r.kept for r in got)
