@@ -5,15 +5,17 @@ that grows with the text's length whatever it holds.
 
 *Method.* A base value that recurs is a protected entity. How strongly a term ``t`` reveals
 an entity ``e`` is estimated from the corpus: PMI(t; e) = log(N n(t,e) / (n(t) n(e))), over
-documents, with n(t,e) those that have ``t`` within ``REACH`` words of ``e``. Knowing the
+whole documents, with n(t,e) those that have both, wherever in the text. Knowing the
 entity itself would tell IC(e) = log(N / n(e)). A term that tells at least ``DISCLOSURE`` of
-that, in ``MIN_CONTEXTS`` different surroundings or more (copies of one passage are one), is
-disclosive, and its mentions near the entity become spans too. ``sanitize`` puts labels in
-place of base spans, generalises disclosive numbers and names, and removes other terms.
+that, in documents with ``MIN_CONTEXTS`` different surroundings of the entity (``REACH`` words
+on each side, one for each document) or more (copies of one passage are one), is disclosive, and all its mentions in documents
+that hold the entity become spans too. ``sanitize`` puts labels in place of base spans,
+generalises disclosive numbers and names, and removes other terms.
 
-Co-occurrence is linear in the number of mentions (2 ``REACH`` terms each), counts combine
-map-side, and the terms whose documents must be counted are told by a bit table of fixed
-size; a collision there only counts a term in vain.
+Only entities in enough surroundings can be disclosed, and n(t,e) <= n(e) bounds the n(t) of
+terms that can tell enough, so terms and entities are paired after both bounds, which lose
+nothing. Counts combine map-side, and the terms whose documents must be counted are told by
+a bit table of fixed size; a collision there only counts a term in vain.
 
 Defined results: null and empty texts have no spans. Repeated rows are judged alike, each
 comes back, and they count as documents each. An entity in every document discloses
@@ -101,32 +103,34 @@ def _entity(kind: int, value: str) -> int:
     return _key(f"{kind}:" + (value.lower() if kind < 2 else _NOT_DIGIT.sub("", value)))
 
 
-def near_terms(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, int]]:
-    """(entity, term, start, end, surroundings) for the words around every base span."""
-    out, covered = [], sorted((a, b) for _, a, b in spans)
-    words = []
-    k = 0
+def mentions(text: str, spans: list[tuple[int, int, int]]) -> tuple[list, list]:
+    """(term, start, end) of all words outside base spans; (entity, surroundings), one for each
+    entity, so that a document is one of its surroundings however often it names it."""
+    covered = sorted((a, b) for _, a, b in spans)
+    words, k = [], 0
     for m in _WORD.finditer(text):
         while k < len(covered) and covered[k][1] <= m.start():
             k += 1
         if not (k < len(covered) and covered[k][0] < m.end()) and len(m[0]) > 2:
-            words.append(m.span())
-    starts = [w[0] for w in words]
+            words.append((m[0].lower(), *m.span()))
+    starts = np.array([w[1] for w in words], np.int64)
+    keys = {w: _key(w) for w in {w[0] for w in words}}
+    held: dict[int, int] = {}
     for kind, a, b in spans:
         at = int(np.searchsorted(starts, a))
         around = words[max(0, at - REACH) : at + REACH]
-        terms = [text[x:y].lower() for x, y in around]
-        context, entity = _key(" ".join(terms)), _entity(kind, text[a:b])
-        out += [(entity, _key(t), x, y, context) for t, (x, y) in zip(terms, around)]
-    return out
+        entity, context = _entity(kind, text[a:b]), _key(" ".join(w[0] for w in around))
+        held[entity] = min(context, held.get(entity, context))
+    return [(keys[w], a, b) for w, a, b in words], sorted(held.items())
 
 
 _SPAN = pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64())])
-_NEAR_FIELDS = ("entity", "term", "start", "end", "context")
-_NEAR = pa.struct([(f, pa.int64()) for f in _NEAR_FIELDS])
+_WORD_FIELDS, _HELD_FIELDS = ("term", "start", "end"), ("entity", "context")
+_WORDS, _HELD = (pa.struct([(f, pa.int64()) for f in fields]) for fields in (_WORD_FIELDS, _HELD_FIELDS))
 _FOUND = (
     "doc_id bigint, rk bigint, spans array<struct<kind:int,start:bigint,end:bigint>>, "
-    "near array<struct<entity:bigint,term:bigint,start:bigint,end:bigint,context:bigint>>"
+    "words array<struct<term:bigint,start:bigint,end:bigint>>, "
+    "held array<struct<entity:bigint,context:bigint>>"
 )
 
 
@@ -134,15 +138,18 @@ def _find(batches: Batches) -> Batches:
     for batch in batches:
         ids, rks, texts = batch.columns
         for lo, hi in pieces(texts):
-            spans, near = [], []
+            spans, words, held = [], [], []
             for text in strings(texts.slice(lo, hi - lo)):
                 found = base_spans(text)
                 spans.append([{"kind": k, "start": a, "end": b} for k, a, b in found])
-                near.append([dict(zip(_NEAR_FIELDS, x)) for x in (near_terms(text, found) if found else ())])
+                own, of = mentions(text, found) if found else ((), ())
+                words.append([dict(zip(_WORD_FIELDS, x)) for x in own])
+                held.append([dict(zip(_HELD_FIELDS, x)) for x in of])
             yield pa.RecordBatch.from_arrays(
                 [ids.slice(lo, hi - lo), rks.slice(lo, hi - lo),
-                 pa.array(spans, pa.list_(_SPAN)), pa.array(near, pa.list_(_NEAR))],
-                names=["doc_id", "rk", "spans", "near"],
+                 pa.array(spans, pa.list_(_SPAN)), pa.array(words, pa.list_(_WORDS)),
+                 pa.array(held, pa.list_(_HELD))],
+                names=["doc_id", "rk", "spans", "words", "held"],
             )
 
 
@@ -185,21 +192,31 @@ def _term_counts(table: Broadcast):
     return run
 
 
-def disclosive(docs: DataFrame, found: DataFrame, min_contexts: int, least: float) -> DataFrame:
+def disclosive(
+    docs: DataFrame, found: DataFrame, held: DataFrame, words: DataFrame, min_contexts: int, least: float
+) -> DataFrame:
     """(entity, term) pairs above the disclosure threshold, from counts over all documents."""
-    near = found.select("row", F.explode("near").alias("x")).select("row", "x.entity", "x.term", "x.context")
-    pairs = near.groupBy("entity", "term", "context").agg(F.count_distinct("row").alias("docs"))
-    pairs = pairs.groupBy("entity", "term").agg(F.sum("docs").alias("both"), F.count(F.lit(1)).alias("contexts"))
-    pairs = save(pairs.filter(F.col("contexts") >= min_contexts), "pairs")
-    table = _term_table(pairs.select("term"))
-    counted = map_arrow(docs.select("text"), _term_counts(table), "term bigint, docs bigint")
-    terms = counted.groupBy("term").agg(F.sum("docs").alias("with_term"))
-    entities = near.select("row", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity"))
-    n = F.lit(found.count()).cast("double")
-    told = F.log(n * F.col("both") / (F.col("with_term") * F.col("with_entity")))
-    whole = F.log(n / F.col("with_entity"))
-    met = pairs.join(terms, "term").join(entities, "entity")
-    return met.filter((whole > 0) & (told >= F.lit(least) * whole)).select("entity", "term")
+    n = found.count()
+    met = words.select("row", "term").distinct()
+    often = met.groupBy("term").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_contexts)
+    often = save(often.select("term"), "terms")
+    counted = map_arrow(docs.select("text"), _term_counts(_term_table(often)), "term bigint, docs bigint")
+    terms = counted.groupBy(F.col("term").alias("of")).agg(F.sum("docs").alias("with_term"))
+    # told >= least * whole, and n(t,e) <= n(e): a term in more documents cannot tell enough.
+    bound = F.pow(F.lit(float(n)), F.lit(1 - least)) * F.pow(F.col("with_entity"), F.lit(least)) * (1 + 1e-9)
+    most = held.select(F.max(bound)).first()[0] or 0.0
+    terms = save(terms.filter(F.col("with_term") <= most), "rare-terms")
+    rare = lookup_join(met, terms, "term", "of", "inner", row_id=["row"])
+    pairs = rare.join(held, "row").filter(F.col("with_term") <= bound)
+    by = ["entity", "term", "with_entity", "with_term"]
+    both = pairs.groupBy(*by).agg(F.count(F.lit(1)).alias("both"))
+    seen = pairs.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(
+        F.count(F.lit(1)).alias("contexts")
+    )
+    enough = both.join(seen.filter(F.col("contexts") >= min_contexts), ["entity", "term"])
+    told = F.log(F.lit(float(n)) * F.col("both") / (F.col("with_term") * F.col("with_entity")))
+    whole = F.log(F.lit(float(n)) / F.col("with_entity"))
+    return enough.filter((whole > 0) & (told >= F.lit(least) * whole)).select("entity", "term")
 
 
 def find_spans(
@@ -211,20 +228,29 @@ def find_spans(
     found = save(
         map_arrow(own, _find, _FOUND).withColumn("row", F.monotonically_increasing_id()), "mentions"
     )
-    pairs = save(
-        disclosive(docs, found, min_contexts, disclosure).select(
-            F.concat_ws(":", "entity", "term").alias("key"), F.lit(True).alias("tells")
-        ),
-        "disclosive",
+    held = found.select("row", F.explode("held").alias("x")).select("row", "x.entity", "x.context")
+    contexts = held.select("entity", "context").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("contexts"))
+    sizes = held.select("row", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity"))
+    recurring = contexts.filter(F.col("contexts") >= min_contexts).join(sizes, "entity")
+    recurring = save(recurring.select(F.col("entity").alias("of"), "with_entity"), "entities")
+    held = save(lookup_join(held, recurring, "entity", "of", "inner", row_id=["row", "context"]), "held")
+    bearing = found.join(held.select("row").distinct(), "row", "left_semi")
+    words = save(
+        bearing.select("row", F.explode("words").alias("x")).select("row", "x.term", "x.start", "x.end"), "words"
+    )
+    pairs = save(disclosive(docs, found, held, words, min_contexts, disclosure), "disclosive")
+    near = lookup_join(
+        words, pairs.select(F.col("term").alias("tells")).distinct(), "term", "tells", "inner", row_id=["row", "start"]
     )
-    near = found.select("row", F.explode("near").alias("x")).select(
-        "row", F.concat_ws(":", "x.entity", "x.term").alias("pair"), F.col("x.start").alias("start"), F.col("x.end").alias("end")
+    near = near.join(held.select("row", "entity").distinct(), "row").select(
+        "row", F.concat_ws(":", "entity", "term").alias("pair"), "start", "end"
     )
-    hit = lookup_join(near, pairs, "pair", "key", "inner", row_id=["row", "start"])
+    keys = pairs.select(F.concat_ws(":", "entity", "term").alias("key"))
+    hit = lookup_join(near, keys, "pair", "key", "inner", row_id=["row", "start"])
     added = hit.groupBy(F.col("row").alias("of_row")).agg(
         F.collect_set(F.struct(F.lit(4).alias("kind"), "start", "end")).alias("terms")
     )
-    rows = found.drop("near").join(added, F.col("row") == F.col("of_row"), "left")
+    rows = found.drop("words", "held").join(added, F.col("row") == F.col("of_row"), "left")
     return rows.select("doc_id", "rk", "spans", "terms")
 
 

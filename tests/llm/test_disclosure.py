@@ -90,3 +90,19 @@ def test_odd_rows(spark):
 
 def test_sanitized_covers_overlapping_spans():
     assert disclosure.sanitized("abc def ghi", [(0, 0, 5), (1, 4, 9), (4, 8, 11)]) == "[email][ip]"
+
+
+def test_terms_far_from_the_entity_are_marked(spark):
+    rng = random.Random(7)
+    rows = []
+    for i in range(60):
+        words = [f"common{rng.randrange(40)}" for _ in range(60)]
+        if i < 5:
+            words[50:50] = ["joe@example.org"]
+            words[30:30] = ["Zanzibar"]  # 20 words off
+            words[2:2] = ["Zanzibar"]
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    clean = {r.doc_id: r.text for r in disclosure.sanitize(docs).collect()}
+    for i, text in rows:
+        assert clean[i] == text.replace("Zanzibar", "[name]").replace("joe@example.org", "[email]")
