@@ -14,6 +14,7 @@ from namewake.llm import (
     mixing,
     quality_model,
     quality_rules,
+    sharding,
     topk_search,
     toxicity,
     url_filters,
@@ -30,8 +31,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_disclosure": disclosure.query,
     "op9_bpe_chunks": chunk_bpe.query,
     "op10_quality_rules": quality_rules.query,
+    "op13_sharding": sharding.query,
 }
 ORACLES: dict[str, str] = {
     "op1_url_filters": url_filters.ORACLE,
     "op10_quality_rules": quality_rules.ORACLE,
+    "op13_sharding": sharding.ORACLE,
 }
