@@ -12,6 +12,7 @@ from namewake.llm import (
     huffman_files,
     jaccard_join,
     mixing,
+    prefix_trie,
     quality_model,
     quality_rules,
     sharding,
@@ -31,10 +32,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_disclosure": disclosure.query,
     "op9_bpe_chunks": chunk_bpe.query,
     "op10_quality_rules": quality_rules.query,
+    "op11_prefix_trie": prefix_trie.query,
     "op13_sharding": sharding.query,
 }
 ORACLES: dict[str, str] = {
     "op1_url_filters": url_filters.ORACLE,
     "op10_quality_rules": quality_rules.ORACLE,
+    "op11_prefix_trie": prefix_trie.ORACLE,
     "op13_sharding": sharding.ORACLE,
 }

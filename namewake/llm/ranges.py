@@ -52,26 +52,24 @@ def stream_sha256(pieces: DataFrame, by: Sequence[str], at: Sequence[str], skip:
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ordered.schema.fields[:-1])
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, state, out = None, None, []
+        current, state, schema = None, None, None
         for batch in batches:
-            *keys, texts = batch.to_pydict().values()
-            for key, text in zip(zip(*keys), texts):
-                if key != current:
+            keys = pa.schema([batch.schema.field(i) for i in range(len(by))])
+            schema, out = keys.append(pa.field("sha256", pa.string())), []
+            *columns, texts = batch.to_pydict().values()
+            for key, text in zip(zip(*columns), texts):
+                if state is None or key != current:
                     if state is not None:
                         out.append((*current, state.hexdigest()))
                     current, state, text = key, hashlib.sha256(), text[skip:]
                 state.update(text)
-            yield _rows(out, fields)
-            out = []
+            if out:
+                yield _batch(out, schema)
         if state is not None:
-            yield _rows([(*current, state.hexdigest())], fields)
+            yield _batch([(*current, state.hexdigest())], schema)
 
-    fields = [*by, "sha256"]
     return map_arrow(ordered, hashed, f"{kinds}, sha256 string")
 
 
-def _rows(rows: list[tuple], fields: list[str]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) or [[] for _ in fields]
-    kinds = [pa.string() if f == "sha256" else None for f in fields]
-    made = [pa.array(c, k) if k else pa.array(c, pa.int64() if not c else None) for c, k in zip(columns, kinds)]
-    return pa.RecordBatch.from_arrays(made, fields)
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
