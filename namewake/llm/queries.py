@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from namewake.llm import (
     chunk_bpe,
+    conversation_repair,
     disclosure,
     huffman_files,
     jaccard_join,
@@ -33,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe_chunks": chunk_bpe.query,
     "op10_quality_rules": quality_rules.query,
     "op11_prefix_trie": prefix_trie.query,
+    "op12_conversation_repair": conversation_repair.query,
     "op13_sharding": sharding.query,
 }
 ORACLES: dict[str, str] = {
