@@ -89,6 +89,24 @@ _BOTH = (
     "LEFT JOIN last_p p ON o_orderpriority = p.key"
 )
 
+_REPORT_ALL = f"WITH {_changes(key='user_id * 11')}, {_last()}, {_plan()} " + " UNION ALL ".join(
+    f"SELECT '{s.entity}' AS entity, CAST(key AS VARCHAR) AS key, '{s.entity}:' || name AS name "
+    f"FROM last_u WHERE NOT EXISTS (SELECT 1 FROM plan WHERE {s.fk} = last_u.key)"
+    for s in ENTITIES.values()
+)
+
+
+def _state(k: int) -> str:
+    """The star after the first ``k`` thirds of the events."""
+    upto = f"WHERE op_type = 'U' AND event_id <= (SELECT max(event_id) * {k} // 3 FROM events)"
+    return (
+        f"SELECT * FROM (WITH {_last(where=upto)}, {_last('chg_p', 'last_p', where=upto)} "
+        f"SELECT o_orderkey, {k} AS state, CASE WHEN u.key IS NOT NULL THEN u.name ELSE {_OLD} END AS customer_name, "
+        "p.name AS priority_name FROM orders LEFT JOIN last_u u ON o_custkey = u.key "
+        "LEFT JOIN last_p p ON o_orderpriority = p.key)"
+    )
+
+
 ORACLES: dict[str, str] = {
     "change_extract": f"WITH {_changes()} SELECT key, op_type, name FROM chg",
     "update_filter": f"WITH {_changes()} SELECT key, op_type, name FROM chg WHERE op_type = 'U'",
@@ -177,14 +195,8 @@ ORACLES: dict[str, str] = {
         "SELECT 'customer' AS entity, CAST(key AS VARCHAR) AS key, name FROM last_u u "
         "WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = u.key)"
     ),
-    "stream_report_all": (
-        f"WITH {_changes(key='user_id * 11')}, {_last()}, {_plan()} "
-        + " UNION ALL ".join(
-            f"SELECT '{s.entity}' AS entity, CAST(key AS VARCHAR) AS key, '{s.entity}:' || name AS name "
-            f"FROM last_u WHERE NOT EXISTS (SELECT 1 FROM plan WHERE {s.fk} = last_u.key)"
-            for s in ENTITIES.values()
-        )
-    ),
+    "stream_report_all": _REPORT_ALL,
+    "stream_report_index": _REPORT_ALL,
     "stream_counts": (
         f"WITH {_changes()} SELECT count(*) AS changes, count(*) FILTER (op_type = 'U') AS updates, "
         "count(*) FILTER (key IS NULL) AS without_key FROM chg"
@@ -194,6 +206,12 @@ ORACLES: dict[str, str] = {
     "stream_upserted_rows": _upsert(),
     "stream_old_files": _upsert(),
     "stream_fold_two_entities": _BOTH,
+    "stream_fold_beside_writer": _upsert(),
+    "upsert_buckets": _upsert(),
+    "key_lookup_skipping": f"{_upsert()} WHERE o_custkey = 42",
+    "star_as_of": (
+        f"WITH {_changes()}, {_changes(key=_PRIORITY, alias='chg_p')} " + " UNION ALL ".join(map(_state, (1, 2, 3)))
+    ),
     "stream_propagate": _upsert(),
     "stream_resume": _upsert(),
     "stream_late_rows": _upsert(when="u.key IS NOT NULL AND o_orderkey % 2 = 0"),

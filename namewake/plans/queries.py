@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import replace
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +21,7 @@ from namewake.sources.files import keyed_lines, raw_change_stream
 from namewake.sources.topics import declare_stream, decoded
 from namewake.streaming.feeds import tag_feed, union_feeds
 from namewake.streaming.job import Target, copy_stream, start
-from namewake.streaming.logs import FileLog, compact_log
+from namewake.streaming.logs import FileLog, TargetLog, compact_log
 from namewake.streaming.targets import PlanTarget, UpsertFiles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -433,14 +433,16 @@ def stream_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/report").select("entity", "key", "name")
 
 
-def _arrivals(spark: SparkSession, sf_dir: str, folder: str, parts: int) -> DataFrame:
-    """Events in files that arrive one after another, in order of event_id."""
+def _in_parts(spark: SparkSession, sf_dir: str, folder: str, parts: int) -> Iterator[DataFrame]:
+    """The feed's stream, anew each time that another part of the events has arrived."""
     events = tb.read(spark, sf_dir, "events")
-    bounds = events.approxQuantile("event_id", [k / parts for k in range(1, parts)], 0.001)
-    part = sum((F.coalesce(F.col("event_id") > b, F.lit(False)).cast("int") for b in bounds), F.lit(0))
+    last = events.agg(F.max("event_id")).first()[0] or 0
+    part = F.lit(0)
+    for k in range(1, parts):
+        part += F.coalesce(F.col("event_id") > last * k // parts, F.lit(False)).cast("int")
     for k in range(parts):
-        events.filter(part == k).coalesce(1).write.mode("append").parquet(f"{folder}/arrivals")
-    return events
+        events.filter(part == k).write.mode("append").parquet(f"{folder}/arrivals")
+        yield tb.file_stream(spark, f"{folder}/arrivals", events.schema)
 
 
 def stream_partial_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -448,9 +450,8 @@ def stream_partial_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "stream-partial-rows")
     tb.named_orders(tb.read(spark, sf_dir, "orders")).write.parquet(f"{folder}/plan")
     target = UpsertFiles(spark, [tb.CUSTOMER], f"{folder}/plan", f"{folder}/partial")
-    events = _arrivals(spark, sf_dir, folder, 3)
-    feed = tb.file_stream(spark, f"{folder}/arrivals", events.schema, max_files=1)
-    _finish(_customer_feed(feed), target, folder)
+    for events in _in_parts(spark, sf_dir, folder, 3):
+        _finish(_customer_feed(events), target, folder)
     return target.partial_rows(tb.CUSTOMER).select("o_orderkey", "o_orderstatus", "o_custkey", "customer_name")
 
 
@@ -459,12 +460,69 @@ def stream_upserted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "stream-upserted-rows")
     tb.named_orders(tb.read(spark, sf_dir, "orders")).write.parquet(f"{folder}/plan")
     target = UpsertFiles(spark, [tb.CUSTOMER], f"{folder}/plan", f"{folder}/partial")
-    events = _arrivals(spark, sf_dir, folder, 3)
-    feed = tb.file_stream(spark, f"{folder}/arrivals", events.schema, max_files=1)
-    _finish(_customer_feed(feed), target, folder, log=FileLog(f"{folder}/log"))
+    for events in _in_parts(spark, sf_dir, folder, 3):
+        _finish(_customer_feed(events), target, folder, log=FileLog(f"{folder}/log"))
     return target.rows().select(*ORDER_COLUMNS)
 
 
+def stream_fold_beside_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fold and a compaction begin before a micro-batch and end after it, in another process."""
+    folder = shared_folder(spark, "stream-fold-beside")
+    target = _customer_target(spark, sf_dir, folder)
+    keeper = PlanTarget(spark, target.path, [tb.CUSTOMER])
+    begun: list = [None, None]
+    for events in _in_parts(spark, sf_dir, folder, 4):
+        _finish(_customer_feed(events), target, folder, log=TargetLog(target))
+        for entry in begun:
+            keeper.finish(entry)
+        begun = [keeper.begin_compaction(), keeper.begin_fold()]
+    return target.read(ORDER_COLUMNS)
+
+
+BUCKETS = 16
+
+
+def _bucketed_orders(spark: SparkSession, sf_dir: str, folder: str) -> PlanTarget:
+    target = PlanTarget.create(spark, f"{folder}/target", [tb.CUSTOMER], buckets=BUCKETS)
+    target.append(tb.named_orders(tb.read(spark, sf_dir, "orders")))
+    target.fold()
+    return target
+
+
+def upsert_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in buckets by id; after each part of the feed, buckets it changed are rewritten."""
+    folder = shared_folder(spark, "upsert-buckets")
+    target = _bucketed_orders(spark, sf_dir, folder)
+    for events in _in_parts(spark, sf_dir, folder, 2):
+        _finish(_customer_feed(events), target, folder)
+        target.fold()
+    return target.read(ORDER_COLUMNS)
+
+
+def key_lookup_skipping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One customer's orders with its newest name, out of the files that may hold them."""
+    folder = shared_folder(spark, "lookup-skipping")
+    target = _bucketed_orders(spark, sf_dir, folder)
+    _finish(_customer_feed(tb.stream(spark, sf_dir, "events")), target, folder)
+    return target.lookup("o_custkey", 42, ORDER_COLUMNS)
+
+
+def star_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of two dimensions as three earlier states of the table had them."""
+    folder = shared_folder(spark, "star-as-of")
+    target = PlanTarget.create(spark, f"{folder}/target", [tb.CUSTOMER, tb.PRIORITY])
+    target.append(tb.named_orders(tb.read(spark, sf_dir, "orders")))
+    numbers = []
+    for events in _in_parts(spark, sf_dir, folder, 3):
+        feeds = [_customer_feed(events), tag_feed(tb.priority_changes(events), tb.PRIORITY, tb.ORDER)]
+        _finish(union_feeds(feeds), target, folder)
+        numbers.append(target.commits()[-1]["number"])
+    target.fold()
+    columns = ["o_orderkey", "customer_name", "priority_name"]
+    states = [target.read(columns, as_of=n).withColumn("state", F.lit(k + 1)) for k, n in enumerate(numbers)]
+    return reduce(DataFrame.unionByName, states)
+
+
 def _aged(spark: SparkSession, path: str, days: int) -> None:
     """Date the files of a folder back."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -501,11 +559,9 @@ def stream_fold_two_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return PlanTarget(spark, target.path, []).read([*ORDER_COLUMNS, "priority_name"])
 
 
-def stream_report_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Updates of eight dimensions that no plan row took."""
-    folder = shared_folder(spark, "stream-report-all")
+def _report_all(spark: SparkSession, sf_dir: str, folder: str, **settings: bool) -> DataFrame:
     specs = list(ENTITIES.values())
-    target = PlanTarget.create(spark, f"{folder}/target", specs)
+    target = PlanTarget.create(spark, f"{folder}/target", specs, **settings)
     target.append(tb.plan_table(tb.read(spark, sf_dir, "orders")))
     events = tb.stream(spark, sf_dir, "events").withColumn("user_id", F.col("user_id") * 11)
     feeds = [tag_feed(tb.entity_changes(events, s), s, ["pos", "op_ts"]) for s in specs]
@@ -513,15 +569,24 @@ def stream_report_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/report").select("entity", "key", "name")
 
 
+def stream_report_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Updates of eight dimensions that no plan row took."""
+    return _report_all(spark, sf_dir, shared_folder(spark, "stream-report-all"))
+
+
+def stream_report_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, found among the keys stored beside the rows."""
+    return _report_all(spark, sf_dir, shared_folder(spark, "stream-report-index"), index=True)
+
+
 def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the job counts of its changes, over three micro-batches."""
     folder = shared_folder(spark, "stream-counts")
-    target = _customer_target(spark, sf_dir, folder)
-    events = _arrivals(spark, sf_dir, folder, 3)
-    feed = _customer_feed(tb.file_stream(spark, f"{folder}/arrivals", events.schema, max_files=1))
-    query = start(feed, target, f"{folder}/checkpoint", available_now=True)
-    query.awaitTermination()
-    seen = [p.observedMetrics["changes"] for p in query.recentProgress if "changes" in p.observedMetrics]
+    target, seen = _customer_target(spark, sf_dir, folder), []
+    for events in _in_parts(spark, sf_dir, folder, 3):
+        query = start(_customer_feed(events), target, f"{folder}/checkpoint", available_now=True)
+        query.awaitTermination()
+        seen += [p.observedMetrics["changes"] for p in query.recentProgress if "changes" in p.observedMetrics]
     names = ("changes", "updates", "without_key")
     return spark.createDataFrame([tuple(sum(getattr(r, n) for r in seen) for n in names)], ", ".join(f"{n} bigint" for n in names))
 
@@ -647,7 +712,12 @@ QUERIES: dict[str, Query] = {
         stream_upserted_rows,
         stream_old_files,
         stream_fold_two_entities,
+        stream_fold_beside_writer,
+        upsert_buckets,
+        key_lookup_skipping,
+        star_as_of,
         stream_report_all,
+        stream_report_index,
         stream_counts,
         upsert_without_updates,
         mixed_case_columns,

@@ -54,17 +54,28 @@ def change_stream(
     path: str,
     format: str = "json",
     max_files: int | None = None,
+    max_file_age: str = MAX_FILE_AGE,
+    **options: str,
 ) -> DataFrame:
-    """The change feed of one dimension, either spelling of the envelope."""
+    """The change feed of one dimension, either spelling of the envelope.
+
+    ``options`` go to the reader, such as ``cleanSource``.
+    """
     schema = T.StructType([T.StructField("table", T.StringType()), *spec.schema.fields])
-    return one_envelope(file_stream(spark, path, schema, format, max_files))
+    return one_envelope(file_stream(spark, path, schema, format, max_files, max_file_age, **options))
 
 
 def raw_change_stream(
-    spark: SparkSession, spec: EntitySpec, path: str, max_files: int | None = None
+    spark: SparkSession,
+    spec: EntitySpec,
+    path: str,
+    max_files: int | None = None,
+    max_file_age: str = MAX_FILE_AGE,
+    **options: str,
 ) -> DataFrame:
     """The same feed line by line, with each line unchanged as the message (``msg_value``)."""
-    return opened_lines(file_stream(spark, path, "value string", "text", max_files), spec)
+    lines = file_stream(spark, path, "value string", "text", max_files, max_file_age, **options)
+    return opened_lines(lines, spec)
 
 
 def opened_lines(lines: DataFrame, spec: EntitySpec, line: str = "value") -> DataFrame:

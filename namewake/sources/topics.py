@@ -54,12 +54,16 @@ def topic_stream(
     servers: str,
     topic: str,
     offsets: dict[str, dict[int, int]] | None = None,
+    partitions: dict[str, int] | None = None,
     **options: str,
 ) -> DataFrame:
-    """Messages of one topic: text key, binary value, partition and offset."""
+    """Messages of one topic: text key, binary value, partition and offset.
+
+    Given options override those of ``topic_options``.
+    """
     return (
         spark.readStream.format("kafka")
-        .options(**topic_options(servers, topic, offsets), **options)
+        .options(**topic_options(servers, topic, offsets, partitions) | options)
         .load()
         .select(F.col("key").cast("string"), "value", "partition", "offset")
     )

@@ -12,6 +12,8 @@ from namewake.entities import UPDATE, EntitySpec
 from namewake.operators.changes import latest_updates
 from namewake.operators.propagate import unmatched_updates
 from namewake.scratch import kept
+from namewake.streaming.logs import TargetLog
+from namewake.streaming.targets import PlanTarget, typed_key
 
 # Fixed value: time between micro-batches.
 BATCH_INTERVAL = "10 seconds"
@@ -38,19 +40,20 @@ def last_names(batch: DataFrame) -> DataFrame:
 def unmatched_report(names: DataFrame, target: Target) -> DataFrame:
     """Updates of a micro-batch that no plan row took, for all entities.
 
-    One scan of the plan's foreign keys serves all. Keys are compared as the plan's type
+    A target that keeps the keys of its rows is asked for these, and no row is read. Else
+    one scan of the plan's foreign keys serves all. Keys are compared as the plan's type
     writes them; one that it cannot hold matches nothing.
     """
     plan = target.rows()
-    typed, pairs = F.lit(None).cast("string"), []
-    for spec in target.specs:
-        kind = plan.schema[spec.fk].dataType
-        own = F.col("key").try_cast(kind).cast("string")
-        typed = F.when(F.col("entity") == spec.entity, own).otherwise(typed)
-        pairs.append(F.concat(F.lit(f"{spec.entity}:"), F.col(spec.fk).cast("string")))
     known = names.filter(F.col("entity").isin([s.entity for s in target.specs]))
+    typed = typed_key(target.specs, plan.schema)
     asked = known.withColumn("__pair", F.concat("entity", F.lit(":"), typed))
-    held = plan.select(F.explode(F.array(*pairs)).alias("__held")).filter("__held IS NOT NULL")
+    keys = target.known_keys() if isinstance(target, PlanTarget) else None
+    if keys is not None:
+        held = keys.select(F.concat("entity", F.lit(":"), "key").alias("__held"))
+    else:
+        pairs = [F.concat(F.lit(f"{s.entity}:"), F.col(s.fk).cast("string")) for s in target.specs]
+        held = plan.select(F.explode(F.array(*pairs)).alias("__held")).filter("__held IS NOT NULL")
     return unmatched_updates(held, asked, "__held", "__pair").drop("__pair")
 
 
@@ -61,8 +64,9 @@ def batch_handler(
 
     What is applied is read from the log where that is in files, so that the source is
     read once and no micro-batch is kept by executors. With ``report``, updates that match
-    no plan row are written there, at one scan of the plan's foreign keys. With
-    ``rejects``, messages that name no key, broken ones among them, are written there.
+    no plan row are written there, see ``unmatched_report``. With ``rejects``, messages that
+    name no key, broken ones among them, are written there. With the target's own log, a
+    micro-batch is in both or in neither.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -73,19 +77,20 @@ def batch_handler(
         changes = batch if logged is None else logged
         if rejects is not None:
             put(changes.filter(F.col("key").isNull()).select("entity", "msg_key", "msg_value"), rejects, query_id, batch_id)
-        apply(last_names(changes), query_id, batch_id)
+        together = {"log": log.stored(query_id, batch_id)} if isinstance(log, TargetLog) else {}
+        apply(last_names(changes), query_id, batch_id, together)
 
     def put(rows: DataFrame, folder: str, query_id: str, batch_id: int) -> None:
         path = f"{folder.rstrip('/')}/query={query_id}/batch_id={batch_id}"
         rows.write.mode("overwrite").parquet(path)
 
-    def apply(names: DataFrame, query_id: str, batch_id: int) -> None:
+    def apply(names: DataFrame, query_id: str, batch_id: int, together: dict[str, str]) -> None:
         if report is None:
-            target.put_names(names, query_id, batch_id)
+            target.put_names(names, query_id, batch_id, **together)
         else:
             with kept(names) as names:
                 put(unmatched_report(names, target), report, query_id, batch_id)
-                target.put_names(names, query_id, batch_id)
+                target.put_names(names, query_id, batch_id, **together)
 
     return handle
 

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from namewake.operators.changes import compact
-from namewake.streaming.commits import CommitList, latest_of_queries
+from namewake.streaming.commits import CommitList, Entry, at, existing, last_of, latest_of_queries
+from namewake.streaming.targets import ID, PlanTarget, numbered
 
 
 class FileLog:
@@ -17,8 +19,8 @@ class FileLog:
 
     The number (``seq``) goes through all queries that write the log, so that a job with a
     new checkpoint comes after the one before. A micro-batch that was logged is not logged
-    again when it is replayed. One process at a time writes; ``merge_files`` puts the small
-    files together whenever the owner wants it, beside the writer.
+    again when it is replayed. Several processes may write; ``merge_files`` puts the small
+    files together whenever the owner wants it, beside the writers.
     """
 
     def __init__(self, path: str, format: str = "parquet"):
@@ -31,32 +33,50 @@ class FileLog:
         return self._list
 
     @staticmethod
-    def _used(commits: list[Row]) -> list[Row]:
-        merged = [c for c in commits if c["kind"] == "merged"][-1:]
-        after = merged[0]["seq"] if merged else -1
-        return merged + [c for c in commits if c["kind"] == "batch" and c["seq"] > after]
+    def _parts(commits: list[Entry]) -> list[tuple[str, int | None]]:
+        """Folders that make up the log; those of one micro-batch with its number."""
+        merged = last_of(commits, "merged")
+        later = [c for c in commits if c["kind"] == "batch" and (not merged or c["number"] > at(merged[0]))]
+        return [(c["path"], None) for c in merged] + [(c["path"], c["number"]) for c in later]
 
-    def _live(self, commits: list[Row]) -> list[Row]:
-        wanted = [*self._used(commits), *latest_of_queries(commits), *commits[-1:]]
-        return [c for c in commits if any(c is w for w in wanted)]
+    def _live(self, commits: list[Entry]) -> list[Entry]:
+        used = {path for path, _ in self._parts(commits)}
+        telling = [c["number"] for c in latest_of_queries(commits)]
+        return [c for c in commits if c["path"] in used or c["number"] in telling]
+
+    def _new_path(self, kind: str) -> str:
+        return f"{self.path}/{kind}/{ID}={uuid.uuid4().int >> 65}"
+
+    def _done(self, commits: list[Entry], query_id: str, batch_id: int) -> list[str]:
+        return [c["path"] for c in commits if c.get("query") == query_id and c.get("batch_id") == batch_id]
+
+    def _write(self, rows: DataFrame, path: str) -> None:
+        rows.write.format(self.format).save(path)
 
     def write(self, batch: DataFrame, query_id: str, batch_id: int) -> DataFrame:
         """Log a micro-batch and return it as logged, from shared storage."""
         spark, told = batch.sparkSession, self._commits(batch.sparkSession)
-        done = [c for c in told.known() if c["query"] == query_id and c["batch_id"] == batch_id]
-        seq = max((c["seq"] for c in told.known()), default=-1) + 1
-        path = done[0]["path"] if done else f"{self.path}/batches/{uuid.uuid4().hex}"
-        rows = batch.select(
-            "*",
-            F.lit(query_id).alias("query"),
-            F.lit(batch_id).cast("bigint").alias("batch_id"),
-            F.lit(seq).cast("bigint").alias("seq"),
-        )
+        rows = batch.select("*", F.lit(query_id).alias("query"), F.lit(batch_id).cast("bigint").alias("batch_id"))
+        done = self._done(told.read(), query_id, batch_id)
+        path = done[0] if done else self._new_path("batches")
         if not done:
-            rows.write.format(self.format).save(path)
-            told.add(seq=seq, kind="batch", path=path, query=query_id, batch_id=batch_id)
+            self._write(rows, path)
+            entry = {"kind": "batch", "path": path, "query": query_id, "batch_id": batch_id}
+            told.add(lambda known: None if self._done(known, query_id, batch_id) else entry)
         return spark.read.schema(rows.schema).format(self.format).load(path)
 
+    def _read(self, spark: SparkSession, schema: T.StructType, parts: list[tuple[str, int | None]]) -> DataFrame:
+        read = []
+        for path in (p for p, number in parts if number is None):
+            whole = T.StructType([*schema.fields, T.StructField("seq", T.LongType())])
+            read.append(spark.read.schema(whole).format(self.format).load(path))
+        if batches := {p: number for p, number in parts if number is not None}:
+            base = next(iter(batches)).rpartition("/")[0]
+            read.append(numbered(spark, base, schema, batches, "seq", self.format))
+        if not read:
+            return spark.createDataFrame([], schema).withColumn("seq", F.lit(None).cast("bigint"))
+        return reduce(DataFrame.unionByName, read)
+
     def read(self, spark: SparkSession, ord_type: T.DataType, value: str = "string") -> DataFrame:
         schema = (
             T.StructType()
@@ -66,28 +86,83 @@ class FileLog:
             .add("ord", ord_type)
             .add("query", "string")
             .add("batch_id", "long")
-            .add("seq", "long")
         )
-        paths = [c["path"] for c in self._used(self._commits(spark).read())]
-        if not paths:
-            return spark.createDataFrame([], schema)
-        return spark.read.schema(schema).format(self.format).load(paths)
-
-    def merge_files(self, spark: SparkSession) -> None:
+        return self._read(spark, schema, self._parts(self._commits(spark).read()))
+
+    def begin_merge(self, spark: SparkSession) -> Entry | None:
+        """Write all micro-batches logged so far into one folder."""
+        commits = self._commits(spark).read()
+        parts = self._parts(commits)
+        if len(parts) < 2:
+            return None
+        schema = spark.read.format(self.format).load([path for path, _ in parts]).drop("seq").schema
+        every = self._read(spark, T.StructType([f for f in schema.fields if f.name != ID]), parts)
+        path = self._new_path("merged")
+        self._write(every.coalesce(max(1, every.rdd.getNumPartitions() // 4)), path)
+        return {"kind": "merged", "path": path, "upto": commits[-1]["number"]}
+
+    def finish_merge(self, spark: SparkSession, entry: Entry | None) -> bool:
+        """Commit what was merged, unless another process has merged as much meanwhile."""
+
+        def still(commits: list[Entry]) -> Entry | None:
+            now = last_of(commits, "merged")
+            return None if now and at(now[0]) >= entry["upto"] else entry
+
+        return entry is not None and self._commits(spark).add(still) is not None
+
+    def merge_files(self, spark: SparkSession) -> bool:
         """Put all micro-batches logged so far into one folder."""
-        told = self._commits(spark)
-        used = self._used(told.read())
-        if len(used) > 1:
-            path = f"{self.path}/merged/{uuid.uuid4().hex}"
-            every = spark.read.format(self.format).load([c["path"] for c in used])
-            every.coalesce(max(1, every.rdd.getNumPartitions() // 4)).write.format(self.format).save(path)
-            told.add(seq=used[-1]["seq"], kind="merged", path=path)
+        return self.finish_merge(spark, self.begin_merge(spark))
 
     def obsolete(self, spark: SparkSession) -> list[str]:
         """Folders needed no more, for the owner to remove: all, in this order, or none."""
         told = self._commits(spark)
-        used = {c["path"] for c in self._used(told.read())}
-        return sorted({c["path"] for c in told.everything()} - used) + told.earlier_segments()
+        used = {path for path, _ in self._parts(told.read())}
+        return existing(spark, {c["path"] for c in told.everything()} - used) + told.earlier_segments()
+
+
+class TargetLog(FileLog):
+    """A log kept with a plan target: one commit makes a micro-batch part of both.
+
+    ``write`` stores the changes; they are logged when the target commits the names of the
+    same micro-batch. The target's ``obsolete`` tells which folders may go.
+    """
+
+    def __init__(self, target: PlanTarget, format: str = "parquet"):
+        super().__init__(f"{target.path}/log", format)
+        self.target = target
+        self._stored: dict[tuple[str, int], str] = {}
+
+    def _commits(self, spark: SparkSession) -> CommitList:
+        return self.target.list
+
+    def _parts(self, commits: list[Entry]) -> list[tuple[str, int | None]]:
+        return self.target.log_parts(commits)
+
+    def _done(self, commits: list[Entry], query_id: str, batch_id: int) -> list[str]:
+        same = [c for c in commits if c.get("query") == query_id and c.get("batch_id") == batch_id]
+        return [c["log"] for c in same if c.get("log")]
+
+    def write(self, batch: DataFrame, query_id: str, batch_id: int) -> DataFrame:
+        rows = batch.select("*", F.lit(query_id).alias("query"), F.lit(batch_id).cast("bigint").alias("batch_id"))
+        done = self._done(self.target.commits(), query_id, batch_id)
+        path = done[0] if done else self._new_path("batches")
+        if not done:
+            self._write(rows, path)
+        self._stored = {(query_id, batch_id): path}
+        return batch.sparkSession.read.schema(rows.schema).format(self.format).load(path)
+
+    def stored(self, query_id: str, batch_id: int) -> str:
+        """Where ``write`` put the micro-batch."""
+        return self._stored[query_id, batch_id]
+
+    def finish_merge(self, spark: SparkSession, entry: Entry | None) -> bool:
+        if entry is None:
+            return False
+        return self.target.finish({"kind": "log", "log": entry["path"], "upto": entry["upto"]})
+
+    def obsolete(self, spark: SparkSession) -> list[str]:
+        return self.target.obsolete()
 
 
 class TopicLog:

@@ -11,8 +11,8 @@ from namewake.entities import ENTITIES, EntitySpec
 from namewake.operators.changes import latest_updates
 from namewake.operators.joins import BROADCAST_BYTES
 from namewake.sources.files import file_stream, raw_change_stream
-from namewake.streaming import job
-from namewake.streaming.commits import CommitList, folders
+from namewake.streaming import commits, job
+from namewake.streaming.commits import folders
 from namewake.streaming.feeds import FEED_COLUMNS, tag_feed, union_feeds
 from namewake.streaming.job import last_names, start
 from namewake.streaming.logs import FileLog, TopicLog, compact_log
@@ -188,11 +188,11 @@ def test_rows_that_arrive_later_are_left_alone(spark, tmp_path):
     assert sorted_rows(run.target.read()) == once_more
 
 
-def test_commits_are_read_in_bounded_time(spark, tmp_path):
+def test_commits_are_read_in_bounded_time(spark, tmp_path, monkeypatch):
     """Segments of commits: many micro-batches, few files read, nothing lost."""
+    monkeypatch.setattr(commits, "SEGMENT", 4)
     plan = plan_rows(40, 4, random.Random(2))
     run = Run(spark, tmp_path, plan)
-    run.target._list.segment = 4
     names = "entity string, key string, name string"
     changes = [(i % 4, "U", f"n{i}", i) for i in range(14)]
     for key, _, name, i in changes:
@@ -201,28 +201,13 @@ def test_commits_are_read_in_bounded_time(spark, tmp_path):
             run.target.compact_names()
     assert len(folders(spark, f"{run.target.path}/commits")) > 3
     again = PlanTarget(spark, run.target.path, [SPEC])
-    files = {c["file_path"] for c in again.commits()}
-    assert len(files) <= 5 and len(again.commits()) < 10
+    assert len(again.commits()) < 10 and len(again.list._files) <= 4
     assert sorted_rows(again.read()) == fold(plan, changes)
     assert not again.put_names(spark.createDataFrame([("shop", "1", "again")], names), "q", 13)
     remove(again.obsolete())
     assert sorted_rows(PlanTarget(spark, run.target.path, [SPEC]).read()) == fold(plan, changes)
 
 
-def test_a_thousand_commits_cost_no_more_than_a_hundred(spark, tmp_path):
-    def live(entries):
-        return entries[-2:]
-
-    told = CommitList(spark, f"{tmp_path}/commits", live, segment=10)
-    told.read = lambda: (_ for _ in ()).throw(AssertionError("reads while writing"))
-    told._known = []
-    for i in range(120):
-        told.add(seq=i, kind="rows", path=f"p{i}")
-    stored = CommitList(spark, f"{tmp_path}/commits", live, segment=10).read()
-    assert stored[-1]["seq"] == 119 and len(stored) <= 12
-    assert len({c["file_path"] for c in stored}) <= 11
-
-
 def test_fold_by_one_opener_keeps_the_names_of_all(spark, tmp_path):
     person = EntitySpec("person", key="P", name="P_NAME", fk="PERSON_ID")
     target = PlanTarget.create(spark, f"{tmp_path}/t", [SPEC, person])
@@ -244,11 +229,10 @@ def test_fold_beside_the_writer_loses_nothing(spark, tmp_path):
     run.arrive([(1, "U", "a", 0)])
     run.go()
     folder = PlanTarget(spark, run.target.path, [SPEC])
-    commits = folder.commits()
+    begun = folder.begin_fold()
     run.arrive([(2, "U", "b", 1)])
     run.go()
-    folder.commits = lambda: commits
-    folder.fold()
+    assert folder.finish(begun)
     assert sorted_rows(run.target.read()) == fold(plan, [(1, "U", "a", 0), (2, "U", "b", 1)])
 
 
@@ -518,16 +502,20 @@ def test_report_scans_the_plan_once_for_all_entities(spark, tmp_path):
     assert sorted((r["entity"], r["key"]) for r in report.collect()) == sorted((e, k) for e, k, _ in names if int(k) > 8)
 
 
-def test_print_changes_shows_every_row(spark, tmp_path):
+def test_print_changes_shows_every_row(spark, tmp_path, monkeypatch):
     """The text goes to the JVM's output; the query tells where its rows went."""
+    from pyspark.sql.streaming.readwriter import DataStreamWriter
+
+    given, option = {}, DataStreamWriter.option
+    monkeypatch.setattr(DataStreamWriter, "option", lambda self, k, v: given.update({k: v}) or option(self, k, v))
     run = Run(spark, tmp_path, plan_rows(2, 1, random.Random(1)))
     run.arrive([(1, "U", "a", 0), (2, "I", "b", 1)])
     query = job.print_changes(run.feed(), rows=7)
     query.processAllAvailable()
     query.stop()
     shown = [p for p in query.recentProgress if p.numInputRows]
-    assert [p.numInputRows for p in shown] == [2]
-    assert "Console" in shown[0].sink.description and "7" in shown[0].sink.description
+    assert [(p.numInputRows, p.sink.numOutputRows) for p in shown] == [(2, 2)]
+    assert "Console" in shown[0].sink.description and given == {"numRows": 7, "truncate": False}
 
 
 def test_merge_target_reaches_merge_into(spark, tmp_path):
