@@ -89,6 +89,7 @@ _BOTH = (
     "LEFT JOIN last_p p ON o_orderpriority = p.key"
 )
 
+_LIVE = f"{_LAST_ANY} SELECT key, op_type, name, event_id FROM last_u WHERE op_type <> 'D'"
 _REPORT_ALL = f"WITH {_changes(key='user_id * 11')}, {_last()}, {_plan()} " + " UNION ALL ".join(
     f"SELECT '{s.entity}' AS entity, CAST(key AS VARCHAR) AS key, '{s.entity}:' || name AS name "
     f"FROM last_u WHERE NOT EXISTS (SELECT 1 FROM plan WHERE {s.fk} = last_u.key)"
@@ -112,9 +113,8 @@ ORACLES: dict[str, str] = {
     "update_filter": f"WITH {_changes()} SELECT key, op_type, name FROM chg WHERE op_type = 'U'",
     "latest_update_per_key": f"{_LAST_U} SELECT key, name, event_id FROM last_u",
     "compact_latest": f"{_LAST_ANY} SELECT key, op_type, name, event_id FROM last_u",
-    "compact_live": (
-        f"{_LAST_ANY} SELECT key, op_type, name, event_id FROM last_u WHERE op_type <> 'D'"
-    ),
+    "compact_live": _LIVE,
+    "stream_compact_live": _LIVE,
     "rekey": (
         "SELECT CAST(user_id AS VARCHAR) AS key, hex(CAST(user_id AS VARCHAR)) AS key_hex, "
         "event_id, user_id, event_type, value, props FROM events"

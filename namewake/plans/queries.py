@@ -19,6 +19,7 @@ from namewake.plans import tables as tb
 from namewake.scratch import settle, shared_folder
 from namewake.sources.files import keyed_lines, raw_change_stream
 from namewake.sources.topics import declare_stream, decoded
+from namewake.streaming.compaction import LiveTable, live_changes
 from namewake.streaming.feeds import tag_feed, union_feeds
 from namewake.streaming.job import Target, copy_stream, start
 from namewake.streaming.logs import FileLog, TargetLog, compact_log
@@ -591,6 +592,17 @@ def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([tuple(sum(getattr(r, n) for r in seen) for n in names)], ", ".join(f"{n} bigint" for n in names))
 
 
+def stream_compact_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last change of every key as state, over three parts and as many runs of the query."""
+    folder = shared_folder(spark, "compact-live")
+    table = LiveTable(f"{folder}/live", ["key"])
+    for events in _in_parts(spark, sf_dir, folder, 3):
+        told = live_changes(tb.customer_changes(events), ["key"], tb.ORDER, F.col("op_type") == "D")
+        table.start(told, f"{folder}/checkpoint", available_now=True).awaitTermination()
+    schema = tb.customer_changes(tb.read(spark, sf_dir, "events")).schema
+    return table.read(spark, schema).select("key", "op_type", "name", "event_id")
+
+
 def upsert_without_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A feed of inserts and deletes leaves the plan as it is."""
     folder = shared_folder(spark, "no-updates")
@@ -719,6 +731,7 @@ QUERIES: dict[str, Query] = {
         stream_report_all,
         stream_report_index,
         stream_counts,
+        stream_compact_live,
         upsert_without_updates,
         mixed_case_columns,
         change_log,

@@ -57,7 +57,7 @@ class FileLog:
         """Log a micro-batch and return it as logged, from shared storage."""
         spark, told = batch.sparkSession, self._commits(batch.sparkSession)
         rows = batch.select("*", F.lit(query_id).alias("query"), F.lit(batch_id).cast("bigint").alias("batch_id"))
-        done = self._done(told.read(), query_id, batch_id)
+        done = self._done(told.known(), query_id, batch_id)
         path = done[0] if done else self._new_path("batches")
         if not done:
             self._write(rows, path)
@@ -145,7 +145,7 @@ class TargetLog(FileLog):
 
     def write(self, batch: DataFrame, query_id: str, batch_id: int) -> DataFrame:
         rows = batch.select("*", F.lit(query_id).alias("query"), F.lit(batch_id).cast("bigint").alias("batch_id"))
-        done = self._done(self.target.commits(), query_id, batch_id)
+        done = self._done(self.target.list.known(), query_id, batch_id)
         path = done[0] if done else self._new_path("batches")
         if not done:
             self._write(rows, path)

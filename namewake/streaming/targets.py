@@ -267,7 +267,7 @@ class PlanTarget:
         def done(commits: list[Entry]) -> bool:
             return any(c.get("query") == query_id and c.get("batch_id") == batch_id for c in commits)
 
-        if done(self.commits()):
+        if done(self.list.known()):
             return False
         path, seen = self._new_path("names"), Observation()
         told = names.select("entity", "key", "name")
