@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from namewake.llm.common import (
-    SPACES, U64, Batches, _BASE, _power, map_arrow, mix, pieces, text_bytes,
+    Batches, SPACES, U64, _BASE, _power, map_arrow, mix, packed, pieces, text_bytes, with_row,
 )
 from namewake.llm.words_bpe import encoder, library, tokenizer_path
 
@@ -146,10 +146,10 @@ def _encode(path: str, digests: bool):
                         shas[0].append(hashlib.sha256(b" ".join([decimal[i] for i in ids])).hexdigest())
                         shas[1].append(hashlib.sha256(decode(ids, path_).encode()).hexdigest())
                     out += [pa.array(s, pa.string()) for s in shas]
-                    names = ["row", "n_tokens", "ids_sha256", "decoded_sha256"]
+                    names = ["__row", "n_tokens", "ids_sha256", "decoded_sha256"]
                 else:
                     out.append(pa.array(coded, pa.binary()))
-                    names = ["row", "n_tokens", "ids"]
+                    names = ["__row", "n_tokens", "ids"]
                 yield pa.RecordBatch.from_arrays(out, names=names)
 
     return run
@@ -159,15 +159,11 @@ def _run(docs: DataFrame, path: str, digests: bool) -> DataFrame:
     made = ["ids_sha256 string", "decoded_sha256 string"] if digests else ["ids binary"]
     own = {m.split()[0] for m in made} | {"n_tokens"}
     rest = [c for c in docs.columns if c not in own | {"text"}]
-    # A struct keeps whatever other columns there are; the flag keeps it from being empty.
-    kept = F.struct(F.lit(True).alias("__row"), *[F.col(f"`{c}`") for c in rest])
-    rows = docs.select(kept.alias("row"), "text")
-    kind = rows.schema["row"].dataType.simpleString()
-    coded = map_arrow(
-        rows, _encode(path, digests), f"row {kind}, n_tokens bigint, " + ", ".join(made)
-    )
+    # A struct keeps whatever other columns there are.
+    rows = packed(docs).select("__row", "__text")
+    coded = map_arrow(rows, _encode(path, digests), with_row("n_tokens bigint, " + ", ".join(made), rows))
     return coded.select(
-        *[F.col(f"row.`{c}`").alias(c) for c in rest],
+        *[F.col(f"__row.`{c}`").alias(c) for c in rest],
         *["n_tokens", *[m.split()[0] for m in made]],
     )
 

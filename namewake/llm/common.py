@@ -11,8 +11,9 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from namewake.scratch import shared_folder
 
@@ -56,11 +57,31 @@ def ship(spark: SparkSession) -> None:
 Batches = Iterator[pa.RecordBatch]
 
 
-def map_arrow(df: DataFrame, fn: Callable[[Batches], Batches], schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, fn: Callable[[Batches], Batches], schema: str | T.StructType) -> DataFrame:
     ship(df.sparkSession)
     return df.mapInArrow(fn, schema)
 
 
+def packed(docs: DataFrame, *more: Column) -> DataFrame:
+    """``__text``, ``__row`` with all other columns, whatever their names, and ``more``."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    row = F.struct(F.lit(True).alias("__row"), *rest)  # never empty
+    return docs.select(F.col("text").alias("__text"), row.alias("__row"), *more)
+
+
+def with_row(schema: str, rows: DataFrame) -> T.StructType:
+    """A schema after ``__row``, which is as in ``rows``."""
+    return T.StructType([rows.schema["__row"], *T.StructType.fromDDL(schema).fields])
+
+
+def unpacked(done: DataFrame, docs: DataFrame) -> DataFrame:
+    """``__text`` and ``__row`` as the columns of ``docs``; ``n_chars`` is that of the text."""
+    out = {c: F.col(f"__row.`{c}`") for c in docs.columns if c != "text"} | {"text": F.col("__text")}
+    if "n_chars" in out:
+        out["n_chars"] = F.length("__text").cast("bigint")
+    return done.select(*[out[c].alias(c) for c in docs.columns])
+
+
 def pieces(texts: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``limit`` bytes of text each."""
     offs = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset :][: len(texts) + 1]

@@ -34,7 +34,9 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from namewake.llm.common import Batches, map_arrow, pieces, row_key, save, ship, strings
+from namewake.llm.common import (
+    Batches, map_arrow, packed, pieces, row_key, save, ship, strings, unpacked, with_row,
+)
 from namewake.operators.joins import lookup_join
 
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -298,11 +300,11 @@ def sanitized(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 def _sanitize(batches: Batches) -> Batches:
     for batch in batches:
-        texts, rows, spans = batch.columns
+        rows, texts, spans = batch.columns
         out = []
         for text, own in zip(texts.to_pylist(), spans.to_pylist()):
             out.append(sanitized(text, [tuple(s.values()) for s in own]) if text and own else text)
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), rows], names=["__text", "__row"])
+        yield pa.RecordBatch.from_arrays([rows, pa.array(out, pa.string())], names=["__row", "__text"])
 
 
 def sanitize(docs: DataFrame, **limits: float) -> DataFrame:
@@ -312,17 +314,10 @@ def sanitize(docs: DataFrame, **limits: float) -> DataFrame:
         F.concat("spans", F.coalesce("terms", F.expr("slice(spans, 1, 0)"))).alias("__spans"),
     )
     found = found.filter(F.size("__spans") > 0).dropDuplicates(["__id", "__rk"])
-    met = docs.withColumn("__own", row_key("text")).join(
-        found, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__rk")), "left"
-    )
-    rest = [c for c in docs.columns if c != "text"]
-    packed = met.select(F.col("text").alias("__text"), F.struct(*[F.col(f"`{c}`") for c in rest]).alias("__row"), "__spans")
-    kind = packed.schema["__row"].dataType.simpleString()
-    done = map_arrow(packed, _sanitize, f"__text string, __row {kind}")
-    out = {c: F.col(f"__row.`{c}`") for c in rest} | {"text": F.col("__text")}
-    if "n_chars" in rest:
-        out["n_chars"] = F.length("__text").cast("bigint")
-    return done.select(*[out[c].alias(c) for c in docs.columns])
+    own = packed(docs, row_key("text").alias("__own"))
+    same = F.col("__row.doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__rk"))
+    rows = own.join(found, same, "left").select("__row", "__text", "__spans")
+    return unpacked(map_arrow(rows, _sanitize, with_row("__text string", rows)), docs)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

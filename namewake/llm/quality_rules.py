@@ -5,22 +5,18 @@ many distinct documents of one host (``source``) does a line occur? Lines above
 are boilerplate and go; documents with too little left are rejected, as are documents that
 fail the plain rules (too few words, too much repetition).
 
-Copies must not make each other's lines look like boilerplate. So documents count as
-distinct only where they are no near copies: exact copies (equal host and text) count once,
-and so do all documents of one class of near copies, as operator 5 finds them (exact Jaccard
-similarity of shingles). A page that shares less than that with any other page is a document
-of its own, however many of its lines are boilerplate. The share of a host is one of its
-distinct documents too, so that copies keep no line in, how many there may be.
-Classes are only looked for among
-documents with a line that more distinct texts than the limit have; no other line can go.
-
-Counting is aggregates that combine map-side. Lines above the limit are few beside all
-lines (each stands for ``max_docs`` documents at least); they are joined back by broadcast
-where counted to fit, else by a salted shuffle, since one line may be in a third of all rows.
+A document is its exact text: copies of one page count once, in the count of a line and in
+the host's size. Near copies are different documents here. So a host with more versions of
+one page than the limit loses the lines that the versions share; they are alike in nearly
+all of their text, as pages are that consist of boilerplate.
+
+One row of each text is found first; counting its lines is then one aggregate that combines
+map-side. Lines above the limit are few beside all lines (each stands for ``max_docs``
+documents at least); they are joined back by broadcast where counted to fit, else by a
+salted shuffle, since one line may be in a third of all rows.
 
 Defined results: a null text is an empty one, has no words and fails the rules; null is a
-host of its own; repeated rows are judged alike and each comes back (as copies they count
-once); an empty table gives an empty result; a text of one long line has one line.
+host of its own; repeated rows are judged alike and each comes back; an empty table gives an empty result; a text of one long line has one line.
 Other columns, whatever their names, are carried by ``clean_documents`` only.
 """
 
@@ -35,9 +31,8 @@ from pyspark.sql import functions as F
 
 from namewake.llm.common import (
     U64, Batches, among, by_text, find_words, hash_windows, hash_words, map_arrow, mix,
-    pieces, row_key, save, strings, text_bytes,
+    packed, pieces, row_key, save, strings, text_bytes, unpacked, with_row,
 )
-from namewake.llm.jaccard_join import classes
 from namewake.operators.joins import lookup_join
 
 SYMBOLS = b"#*$%&|<>"
@@ -124,43 +119,19 @@ def _host_key(host: Column, h: Column) -> Column:
     return F.concat(F.hex(h), F.coalesce(F.concat(F.lit("="), host), F.lit("")))
 
 
-def frequent_lines(
-    profile: DataFrame, own: DataFrame, max_docs: int, max_share: float
-) -> DataFrame:
+def frequent_lines(profile: DataFrame, max_docs: int, max_share: float) -> DataFrame:
     """Hosts' lines (host, h) in more distinct documents than the limit."""
-    lines = profile.select("row", "host", "rk", F.explode("lines.h").alias("h"))
-    often = lines.select("host", "h", "rk").distinct().groupBy("host", "h").agg(F.count(F.lit(1)).alias("docs"))
-    often = save(
-        often.filter(F.col("docs") > max_docs).select(_host_key(F.col("host"), F.col("h")).alias("key")),
-        "many-texts",
-    )
-    if often.isEmpty():
-        return profile.select("host", F.col("rk").alias("h")).limit(0)
-    keyed = lines.withColumn("line_key", _host_key(F.col("host"), F.col("h")))
-    met = lookup_join(keyed, often, "line_key", "key", "inner", row_id=["row"])
-    met = save(met.select("host", "h", "rk").distinct(), "documents-of-lines")
-    texts = lookup_join(
-        own, met.select(F.col("rk").alias("wanted")).distinct(), "rk", "wanted", "inner", row_id=["doc_id"]
-    )
-    texts = save(
-        texts.select(F.col("rk").alias("doc_id"), "text").dropDuplicates(["doc_id"]), "texts"
-    )
-    kinds = save(
-        classes(texts).select(F.col("doc_id").alias("of"), F.col("component_id").alias("kind")), "kinds"
-    )
-    told = lookup_join(met, kinds, "rk", "of", "inner", row_id=["h"])
-    counts = told.select("host", "h", "kind").distinct().groupBy("host", "h").agg(F.count(F.lit(1)).alias("docs"))
-    # Texts of a host, less those that are near copies of another one.
-    texts_of = profile.select("host", "rk").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("n"))
-    seen = told.select("host", "rk", "kind").distinct()
-    kinds_of = seen.select("host", "kind").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("n"))
-    seen_of = seen.groupBy("host").agg((-F.count(F.lit(1))).alias("n"))
-    sizes = texts_of.unionByName(kinds_of).unionByName(seen_of).groupBy(F.col("host").alias("of")).agg(
-        F.sum("n").alias("size")
+    firsts = profile.groupBy("host", "rk").agg(F.min("row").alias("first"))
+    firsts = save(firsts.select("host", "first"), "distinct-texts")
+    one_each = lookup_join(
+        profile.select("row", "host", "lines"), firsts.select("first"), "row", "first", "left_semi", row_id=["row"]
     )
+    lines = one_each.select("host", F.explode("lines.h").alias("h"))
+    counts = lines.groupBy("host", "h").agg(F.count(F.lit(1)).alias("docs")).filter(F.col("docs") > max_docs)
+    sizes = firsts.groupBy(F.col("host").alias("of")).agg(F.count(F.lit(1)).alias("size"))
+    # Hosts' sizes are one row a host; the counts left are few.
     return (
-        counts.filter(F.col("docs") > max_docs)
-        .join(sizes, F.col("host").eqNullSafe(F.col("of")))
+        counts.join(sizes, F.col("host").eqNullSafe(F.col("of")))
         .filter(F.col("docs") > F.col("size") * max_share)
         .select("host", "h")
     )
@@ -181,7 +152,7 @@ def judge(
         map_arrow(own, _profile, _SCHEMA).withColumn("row", F.monotonically_increasing_id()),
         "line-profile",
     )
-    frequent = frequent_lines(profile, own, max_docs, max_share).select(
+    frequent = frequent_lines(profile, max_docs, max_share).select(
         _host_key(F.col("host"), F.col("h")).alias("key"), F.lit(True).alias("above")
     )
     frequent = save(frequent, "frequent-lines")
@@ -213,7 +184,7 @@ def judge(
 
 def _without_lines(batches: Batches) -> Batches:
     for batch in batches:
-        ids, texts, rows, hashes = batch.columns
+        rows, texts, hashes = batch.columns
         out = []
         for text, go in zip(texts.to_pylist(), hashes.to_pylist()):
             if text and go:
@@ -221,32 +192,19 @@ def _without_lines(batches: Batches) -> Batches:
                 kept = [x for x in text.split("\n") if line_hash(normal_line(x.encode())) not in drop]
                 text = "\n".join(kept)
             out.append(text)
-        yield pa.RecordBatch.from_arrays(
-            [ids, pa.array(out, pa.string()), rows], names=["__id", "__text", "__row"]
-        )
+        yield pa.RecordBatch.from_arrays([rows, pa.array(out, pa.string())], names=["__row", "__text"])
 
 
 def clean_documents(docs: DataFrame, **limits: float) -> DataFrame:
     """Kept documents without their frequent lines, with the columns of ``docs``."""
     verdicts = judge(docs, **limits).filter("kept").select(
-        F.col("doc_id").alias("__id"), F.col("rk").alias("__rk"), "frequent"
+        F.col("doc_id").alias("__id"), F.col("rk").alias("__rk"), F.col("frequent").alias("__frequent")
     )
     verdicts = verdicts.dropDuplicates(["__id", "__rk"])
-    rest = [c for c in docs.columns if c != "text"]
-    kept = docs.withColumn("__own", row_key("source", "text")).join(
-        verdicts,
-        F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__rk")),
-    )
-    packed = kept.select(
-        F.lit(0).cast("bigint").alias("__id"), F.col("text").alias("__text"),
-        F.struct(*rest).alias("__row"), "frequent",
-    )
-    kind = docs.select(*rest).schema.simpleString()
-    cleaned = map_arrow(packed, _without_lines, f"__id bigint, __text string, __row {kind}")
-    out = {c: F.col(f"__row.`{c}`") for c in rest} | {"text": F.col("__text")}
-    if "n_chars" in rest:
-        out["n_chars"] = F.length("__text").cast("bigint")
-    return cleaned.select(*[out[c].alias(c) for c in docs.columns])
+    own = packed(docs, row_key("source", "text").alias("__own"))
+    same = F.col("__row.doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__rk"))
+    rows = own.join(verdicts, same).select("__row", "__text", "__frequent")
+    return unpacked(map_arrow(rows, _without_lines, with_row("__text string", rows)), docs)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -276,24 +234,14 @@ WITH words AS (
 ), dups AS (
     SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY doc_id
 ), by_line AS (
-    SELECT doc_id, source, norm, sum(len(string_split(norm, ' '))) AS words,
-           CAST(CAST(md5_number_lower(norm) AS HUGEINT)
-                - CASE WHEN md5_number_lower(norm) > 9223372036854775807
-                       THEN 18446744073709551616::HUGEINT ELSE 0 END AS BIGINT) AS h
+    SELECT doc_id, source, norm, sum(len(string_split(norm, ' '))) AS words
     FROM lines GROUP BY ALL
-), sigs AS (
-    SELECT doc_id, list_sort(list(h)) AS s FROM by_line GROUP BY doc_id
+), sizes AS (
+    SELECT source, count(DISTINCT text) AS size FROM words GROUP BY source
 ), frequent AS (
-    SELECT b.source, norm FROM by_line b JOIN sigs USING (doc_id)
-    JOIN (SELECT source, count(*) AS size FROM documents GROUP BY source) c
-      ON b.source IS NOT DISTINCT FROM c.source
+    SELECT b.source, norm FROM by_line b JOIN words USING (doc_id) JOIN sizes c ON b.source IS NOT DISTINCT FROM c.source
     GROUP BY b.source, norm, size
-    HAVING least(count(DISTINCT coalesce(CAST(CASE WHEN h = s[1] THEN s[2] ELSE s[1] END AS VARCHAR), '-')),
-                 count(DISTINCT coalesce(CAST(CASE WHEN h = s[-1] THEN s[-2] ELSE s[-1] END AS VARCHAR), '-')))
-           > greatest(20, 0.002 * size)
-       AND 2 * least(count(DISTINCT coalesce(CAST(CASE WHEN h = s[1] THEN s[2] ELSE s[1] END AS VARCHAR), '-')),
-                     count(DISTINCT coalesce(CAST(CASE WHEN h = s[-1] THEN s[-2] ELSE s[-1] END AS VARCHAR), '-')))
-           >= count(*)
+    HAVING count(DISTINCT text) > greatest(20, 0.002 * size)
 ), removed AS (
     SELECT doc_id, sum(words) AS n FROM by_line b JOIN frequent f
       ON b.norm = f.norm AND b.source IS NOT DISTINCT FROM f.source GROUP BY doc_id

@@ -6,10 +6,11 @@ import hashlib
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from namewake.llm.common import map_arrow, partitions
+from namewake.llm.common import map_arrow, partitions, save
+from namewake.operators.joins import lookup_join
 
 #: Lower bits of ``ord``: the row's place in its partition. Above them is the partition.
 ROW_BITS = 33
@@ -40,6 +41,41 @@ def row_of(ord: Column) -> Column:
     return ord.bitwiseAND(F.lit((1 << ROW_BITS) - 1))
 
 
+def dense_rows(placed: DataFrame) -> DataFrame:
+    """Stored rows with ``ord``, numbered from 0 in ``__nth``."""
+    parts = placed.withColumn("__part", part_of(F.col("ord")))
+    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = parts.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))  # one row a partition
+    before = counts.select("__part", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    met = parts.join(F.broadcast(before), "__part")
+    return met.withColumn("__nth", F.col("__before") + row_of(F.col("ord"))).drop("__part", "__before")
+
+
+def with_copy(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows with ``__copy``, their number among those that agree in ``keys``, from 0.
+
+    Only rows that do have copies are ordered; copies are numbered over all tasks, so there
+    may be any number of them.
+    """
+    own = df.withColumns({"__key": F.xxhash64(*keys, *[F.col(k).isNull() for k in keys]), "__at": F.monotonically_increasing_id()})
+    again = own.groupBy(F.col("__key").alias("__of")).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
+    again = save(again.select("__of", F.lit(True).alias("__again")), "repeated")
+    if again.isEmpty():
+        return df.withColumn("__copy", F.lit(0).cast("bigint"))
+    marked = lookup_join(own, again, "__key", "__of", "left", row_id=["__at"])
+    single = marked.filter("__again IS NULL").select(*df.columns, F.lit(0).cast("bigint").alias("__copy"))
+    several = marked.filter("__again").drop("__again", "__at")
+    order = [F.col("__key"), *[F.col(k).asc_nulls_first() for k in keys]]
+    rows = dense_rows(save(in_order(several, order), "copies"))
+    told = F.struct(*keys)
+    first = rows.groupBy("__key", told.alias("__told")).agg(F.min("__nth").alias("__first"))
+    first = save(first.select(F.xxhash64("__told", "__key").alias("__group"), "__first"), "first-copies")
+    met = lookup_join(
+        rows.withColumn("__mine", F.xxhash64(told, "__key")), first, "__mine", "__group", "inner", row_id=["__nth"]
+    )
+    return single.unionByName(met.select(*df.columns, (F.col("__nth") - F.col("__first")).alias("__copy")))
+
+
 def stream_sha256(pieces: DataFrame, by: Sequence[str], at: Sequence[str], skip: int) -> DataFrame:
     """SHA-256 of each group's pieces end to end: columns ``by`` and ``sha256``.
 

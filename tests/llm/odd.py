@@ -7,9 +7,10 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: Columns beside those of documents have names that operators use inside.
 SCHEMA = (
     "doc_id bigint, text string, lang string, source string, n_chars bigint, "
-    "host string, row bigint, key string, region bigint, part int, n_tokens string, words int"
+    "host string, row bigint, key string, region bigint, part int, n_tokens string, words int, "
+    "frequent string, epoch int, `a.b` string, first bigint, `size` int, __copy int"
 )
-EXTRA = ("h", 1, "k", 2, 3, "t", 4)
+EXTRA = ("h", 1, "k", 2, 3, "t", 4, "f", 5, "dot", 6, 7, 8)
 
 
 def prose(rng, n):

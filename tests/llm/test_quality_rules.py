@@ -32,7 +32,7 @@ def test_lines_of_many_documents_go_and_copies_do_not_count(spark, limit):
 
     notice = "  All  rights RESERVED by this host "
     rows = [(i, body(i) + "\n" + notice, "h") for i in range(6)]  # six documents share a line
-    rows += [(100 + i, body(100) + f"\ncopy number {i}", "h") for i in range(6)]  # near copies of one
+    rows += [(100 + i, body(100) + "\nits own end", "h") for i in range(6)]  # copies of one
     rows += [(200, "\n".join(["all rights reserved by this host"] * 12), "h")]  # nothing else in it
     rows += [(300 + i, body(300 + i) + "\n" + notice, None) for i in range(2)]  # two on another host
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
@@ -46,7 +46,7 @@ def test_lines_of_many_documents_go_and_copies_do_not_count(spark, limit):
     assert all(got[i].removed_words == 0 and got[i].kept for i in (*range(100, 106), 300, 301))
     assert not got[200].kept
     assert kept[0] == body(0) and kept[300] == body(300) + "\n" + notice and 200 not in kept
-    assert kept[100] == body(100) + "\ncopy number 0"
+    assert kept[100] == body(100) + "\nits own end"
 
 
 def test_clean_documents_keep_all_columns(spark):
@@ -90,10 +90,50 @@ def test_depleted_documents_are_rejected(spark):
 
 def test_copies_do_not_keep_lines_in(spark):
     rows = [(i, text, "h") for i, text in pages(30, 2, 2)]
-    rows += [(100 + i, rows[0][1], "h") for i in range(100)]  # more copies of one page than pages
-    near = rows[1][1].split("\n")
-    rows += [(300 + i, "\n".join([near[0] + f" copy{i}", *near[1:]]), "h") for i in range(100)]
+    rows += [(100 + i, rows[0][1], "h") for i in range(200)]  # more copies of one page than pages
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
     for share in (0.002, 0.5):  # 30 documents, not 230, are what the share is taken of
         got = quality_rules.judge(docs, max_share=share).collect()
         assert len(got) == 230 and all(r.removed_words == 12 and r.kept for r in got)
+
+
+@pytest.mark.parametrize("percent", [80, 85, 90, 95, 99])
+def test_pages_of_boilerplate_are_rejected(spark, percent):
+    """However much of a page is boilerplate, and however alike the pages are."""
+    own = 4 * (100 - percent)
+    rows = []
+    for i in range(60):
+        notices = [" ".join(f"n{k}w{j}" for j in range(20)) for k in range(4 * percent // 20)]
+        notices.append(" ".join(f"rest{j}" for j in range(4 * percent % 20 + 1)))
+        rows.append((i, "\n".join([" ".join(f"p{i}w{j}" for j in range(own)), *notices]), "h"))
+    rows += [(1000 + i, text, "h") for i, text in pages(5, 3, 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = {r.doc_id: r for r in quality_rules.judge(docs).collect()}
+    assert not any(got[i].kept or got[i].base_failed for i in range(60))
+    assert all(got[1000 + i].kept for i in range(5))
+
+
+@pytest.mark.parametrize("max_docs,max_share", [(20, 0.002), (2, 0.0), (2, 0.02)])
+def test_removed_lines_equal_plain_counting(spark, max_docs, max_share):
+    """Given documents; at the lower limits many lines go."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = docs.collect()
+
+    def norms(text):
+        out = Counter()
+        for line in (text or "").encode().split(b"\n"):
+            if line.split():
+                normal = b" ".join(line.lower().split())
+                out[normal] += normal.count(b" ") + 1
+        return out
+
+    having, sizes = Counter(), Counter()
+    for source, text in {(r.source, r.text) for r in rows}:
+        sizes[source] += 1
+        having.update((source, n) for n in norms(text))
+    gone = {}
+    for r in rows:
+        limit = max(max_docs, max_share * sizes[r.source])
+        gone[r.doc_id] = sum(w for n, w in norms(r.text).items() if having[r.source, n] > limit)
+    got = {r.doc_id: r.removed_words for r in quality_rules.judge(docs, max_docs=max_docs, max_share=max_share).collect()}
+    assert got == gone and (max_docs == 20 or sum(gone.values()) > 0)
