@@ -19,8 +19,8 @@ gets a whole source. What the driver gets is one row per range. Sources are told
 their rows in a table; weights by rank are given in one task over distinct sources.
 
 Defined results: null is a source of its own, last in order. Null and empty texts have size
-0 and take nothing. Rows alike in doc_id, source and text are one document, which is mixed
-and comes back once. An empty table gives an empty mix, and so do sources without words. Other columns are kept by
+0 and take nothing. Rows alike in doc_id, source and text are documents of their own, told
+apart by a number; each is mixed and comes back. An empty table gives an empty mix, and so do sources without words. Other columns are kept by
 ``mixed_documents``.
 """
 
@@ -34,13 +34,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from namewake.llm.common import Batches, map_arrow, mix, partitions, row_key, save
+from namewake.llm.common import Batches, map_arrow, mix, packed, partitions, row_key, save, unpacked, with_row
+from namewake.llm.ranges import with_copy
 
 BLOCK_WORDS, MOST, SHARDS, SEED = 64, 3, 64, 20240607
 #: Weights by rank of the source, repeating.
 WEIGHTS = (1, 2, 3)
 WORD = r"[^\x20\x09-\x0D]+"
 _SLOTS_AT_ONCE = 1 << 16
+_COPIES = 4096
 
 
 def feistel(index: np.ndarray, size: int, key: int) -> np.ndarray:
@@ -65,13 +67,24 @@ def _source_key(source: Column) -> Column:
 
 
 def sizes_of(docs: DataFrame) -> DataFrame:
-    """Distinct documents: doc_id, rk, source, skey, size."""
+    """All rows: doc_id, rk, copy, skey, size; rows alike in all else are told apart by ``copy``."""
+    n = partitions(docs.sparkSession)
     words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
     rows = docs.select(
-        "doc_id", row_key("source", "text").alias("rk"), "source",
-        _source_key(F.col("source")).alias("skey"), words.alias("size"),
+        "doc_id", row_key("source", "text").alias("rk"), _source_key(F.col("source")).alias("skey"), words.alias("size")
+    )
+    times = save(rows.groupBy("doc_id", "rk", "skey", "size").agg(F.count(F.lit(1)).alias("times")), "sizes")
+    several = times.filter("times > 1")
+    if several.isEmpty():
+        return times.select("doc_id", "rk", F.lit(0).cast("bigint").alias("copy"), "skey", "size")
+    # In lots that are dealt to tasks, since one row may be there any number of times.
+    lots = several.withColumn("lot", F.explode(F.expr(f"sequence(0, (times - 1) div {_COPIES})")))
+    lots = lots.repartition(n, "doc_id", "rk", "lot").withColumn(
+        "copy", F.explode(F.expr(f"sequence(lot * {_COPIES}, least(times, (lot + 1) * {_COPIES}) - 1)"))
     )
-    return save(rows.dropDuplicates(["doc_id", "rk"]), "sizes")
+    single = times.filter("times = 1").withColumn("copy", F.lit(0).cast("bigint"))
+    columns = ["doc_id", "rk", "copy", "skey", "size"]
+    return save(single.select(*columns).unionByName(lots.select(*columns)), "rows")
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
@@ -98,18 +111,18 @@ def streams(sizes: DataFrame) -> DataFrame:
     """Documents with words, with ``begin``: words of the source's documents before it."""
     spark = sizes.sparkSession
     n = partitions(spark)
-    order = ["skey", F.col("doc_id").asc_nulls_first(), "rk"]
+    order = ["skey", F.col("doc_id").asc_nulls_first(), "rk", "copy"]
     ranged = sizes.filter("size > 0").repartitionByRange(n, *order).sortWithinPartitions(*order)
     within = save(map_arrow(
-        ranged.withColumn("part", F.spark_partition_id()).select("doc_id", "rk", "source", "skey", "size", "part"),
-        _running, "doc_id bigint, rk bigint, source string, skey string, size bigint, part int, before bigint",
+        ranged.withColumn("part", F.spark_partition_id()).select("doc_id", "rk", "copy", "skey", "size", "part"),
+        _running, "doc_id bigint, rk bigint, copy bigint, skey string, size bigint, part int, before bigint",
     ), "streams")
     # Words of a source in earlier ranges: a range holds many sources or a source many ranges.
     totals = within.groupBy("skey", "part").agg(F.sum("size").alias("total"))
     earlier = F.sum("total").over(Window.partitionBy("skey").orderBy("part")) - F.col("total")
     offsets = totals.select(F.col("skey").alias("of"), F.col("part").alias("in"), earlier.alias("offset"))
     met = within.join(offsets, (F.col("skey") == F.col("of")) & (F.col("part") == F.col("in")))
-    return met.select("doc_id", "rk", "skey", "size", (F.col("before") + F.col("offset")).alias("begin"))
+    return met.select("doc_id", "rk", "copy", "skey", "size", (F.col("before") + F.col("offset")).alias("begin"))
 
 
 def _running(batches: Batches) -> Batches:
@@ -225,7 +238,7 @@ def plan(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Sizes, source targets, and the mix: for every slot the stretches of documents in it.
 
-    The mix has shard, slot, epoch, doc_id, rk, and the words ``lo`` to ``hi`` of the document.
+    The mix has shard, slot, epoch, doc_id, rk, copy, and the words ``lo`` to ``hi`` of the document.
     """
     n = partitions(docs.sparkSession)
     sizes = sizes_of(docs)
@@ -242,20 +255,20 @@ def plan(
     first = F.floor(F.col("begin") / block_words)
     last = F.floor((F.col("begin") + F.col("size") - 1) / block_words)
     stretches = streams(sizes).select(
-        "doc_id", "rk", F.col("skey").alias("of"), "begin", "size", F.explode(F.sequence(first, last)).alias("in_block")
+        "doc_id", "rk", "copy", F.col("skey").alias("of"), "begin", "size", F.explode(F.sequence(first, last)).alias("in_block")
     )
     # Slots come out of a small table of sources and would be taken for small themselves.
     met = slots.hint("merge").join(stretches, (F.col("skey") == F.col("of")) & (F.col("block") == F.col("in_block")))
     at = F.col("block") * block_words - F.col("begin")
     lo, hi = F.greatest(at, F.lit(0)), F.least(at + F.col("words"), F.col("size"))
-    mixed = met.select("shard", "slot", "epoch", "doc_id", "rk", lo.alias("lo"), hi.alias("hi")).filter("lo < hi")
+    mixed = met.select("shard", "slot", "epoch", "doc_id", "rk", "copy", lo.alias("lo"), hi.alias("hi")).filter("lo < hi")
     return sizes, targets, mixed
 
 
 def _cut(batches: Batches) -> Batches:
     word = re.compile(WORD)
     for batch in batches:
-        texts, rows, spans, sizes = batch.columns
+        rows, texts, spans, sizes = batch.columns
         out = []
         for text, own, size in zip(texts.to_pylist(), spans.to_pylist(), sizes.to_pylist()):
             runs: list[list[int]] = []
@@ -268,7 +281,7 @@ def _cut(batches: Batches) -> Batches:
                 at = [m.span() for m in word.finditer(text)]
                 text = "\n".join(text[at[a][0] : at[b - 1][1]] for a, b in runs)
             out.append(text)
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), rows], names=["__text", "__row"])
+        yield pa.RecordBatch.from_arrays([rows, pa.array(out, pa.string())], names=["__row", "__text"])
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
@@ -277,32 +290,26 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     Whole documents keep their text, others the text of their stretches, one to a line.
     The columns of ``docs``; a document taken twice comes twice.
     """
-    sizes, _, mixed = plan(docs, **options)
-    taken = mixed.groupBy(F.col("doc_id").alias("__id"), F.col("rk").alias("__rk"), "epoch").agg(
-        F.collect_list(F.struct("lo", "hi")).alias("__spans"), F.max("hi").alias("__most")
-    )
-    own = docs.withColumn("__own", row_key("source", "text")).dropDuplicates(["doc_id", "__own"])
-    rest = [c for c in docs.columns if c != "text"]
-    met = own.join(taken.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__rk")))
-    packed = met.select(
-        F.col("text").alias("__text"), F.struct(*[F.col(f"`{c}`") for c in rest]).alias("__row"), "__spans",
-        F.regexp_count("text", F.lit(WORD)).cast("bigint").alias("__size"),
-    )
-    kind = packed.schema["__row"].dataType.simpleString()
-    done = map_arrow(packed, _cut, f"__text string, __row {kind}")
-    out = {c: F.col(f"__row.`{c}`") for c in rest} | {"text": F.col("__text")}
-    if "n_chars" in rest:
-        out["n_chars"] = F.length("__text").cast("bigint")
-    return done.select(*[out[c].alias(c) for c in docs.columns])
+    _, _, mixed = plan(docs, **options)
+    taken = mixed.groupBy(
+        F.col("doc_id").alias("__id"), F.col("rk").alias("__rk"), F.col("copy").alias("__nth"), "epoch"
+    ).agg(F.collect_list(F.struct("lo", "hi")).alias("__spans"))
+    size = F.regexp_count("text", F.lit(WORD)).cast("bigint")
+    own = packed(docs, row_key("source", "text").alias("__own"), size.alias("__size"), F.col("doc_id").alias("__doc"))
+    own = with_copy(own, ["__doc", "__own"])
+    same = F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__rk")) & (F.col("__copy") == F.col("__nth"))
+    rows = own.join(taken.hint("merge"), same).select("__row", "__text", "__spans", "__size")
+    return unpacked(map_arrow(rows, _cut, with_row("__text string", rows)), docs)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     sizes, targets, mixed = plan(docs)
-    taken = mixed.groupBy(F.col("doc_id").alias("__id"), F.col("rk").alias("__rk")).agg(
-        F.sum(F.col("hi") - F.col("lo")).alias("taken")
-    )
+    taken = mixed.groupBy(
+        F.col("doc_id").alias("__id"), F.col("rk").alias("__rk"), F.col("copy").alias("__nth")
+    ).agg(F.sum(F.col("hi") - F.col("lo")).alias("taken"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("rk") == F.col("__rk")) & (F.col("copy") == F.col("__nth"))
     rows = sizes.join(targets.withColumnRenamed("skey", "of"), F.col("skey") == F.col("of")).join(
-        taken.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("rk") == F.col("__rk")), "left"
+        taken.hint("merge"), same, "left"
     )
     return rows.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("bigint")).alias("taken"))

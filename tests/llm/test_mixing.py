@@ -75,9 +75,9 @@ def test_mixed_documents_have_the_words_taken(spark):
 def test_odd_rows(spark):
     docs = odd_docs(spark)
     table, targets, mixed = mixing.plan(docs)
-    assert table.count() == len({(r[0], r[1], r[3]) for r in odd_rows()})
+    assert table.count() == len(odd_rows())
     sizes = defaultdict(int)
-    for r in set(odd_rows()):
+    for r in odd_rows():
         sizes["1" if r[3] is None else "0" + r[3]] += len(words_of(r[1]))
     assert {r.skey: r.source_size for r in targets.collect()} == dict(sizes)
     assert mixing.mixed_documents(docs).schema == docs.schema
@@ -97,3 +97,15 @@ def test_permutations():
         for e in range(3):
             p = mixing.feistel(np.arange(n), n, mixing._epoch_key(9, e))
             assert p[mixing._place_of_last(n, 9, e)] == n - 1
+
+
+def test_repeated_rows_are_all_mixed_and_all_come_back(spark, tmp_path):
+    rows = [(1, "a b c d", "s")] * 2 + [(2, "e f g", "s")] * 9000 + [(None, "x y", "t")] * 3 + [(4, None, "t")] * 2
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(3)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = mixing.query(spark, str(tmp_path)).collect()
+    assert len(got) == len(rows) and sum(r["size"] for r in got) == 8 + 27_000 + 6
+    assert {r.source_size for r in got if r.doc_id in (1, 2)} == {27_008}
+    assert all(r.taken <= 3 * r["size"] for r in got)
+    words = sum(len(words_of(r.text)) for r in mixing.mixed_documents(docs).collect())
+    assert words == sum(r.taken for r in got) == 18 + round(27_014 - 18)
