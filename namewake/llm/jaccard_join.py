@@ -36,14 +36,15 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from namewake.llm.common import (
     U64, Batches, find_words, hash_windows, hash_words, lists, lower_ascii, map_arrow, mix,
-    partitions, pieces, save, ship, text_bytes,
+    packed, partitions, pieces, row_key, save, ship, text_bytes,
 )
 from namewake.llm.components import components, near_labels
+from namewake.llm.ranges import with_copy
 from namewake.operators.joins import lookup_join
 
 SHINGLE, PERCENT = 5, 80
@@ -185,7 +186,7 @@ def _points(shared: Broadcast, frequent: Broadcast, filter_bits: int, percent: i
                     [ids.slice(lo, hi - lo), pa.array(n, pa.int64()),
                      pa.array(np.array(sids, U64).astype(np.int64)), pa.array(alone, pa.int64()),
                      lists(posts, pa.int64()), pa.array(sets, pa.binary())],
-                    names=["doc_id", "n", "sid", "alone", "front", "shingles"],
+                    names=["own", "n", "sid", "alone", "front", "shingles"],
                 )
 
     return run
@@ -328,42 +329,71 @@ def _voronoi(members: DataFrame, compared: DataFrame, radius: float) -> DataFram
     return near.select(F.xxhash64("region", "pivot").alias("region"), "sid", "n", "rest", "own")
 
 
-def classes(docs: DataFrame, percent: int = PERCENT, filter_bits: int = FILTER_BITS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id."""
+def _classes(docs: DataFrame, percent: int, filter_bits: int) -> DataFrame:
+    """One row per row of ``docs``: doc_id, rk (of the text), n, comp, null without shingles."""
     ship(docs.sparkSession)
     shared, frequent = shingle_classes(docs, filter_bits)
+    read = docs.select(F.struct("doc_id", row_key("text").alias("rk")).alias("own"), "text")
     points = save(
-        map_arrow(docs.select("doc_id", "text"), _points(shared, frequent, filter_bits, percent),
-                  "doc_id bigint, n bigint, sid bigint, alone bigint, front array<bigint>, shingles binary"),
+        map_arrow(read, _points(shared, frequent, filter_bits, percent),
+                  "own struct<doc_id:bigint,rk:bigint>, n bigint, sid bigint, alone bigint, front array<bigint>, shingles binary"),
         "points",
     )
+    for table in (shared, frequent):  # workers are used again by later queries
+        table.destroy()
     links = similar_sets(points, percent)
-    rows = points.select("doc_id", "n", "sid")
+    rows = points.select("own.doc_id", "own.rk", "n", "sid")
     if links is not None:
-        rows = lookup_join(rows, save(links, "components"), "sid", "node", row_id=["doc_id"])
+        rows = lookup_join(rows, save(links, "components"), "sid", "node", row_id=["doc_id", "rk"])
     else:
         rows = rows.withColumn("comp", F.lit(None).cast("bigint"))
-    rows = rows.withColumn("comp", F.when(F.col("n") > 0, F.coalesce("comp", "sid")))
+    return rows.withColumn("comp", F.when(F.col("n") > 0, F.coalesce("comp", "sid"))).drop("sid")
+
+
+def classes(docs: DataFrame, percent: int = PERCENT, filter_bits: int = FILTER_BITS) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id."""
+    rows = _classes(docs, percent, filter_bits)
     least = rows.filter("comp IS NOT NULL").groupBy(F.col("comp").alias("of")).agg(
         F.count(F.lit(1)).alias("size"), F.min("doc_id").alias("least")
     )
     groups = save(least.filter("size > 1").drop("size"), "groups")
-    out = lookup_join(rows, groups, "comp", "of", row_id=["doc_id"])
+    out = lookup_join(rows, groups, "comp", "of", row_id=["doc_id", "rk"])
     return out.select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id")
     )
 
 
 def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The document of the smallest id of each component; the columns of ``docs``.
+    """One document of each component, that of the smallest id; the columns of ``docs``.
 
-    Rows that repeat a kept id are the same document and all stay, as do rows without an id.
+    A document is an id and a text: a row that shares its id with a copy of another text is
+    judged by its own text. Of rows without an id the one of the smallest text hash stays if
+    its component has no id, and of equal rows one. Texts without shingles all stay.
     """
-    found = classes(docs, percent)
-    gone = found.filter("component_id <> doc_id").select(F.col("doc_id").alias("__gone"))
-    gone = save(gone.distinct().withColumn("__is_gone", F.lit(True)), "copies")
-    kept = lookup_join(docs, gone, "doc_id", "__gone", "left_anti", row_id=["doc_id"])
-    return kept.select(*docs.columns)
+    rows = _classes(docs, percent, FILTER_BITS)
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rk")).alias("best")
+    groups = rows.filter("comp IS NOT NULL").groupBy(F.col("comp").alias("of")).agg(F.count(F.lit(1)).alias("size"), best)
+    groups = groups.filter("size > 1").select(
+        "of", F.col("best.doc_id").alias("best_id"), F.col("best.rk").alias("best_rk"), F.lit(True).alias("several")
+    )
+    met = lookup_join(rows, save(groups, "groups"), "comp", "of", "inner", row_id=["doc_id", "rk"])
+    same = F.col("doc_id").eqNullSafe(F.col("best_id")) & (F.col("rk") == F.col("best_rk"))
+    gone = met.filter(~same).select(_name(F.col("doc_id"), F.col("rk")).alias("__gone")).distinct()
+    own = packed(docs, F.col("doc_id").alias("__id"), row_key("text").alias("__rk")).withColumn(
+        "__name", _name(F.col("__id"), F.col("__rk"))
+    )
+    kept = lookup_join(own, save(gone, "copies"), "__name", "__gone", "left_anti", row_id=["__name"])
+    if not met.filter(same).groupBy("doc_id", "rk").count().filter("count > 1").isEmpty():
+        several = met.filter(same).select(_name(F.col("doc_id"), F.col("rk")).alias("__same")).distinct()
+        numbered = with_copy(kept, ["__id", "__rk"])
+        met = lookup_join(numbered, save(several.withColumn("__one", F.lit(True)), "kept"), "__name", "__same", "left", row_id=["__name", "__copy"])
+        kept = met.filter("__one IS NULL OR __copy = 0")
+    out = {c: F.col(f"__row.`{c}`") for c in docs.columns if c != "text"} | {"text": F.col("__text")}
+    return kept.select(*[out[c].alias(c) for c in docs.columns])
+
+
+def _name(doc_id: Column, rk: Column) -> Column:
+    return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("-")), rk.cast("string"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

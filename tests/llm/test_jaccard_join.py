@@ -70,6 +70,16 @@ def test_one_of_each_keeps_columns_and_the_smallest_id(spark):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id) == sorted(i for i, (_, c) in want.items() if i == c)
 
 
+def test_one_of_each_judges_rows_by_their_text(spark):
+    """Ids that are repeated with other texts, or missing."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(3, a), (7, a), (7, b), (9, b), (None, c), (None, c), (None, c + " more"), (None, b), (3, a), (5, None), (5, None)]
+    docs = spark.createDataFrame([(i, t, "z") for i, t in rows], "doc_id bigint, text string, `a.b` string").repartition(3)
+    kept = sorted((r.doc_id is None, r.doc_id, r.text) for r in jaccard_join.one_of_each(docs).collect())
+    assert kept[:-1] == [(False, 3, a), (False, 5, None), (False, 5, None), (False, 7, b)]
+    assert kept[-1][:2] == (True, None) and kept[-1][2] in (c, c + " more") and len(kept) == 5
+
+
 def test_empty(spark):
     assert jaccard_join.classes(no_docs(spark), filter_bits=12).count() == 0
 
