@@ -27,11 +27,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from namewake.llm.common import Batches, map_arrow, partitions, pieces, save, strings
-from namewake.llm.words_bpe import encoder, tokenizer_path
+from namewake.llm.common import Batches, map_arrow, partitions, pieces, save, text_bytes
+from namewake.llm.word_arrays import array_encoder, binaries, flat, with_end
+from namewake.llm.words_bpe import tokenizer_path
 from namewake.scratch import shared_folder
 
 MAX_BITS, BLOCK, SEGMENT_IDS, END_ID = 16, 1024, 1 << 20, 1
@@ -95,7 +97,7 @@ def decode_table(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def pack(ids: np.ndarray, sizes: np.ndarray, lengths: np.ndarray, codes: np.ndarray):
     """Codes of documents end to end, each from a byte on: bytes, byte offsets, checkpoints.
 
-    Checkpoints are bit offsets within the document, one before every ``BLOCK`` ids.
+    Checkpoints are bit offsets within the document, one before every ``BLOCK`` ids, end to end.
     """
     first = np.zeros(len(sizes) + 1, np.int64)
     np.cumsum(sizes, out=first[1:])
@@ -117,29 +119,30 @@ def pack(ids: np.ndarray, sizes: np.ndarray, lengths: np.ndarray, codes: np.ndar
         out[word[heads]] = np.bitwise_or.reduceat(fits, heads)
         over = np.flatnonzero(shift < 0)
         out[word[over] + 1] |= value[over] << (64 + shift[over]).astype(np.uint64)
-    marks = [within[a:b:BLOCK].astype("<u4") for a, b in zip(first[:-1], first[1:])]
-    return out.astype(">u8").tobytes(), begin, marks
+    marks = within[(np.arange(len(ids)) - first[:-1][doc]) % BLOCK == 0].astype("<u4")
+    return out.astype(">u8").view(np.uint8)[: begin[-1]], begin, marks
 
 
-def unpack(data: bytes, at: np.ndarray, counts: np.ndarray, table) -> list[np.ndarray]:
-    """Ids of blocks that begin at bits ``at`` and hold ``counts`` ids, all side by side."""
+def unpack(data: bytes, at: np.ndarray, counts: np.ndarray, table) -> np.ndarray:
+    """Ids, end to end, of blocks that begin at bits ``at`` and hold ``counts`` ids.
+
+    All blocks are decoded side by side, the long ones go on where short ones have ended.
+    """
     ids, bits = table
     raw = np.frombuffer(data + b"\0\0\0", np.uint8).astype(np.uint32)
     order = np.argsort(-counts, kind="stable")
     pos, left = at[order].astype(np.int64), counts[order]
-    out = np.zeros((len(at), int(left[0]) if len(left) else 0), np.uint16)
-    steps = np.searchsorted(-left, -np.arange(1, out.shape[1] + 1), "right")
-    for i, live in enumerate(steps.tolist()):
+    out = np.zeros(int(counts.sum()), np.uint16)
+    to = (np.cumsum(counts) - counts)[order]
+    longest = int(left[0]) if len(left) else 0
+    for i, live in enumerate(np.searchsorted(-left, -np.arange(1, longest + 1), "right").tolist()):
         p = pos[:live]
         byte = p >> 3
         window = (raw[byte] << 16) | (raw[byte + 1] << 8) | raw[byte + 2]
         window = (window >> (8 - (p & 7)).astype(np.uint32)) & 0xFFFF
-        out[:live, i] = ids[window]
+        out[to[:live] + i] = ids[window]
         pos[:live] = p + bits[window]
-    blocks: list = [None] * len(at)
-    for row, (k, n) in enumerate(zip(order.tolist(), left.tolist())):
-        blocks[k] = out[row, :n]
-    return blocks
+    return out
 
 
 @dataclass
@@ -174,8 +177,8 @@ class Segment:
             at += count * np.dtype(kind).itemsize
         return cls(start, *cols, raw[at:])
 
-    def ids(self, table) -> list[np.ndarray]:
-        """Every document's ids."""
+    def ids(self, table) -> np.ndarray:
+        """All documents' ids, end to end."""
         blocks = -(-self.sizes.astype(np.int64) // BLOCK)
         base = np.zeros(len(self.sizes), np.int64)
         np.cumsum(self.byte_sizes[:-1], out=base[1:])
@@ -183,26 +186,21 @@ class Segment:
         counts = np.full(len(at), BLOCK, np.int64)
         last = np.cumsum(blocks) - 1
         counts[last] = self.sizes - (blocks - 1) * BLOCK
-        done, out, k = unpack(self.codes, at, counts, table), [], 0
-        for b in blocks.tolist():
-            out.append(np.concatenate(done[k : k + b]))
-            k += b
-        return out
+        return unpack(self.codes, at, counts, table)
 
 
 def _tokenize(path: str, bounds: list[int], end_id: int):
     def run(batches: Batches) -> Batches:
-        coder, end = encoder(path or tokenizer_path()), np.array([end_id], "<u2").tobytes()
+        coder = array_encoder(path or tokenizer_path())
         for batch in batches:
             ids, texts = batch.columns
             for lo, hi in pieces(texts):
-                coded = [c + end for c in coder.encode(strings(texts.slice(lo, hi - lo)))]
+                coded, n = with_end(*coder.encode(*text_bytes(texts.slice(lo, hi - lo))), end_id)
                 own = ids.slice(lo, hi - lo)
                 part = np.searchsorted(bounds, own.fill_null(0).to_numpy(), "right") + 1
                 part[own.is_null().to_numpy(zero_copy_only=False)] = 0
                 yield pa.RecordBatch.from_arrays(
-                    [own, pa.array(part, pa.int32()), pa.array([len(c) // 2 for c in coded], pa.int64()),
-                     pa.array(coded, pa.binary())],
+                    [own, pa.array(part, pa.int32()), pa.array(n), binaries(coded, n)],
                     names=["doc_id", "part", "n", "ids"],
                 )
 
@@ -212,8 +210,7 @@ def _tokenize(path: str, bounds: list[int], end_id: int):
 def _count_ids(batches: Batches) -> Batches:
     counts = np.zeros(1 << 16, np.int64)
     for batch in batches:
-        for v in batch.column(0):
-            counts += np.bincount(np.frombuffer(v.as_buffer(), "<u2"), minlength=1 << 16)
+        counts += np.bincount(flat(batch.column(0), "<u2"), minlength=1 << 16)
     used = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays(
         [pa.array(used, pa.int32()), pa.array(counts[used])], names=["id", "count"]
@@ -225,14 +222,12 @@ def _pack(lengths: bytes):
         bits = np.frombuffer(lengths, np.uint8)
         codes = canonical_codes(bits)
         for batch in batches:
-            for lo in range(0, len(batch), 500):
-                ids, part, n, raw = batch.slice(lo, 500).columns
-                flat = np.frombuffer(b"".join(x.as_py() for x in raw), "<u2")
-                data, begin, marks = pack(flat, n.to_numpy(), bits, codes)
-                begin = begin.tolist()
+            for lo, hi in pieces(batch.column(3)):
+                ids, part, n, raw = batch.slice(lo, hi - lo).columns
+                sizes = n.to_numpy()
+                data, begin, marks = pack(flat(raw, "<u2"), sizes, bits, codes)
                 yield pa.RecordBatch.from_arrays(
-                    [ids, part, n, pa.array([m.tobytes() for m in marks], pa.binary()),
-                     pa.array([data[a:b] for a, b in zip(begin, begin[1:])], pa.binary())],
+                    [ids, part, n, binaries(marks, -(-sizes // BLOCK)), binaries(data, np.diff(begin))],
                     names=["doc_id", "part", "n", "marks", "codes"],
                 )
 
@@ -246,11 +241,9 @@ def _segments(starts: dict[int, int]):
         held, part, start, seq, size = [], None, 0, 0, 0
 
         def close() -> pa.RecordBatch:
-            ids, n, marks, codes = zip(*held)
+            ids, nulls, n, bytes_, marks, codes = (list(c) for c in zip(*held))
             segment = Segment(
-                start, np.array([i or 0 for i in ids], np.int64), np.array([i is None for i in ids]),
-                np.array(n), np.array([len(c) for c in codes]),
-                np.frombuffer(b"".join(marks), "<u4"), b"".join(codes),
+                start, *(np.concatenate(c) for c in (ids, nulls, n, bytes_, marks)), b"".join(c.tobytes() for c in codes)
             )
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([start], pa.int64()),
@@ -259,14 +252,28 @@ def _segments(starts: dict[int, int]):
             )
 
         for batch in batches:
-            for i, p, n, marks, codes in zip(*(c.to_pylist() for c in batch.columns)):
-                if held and (p != part or size + n > SEGMENT_IDS):
-                    yield close()
-                    start, seq, held, size = start + size, seq + 1, [], 0
-                if p != part:
-                    part, start, seq = p, starts[p], 0
-                held.append((i, n, marks, codes))
-                size += n
+            parts, sizes = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            edges = [0, *(np.flatnonzero(parts[1:] != parts[:-1]) + 1).tolist(), len(parts)]
+            for lo, end in zip(edges, edges[1:]):
+                while lo < end:
+                    if held and parts[lo] != part:
+                        yield close()
+                        held, size = [], 0
+                    if parts[lo] != part:
+                        part, seq, start = int(parts[lo]), 0, starts[int(parts[lo])]
+                    fits = int(np.searchsorted(np.cumsum(sizes[lo:end]), SEGMENT_IDS - size, "right"))
+                    if not fits and held:
+                        yield close()
+                        start, seq, held, size = start + size, seq + 1, [], 0
+                        continue
+                    hi = lo + max(fits, 1)
+                    ids, _, n, marks, codes = batch.slice(lo, hi - lo).columns
+                    held.append((
+                        ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False), n.to_numpy(),
+                        pc.binary_length(codes).to_numpy(), flat(marks, "<u4"), flat(codes, "u1"),
+                    ))
+                    size += int(sizes[lo:hi].sum())
+                    lo = hi
         if held:
             yield close()
 
@@ -311,15 +318,16 @@ def _read(book: list[tuple[int, int]], digests: bool):
         for batch in batches:
             for raw in batch.column(0):
                 segment = Segment.from_bytes(raw.as_buffer().to_pybytes())
-                docs = segment.ids(table)
-                sizes = segment.sizes.astype(np.int64)
-                starts = segment.start + np.cumsum(sizes) - sizes
+                ids, sizes = segment.ids(table), segment.sizes.astype(np.int64)
+                ends = np.cumsum(sizes)
                 if digests:
-                    last = pa.array([zlib.crc32(d.astype("<u4").tobytes()) for d in docs], pa.int64())
+                    wide, at = memoryview(ids.astype("<u4").tobytes()), (4 * ends).tolist()
+                    sums = [zlib.crc32(wide[a:b]) for a, b in zip([0, *at], at)]
+                    last = pa.array(sums, pa.int64())
                 else:
-                    last = pa.array([d.astype("<u2").tobytes() for d in docs], pa.binary())
+                    last = binaries(ids.astype("<u2"), sizes)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(segment.doc_ids, mask=segment.nulls.astype(bool)), pa.array(starts),
+                    [pa.array(segment.doc_ids, mask=segment.nulls.astype(bool)), pa.array(segment.start + ends - sizes),
                      pa.array(sizes), last],
                     names=["doc_id", "start", "n_tokens", "ids_crc32" if digests else "ids"],
                 )

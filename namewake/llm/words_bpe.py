@@ -79,13 +79,19 @@ class WordEncoder:
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.specials = [t.content.lower() for t in added]
 
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Words that the split rule leaves whole, encoded together: sizes, and ids end to end."""
+        sizes, ids = [np.empty(0, np.int64)], [np.empty(0, np.uint16)]
+        for lot in _lots(words, 1000):
+            ids.append(np.array(self.model.encode(" ".join(lot), add_special_tokens=False).ids, "<u2"))
+            sizes.append(np.diff(np.flatnonzero(self.closes[ids[-1]]), prepend=-1))
+        return np.concatenate(sizes), np.concatenate(ids)
+
     def _learn_words(self, new: set[str]) -> None:
-        """Words that the split rule leaves whole, encoded together."""
-        for lot in _lots(list(new), 1000):
-            ids = np.array(self.model.encode(" ".join(lot), add_special_tokens=False).ids, "<u2")
-            ends = (2 * (np.flatnonzero(self.closes[ids]) + 1)).tolist()
-            raw = ids.tobytes()
-            self.words.update(zip(lot, [raw[a:b] for a, b in zip([0, *ends], ends)]))
+        words = list(new)
+        sizes, ids = self.encode_words(words)
+        ends, raw = (2 * np.cumsum(sizes)).tolist(), ids.tobytes()
+        self.words.update(zip(words, [raw[a:b] for a, b in zip([0, *ends], ends)]))
 
     def _learn_parts(self, new: set[bytes]) -> None:
         for lot in _lots(list(new), 500):

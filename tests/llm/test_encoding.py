@@ -106,10 +106,49 @@ def test_blocks_decode_alone():
     lengths = hf.code_lengths(np.bincount(ids, minlength=1 << 16))
     data, begin, marks = hf.pack(ids, sizes, lengths, hf.canonical_codes(lengths))
     table = hf.decode_table(lengths)
-    third = hf.unpack(data, marks[1][2:3].astype(np.int64) + 8 * begin[1], np.array([1024]), table)[0]
+    third = hf.unpack(data.tobytes(), marks[3:4].astype(np.int64) + 8 * begin[1], np.array([1024]), table)
     assert third.tolist() == ids[1 + 2048 : 1 + 3072].tolist()
 
 
+def test_many_short_documents_beside_a_long_one_take_little_memory():
+    import tracemalloc
+
+    sizes = np.ones(1 << 20, np.int64)
+    sizes[1000] = 5 * hf.BLOCK
+    ids = np.ones(int(sizes.sum()), np.uint16)
+    ids[1000 : 1000 + sizes[1000]] = np.arange(sizes[1000]) % 300
+    lengths = hf.code_lengths(np.bincount(ids, minlength=1 << 16))
+    data, begin, marks = hf.pack(ids, sizes, lengths, hf.canonical_codes(lengths))
+    segment = hf.Segment(0, np.arange(len(sizes)), np.zeros(len(sizes), bool), sizes, np.diff(begin), marks, data.tobytes())
+    table = hf.decode_table(lengths)
+    tracemalloc.start()
+    got = hf.Segment.from_bytes(segment.to_bytes()).ids(table)
+    assert tracemalloc.get_traced_memory()[1] < 150e6
+    tracemalloc.stop()
+    assert np.array_equal(got, ids)
+
+
+def test_arrays_encode_like_the_library(monkeypatch):
+    """New words and known ones, also when the table is merged often and dropped when full."""
+    import pyarrow as pa
+
+    from namewake.llm import word_arrays
+    from namewake.llm.common import text_bytes
+
+    monkeypatch.setattr(word_arrays, "KEEP", 3000)
+    monkeypatch.setattr(word_arrays, "MERGE", 200)
+    texts = random_texts(4000, 60) + random_texts(3000, 8) + ["", "a'b 'll", "É<|x", "x" * 5000, " ", "1234 ÷ß×ÿ"]
+    texts += [t.encode("latin1", "ignore").decode("latin1") for t in random_texts(2000, 50)]
+    want, coder = library_ids(texts), word_arrays.ArrayEncoder(WordEncoder(tokenizer_path()))
+    for lot in (1, 7, 300, 10_000, 10_000):
+        for lo in range(0, len(texts) if lot > 100 else 50, lot):
+            ids, counts = coder.encode(*text_bytes(pa.array(texts[lo : lo + lot])))
+            got = [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+            assert got == want[lo : lo + lot]
+    ids, counts = word_arrays.with_end(np.array([5, 6, 7], np.uint16), np.array([0, 2, 0, 1]), 1)
+    assert ids.tolist() == [1, 5, 6, 1, 1, 7, 1] and counts.tolist() == [1, 3, 1, 2]
+
+
 @pytest.mark.parametrize("segment", [50, 1 << 20])
 def test_files_round_trip(spark, monkeypatch, segment):
     monkeypatch.setattr(hf, "SEGMENT_IDS", segment)
