@@ -1,13 +1,14 @@
-"""Messages with a schema id in front: one zero byte, four id bytes, payload.
-
-The Avro functions need the spark-avro module on the classpath.
-"""
+"""Messages with a schema id in front: one zero byte, four id bytes, payload."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from namewake.functions.avro import decode_column, decode_framed_column, encode_column
+
 # Length of the frame and its first byte.
 FRAME_BYTES = 5
 MAGIC_HEX = "00"
@@ -31,12 +32,14 @@ def frame_schema_id(message: Column | str) -> Column:
 
 
 def decode_avro(message: Column | str, schema: str) -> Column:
-    from pyspark.sql.avro.functions import from_avro
+    """The Avro record of a framed message, read by one schema whatever its frame says."""
+    return decode_column(_col(message), schema, framed=True)
 
-    return from_avro(unframe(message), schema)
 
+def decode_avro_by_id(message: Column | str, schemas: Mapping[int, str], reader: str) -> Column:
+    """The same, read by the schema that the frame names and given in the reader's."""
+    return decode_framed_column(_col(message), schemas, reader)
 
-def encode_avro(record: Column, schema: str, schema_id: int) -> Column:
-    from pyspark.sql.avro.functions import to_avro
 
-    return frame(to_avro(record, schema), schema_id)
+def encode_avro(record: Column, schema: str, schema_id: int) -> Column:
+    return encode_column(record, schema, schema_id)

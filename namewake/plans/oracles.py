@@ -90,6 +90,29 @@ _BOTH = (
 )
 
 _LIVE = f"{_LAST_ANY} SELECT key, op_type, name, event_id FROM last_u WHERE op_type <> 'D'"
+
+
+def _varint_hex(number: str) -> str:
+    """Hex of a zigzag number of up to 62 bits that is not negative."""
+    z = f"(2 * CAST({number} AS BIGINT))"
+    return (
+        f"array_to_string(list_transform(list_filter(range(0, 9), lambda k: k = 0 OR ({z} >> CAST(7 * k AS INT)) > 0), "
+        f"lambda k: printf('%02X', (({z} >> CAST(7 * k AS INT)) & 127) | "
+        f"CASE WHEN ({z} >> CAST(7 * (k + 1) AS INT)) > 0 THEN 128 ELSE 0 END)), '')"
+    )
+
+
+def _text_hex(text: str) -> str:
+    return f"({_varint_hex(f'octet_length(encode({text}))')} || hex({text}))"
+
+
+_AVRO = (
+    "'0000000007' || " + _varint_hex("o_orderkey")
+    + f" || CASE WHEN o_orderkey % 7 = 0 THEN '00' ELSE '02' || {_varint_hex('o_custkey')} END"
+    + f" || {_text_hex('o_orderstatus')}"
+    + f" || CASE WHEN o_orderkey % 5 = 0 THEN '02' ELSE '00' || {_text_hex('o_orderpriority')} END"
+)
+
 _REPORT_ALL = f"WITH {_changes(key='user_id * 11')}, {_last()}, {_plan()} " + " UNION ALL ".join(
     f"SELECT '{s.entity}' AS entity, CAST(key AS VARCHAR) AS key, '{s.entity}:' || name AS name "
     f"FROM last_u WHERE NOT EXISTS (SELECT 1 FROM plan WHERE {s.fk} = last_u.key)"
@@ -184,6 +207,20 @@ ORACLES: dict[str, str] = {
         "props:string' AS fields, format('{{\"event_id\":{},\"user_id\":{},\"event_type\":\"{}\",\"props\":{}}}', "
         "event_id, user_id, event_type, CAST(to_json(props) AS VARCHAR)) AS text FROM events"
     ),
+    "avro_encode": f"SELECT o_orderkey, {_AVRO} AS message_hex FROM orders",
+    "avro_decode": (
+        f"WITH sent AS (SELECT *, {_AVRO} AS whole, o_orderkey % 11 = 0 AS cut FROM orders) SELECT o_orderkey AS sent_key, "
+        "CASE WHEN cut THEN left(whole, length(whole) - 2) ELSE whole END AS message_hex, "
+        "CASE WHEN NOT cut THEN o_orderkey END AS o_orderkey, "
+        "CASE WHEN NOT cut AND o_orderkey % 7 <> 0 THEN o_custkey END AS o_custkey, "
+        "CASE WHEN NOT cut THEN o_orderstatus END AS o_orderstatus, "
+        "CASE WHEN NOT cut AND o_orderkey % 5 <> 0 THEN o_orderpriority END AS o_orderpriority FROM sent"
+    ),
+    "mixed_schema_feed": (
+        "SELECT event_id AS sent_id, event_id % 3 + 1 AS schema_id, "
+        + ", ".join(f"CASE WHEN event_id % 3 < 2 THEN {c} END AS {c}" for c in ("event_id", "user_id", "event_type"))
+        + ", CASE WHEN event_id % 3 = 1 THEN props END AS props, CASE WHEN event_id % 3 < 2 THEN 'feed' END AS origin FROM events"
+    ),
     "select_star_view": (
         f"SELECT event_id, {_TS} AS ts, user_id, event_type, value, props FROM events"
     ),

@@ -315,6 +315,73 @@ def avro_schema_to_struct(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _events_record(*fields: tuple) -> str:
+    told = [dict(zip(("name", "type"), f[:2])) | (f[2] if len(f) > 2 else {}) for f in fields]
+    return json.dumps({"type": "record", "name": "event", "fields": told})
+
+
+ORDER_RECORD = _events_record(
+    ("o_orderkey", "long"), ("o_custkey", ["null", "long"]), ("o_orderstatus", "string"), ("o_orderpriority", ["string", "null"])
+)
+
+
+def _avro_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as framed Avro records; every seventh has no customer, every fifth no priority."""
+    key = F.col("o_orderkey")
+    record = F.struct(
+        "o_orderkey",
+        F.when(key % 7 != 0, F.col("o_custkey")).alias("o_custkey"),
+        "o_orderstatus",
+        F.when(key % 5 != 0, F.col("o_orderpriority")).alias("o_orderpriority"),
+    )
+    orders = tb.read(spark, sf_dir, "orders").select("o_orderkey", record.alias("record"))
+    return orders.select("o_orderkey", framing.encode_avro(F.col("record"), ORDER_RECORD, 7).alias("message"))
+
+
+def avro_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _avro_orders(spark, sf_dir).select("o_orderkey", F.hex("message").alias("message_hex"))
+
+
+def avro_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same records out of their messages; of every eleventh message the last byte is lost."""
+    sent = _avro_orders(spark, sf_dir)
+    cut = F.when(F.col("o_orderkey") % 11 == 0, F.expr("substring(message, 1, length(message) - 1)")).otherwise(F.col("message"))
+    read = sent.select(F.col("o_orderkey").alias("sent_key"), cut.alias("message"))
+    record = framing.decode_avro("message", ORDER_RECORD).alias("r")
+    return read.select("sent_key", F.hex("message").alias("message_hex"), record).select("sent_key", "message_hex", "r.*")
+
+
+EVENT_WRITERS = {
+    1: _events_record(("event_id", "int"), ("uid", "int"), ("event_type", "string")),
+    2: _events_record(("props", ["null", "string"]), ("event_id", "long"), ("user_id", ["null", "long"]), ("event_type", "string")),
+}
+EVENT_READER = _events_record(
+    ("event_id", "long"),
+    ("user_id", ["null", "long"], {"aliases": ["uid"]}),
+    ("event_type", "string"),
+    ("props", ["null", "string"], {"default": None}),
+    ("origin", "string", {"default": "feed"}),
+)
+
+
+def mixed_schema_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events written by an old and a new schema, a third by one unknown, in one feed."""
+    events = tb.read(spark, sf_dir, "events")
+    old = F.struct("event_id", F.col("user_id").alias("uid"), "event_type")
+    new = F.struct("props", "event_id", "user_id", "event_type")
+    kind = F.col("event_id") % 3
+    messages = events.select(
+        "event_id",
+        F.when(kind == 0, framing.encode_avro(old, EVENT_WRITERS[1], 1))
+        .when(kind == 1, framing.encode_avro(new, EVENT_WRITERS[2], 2))
+        .otherwise(framing.frame(values.as_bytes("event_type"), 3))
+        .alias("value"),
+    )
+    record = framing.decode_avro_by_id("value", EVENT_WRITERS, EVENT_READER).alias("r")
+    told = messages.select(F.col("event_id").alias("sent_id"), framing.frame_schema_id("value").alias("schema_id"), record)
+    return told.select("sent_id", "schema_id", "r.*")
+
+
 # Streams
 
 
@@ -711,6 +778,9 @@ QUERIES: dict[str, Query] = {
         date_parse,
         time_parse,
         avro_schema_to_struct,
+        avro_encode,
+        avro_decode,
+        mixed_schema_feed,
         select_star_view,
         stream_rekey,
         stream_propagate,

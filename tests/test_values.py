@@ -128,12 +128,3 @@ def test_frames(spark):
     rows = back.collect()
     assert [None if r["p"] is None else bytes(r["p"]) for r in rows] == [payload, b"", None]
     assert [r["id"] for r in rows] == [70000, 70000, None]
-
-
-def test_avro_needs_its_module(spark):
-    """The frame is taken off and put on around Spark's own Avro functions."""
-    df = spark.createDataFrame([(b"\x00\x00\x00\x00\x01\x02a",)], "m binary")
-    with pytest.raises(Exception, match="(?i)avro"):
-        df.select(framing.decode_avro("m", '"string"')).collect()
-    with pytest.raises(Exception, match="(?i)avro"):
-        df.select(framing.encode_avro(F.lit("a"), '"string"', 1)).collect()
