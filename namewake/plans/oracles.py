@@ -269,6 +269,11 @@ ORACLES: dict[str, str] = {
         "WHERE rn = 1) SELECT CAST(key AS VARCHAR) AS msg_key, op_type, 'agency:' || name AS AGENCY_NAME "
         "FROM last_c WHERE op_type <> 'D'"
     ),
+    "stream_from_log": (
+        "SELECT CAST(user_id AS VARCHAR) AS msg_key, event_id > (SELECT max(event_id) * 2 // 3 FROM events) AS late, "
+        f"lpad(CAST(event_id AS VARCHAR), 20, '0') AS pos, 'property:' || {_NAME} AS PROPERTY_NAME FROM events "
+        "WHERE event_id > (SELECT max(event_id) // 3 FROM events)"
+    ),
     "change_log_raw": (
         "WITH lines AS (SELECT event_id % 97 = 0 AS broken, CAST(user_id AS VARCHAR) AS k, "
         "CASE WHEN event_id % 97 = 0 THEN 'no record ' || event_id ELSE format('{{\"op_type\": \"U\",  "

@@ -18,6 +18,7 @@ from namewake.operators import propagate as pr
 from namewake.plans import tables as tb
 from namewake.scratch import settle, shared_folder
 from namewake.sources.files import keyed_lines, raw_change_stream
+from namewake.sources.logs import log_stream
 from namewake.sources.topics import declare_stream, decoded
 from namewake.streaming.compaction import LiveTable, live_changes
 from namewake.streaming.feeds import tag_feed, union_feeds
@@ -735,6 +736,24 @@ def change_log_two_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return last.select("msg_key", record.alias("r")).select("msg_key", "r.op_type", "r.AGENCY_NAME")
 
 
+def stream_from_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log read as a stream from its second micro-batch on, files merged halfway."""
+    folder, spec = shared_folder(spark, "from-log"), ENTITIES["property"]
+    target, log = PlanTarget.create(spark, f"{folder}/target", [spec]), FileLog(f"{folder}/log")
+    copied = f"{folder}/copied"
+    for k, events in enumerate(_in_parts(spark, sf_dir, folder, 3)):
+        feed = tag_feed(tb.entity_changes(events, spec), spec, ["pos", "op_ts"])
+        _finish(feed, target, folder, log=log)
+        ord_type = feed.schema["ord"].dataType
+        if k:
+            copy_stream(log_stream(spark, log, ord_type, starting_number=1), copied, f"{folder}/copied-checkpoint")
+        if k == 1:
+            log.merge_files(spark)
+    record = values.parse_json("msg_value", spec.schema)
+    read = spark.read.parquet(copied).select("msg_key", "seq", record.alias("r"))
+    return read.select("msg_key", (F.col("seq") > 1).alias("late"), "r.pos", "r.PROPERTY_NAME")
+
+
 def change_log_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw lines, some broken, as they come into the log, and whether they are rejected."""
     folder, spec = shared_folder(spark, "log-raw"), ENTITIES["property"]
@@ -808,5 +827,6 @@ QUERIES: dict[str, Query] = {
         change_log_compacted,
         change_log_two_queries,
         change_log_raw,
+        stream_from_log,
     )
 } | {f"entity_{e}": partial(entity_rows, e) for e in ENTITIES}

@@ -14,6 +14,30 @@ from namewake.streaming.commits import CommitList, Entry, at, existing, last_of,
 from namewake.streaming.targets import ID, PlanTarget, numbered
 
 
+#: Columns of a logged change but its number; the types of its value and order may be others.
+COLUMNS = {
+    "entity": "string",
+    "msg_key": "string",
+    "msg_value": "string",
+    "ord": "string",
+    "query": "string",
+    "batch_id": "bigint",
+}
+
+
+def log_schema(ord_type: T.DataType, value: str = "string") -> T.StructType:
+    kinds = {"ord": ord_type.simpleString(), "msg_value": value}
+    return T.StructType.fromDDL(", ".join(f"{n} {kinds.get(n, k)}" for n, k in COLUMNS.items()))
+
+
+def parts_of(commits: list[Entry]) -> list[tuple[str, int | None]]:
+    """Folders that make up a log of its own or a target's; those of one micro-batch with its number."""
+    merged = last_of(commits, "merged", "log")
+    after = at(merged[0]) if merged else -1
+    own = [(c.get("log") or (c["path"] if c["kind"] == "batch" else None), c["number"]) for c in commits if c not in merged]
+    return [(c.get("log") or c["path"], None) for c in merged] + [(p, n) for p, n in own if p and n > after]
+
+
 class FileLog:
     """Changes in files, one folder for each micro-batch, numbered as they arrive.
 
@@ -32,12 +56,8 @@ class FileLog:
             self._list = CommitList(spark, f"{self.path}/commits", self._live)
         return self._list
 
-    @staticmethod
-    def _parts(commits: list[Entry]) -> list[tuple[str, int | None]]:
-        """Folders that make up the log; those of one micro-batch with its number."""
-        merged = last_of(commits, "merged")
-        later = [c for c in commits if c["kind"] == "batch" and (not merged or c["number"] > at(merged[0]))]
-        return [(c["path"], None) for c in merged] + [(c["path"], c["number"]) for c in later]
+    def _parts(self, commits: list[Entry]) -> list[tuple[str, int | None]]:
+        return parts_of(commits)
 
     def _live(self, commits: list[Entry]) -> list[Entry]:
         used = {path for path, _ in self._parts(commits)}
@@ -78,15 +98,7 @@ class FileLog:
         return reduce(DataFrame.unionByName, read)
 
     def read(self, spark: SparkSession, ord_type: T.DataType, value: str = "string") -> DataFrame:
-        schema = (
-            T.StructType()
-            .add("entity", "string")
-            .add("msg_key", "string")
-            .add("msg_value", value)
-            .add("ord", ord_type)
-            .add("query", "string")
-            .add("batch_id", "long")
-        )
+        schema = log_schema(ord_type, value)
         return self._read(spark, schema, self._parts(self._commits(spark).read()))
 
     def begin_merge(self, spark: SparkSession) -> Entry | None:
@@ -136,9 +148,6 @@ class TargetLog(FileLog):
     def _commits(self, spark: SparkSession) -> CommitList:
         return self.target.list
 
-    def _parts(self, commits: list[Entry]) -> list[tuple[str, int | None]]:
-        return self.target.log_parts(commits)
-
     def _done(self, commits: list[Entry], query_id: str, batch_id: int) -> list[str]:
         same = [c for c in commits if c.get("query") == query_id and c.get("batch_id") == batch_id]
         return [c["log"] for c in same if c.get("log")]

@@ -17,6 +17,7 @@ from namewake.streaming.feeds import tag_feed
 from namewake.streaming.logs import FileLog, TargetLog, compact_log
 from namewake.streaming.targets import PlanTarget
 from namewake.sources.files import file_stream
+from namewake.sources.logs import log_stream
 from tests.helpers import CHANGES, SPEC, fold, plan_df, plan_rows, plan_text, sorted_rows
 from tests.test_streaming import ORD, Run, remove
 
@@ -258,6 +259,45 @@ def test_log_and_target_appear_together(spark, tmp_path):
     assert newest == {"1": "a", "2": "b", "5": "only logged"}
 
 
+def test_a_log_is_read_as_a_stream_once_each(spark, tmp_path, monkeypatch):
+    """New micro-batches, merges and clearing between runs; a start position."""
+    monkeypatch.setattr(commits, "SEGMENT", 3)
+    schema = "entity string, msg_key string, msg_value string, ord struct<pos:bigint>"
+    target = PlanTarget.create(spark, f"{tmp_path}/t", [SPEC])
+    for log in (FileLog(f"{tmp_path}/log"), TargetLog(target)):
+        name, n = type(log).__name__, 0
+
+        def write(count):
+            nonlocal n
+            for _ in range(count):
+                batch = spark.createDataFrame([("shop", "1", f"m{n}", (n,)), ("shop", None, None, None)], schema)
+                log.write(batch, "q", n)
+                if isinstance(log, TargetLog):
+                    target.put_names(spark.createDataFrame([], NAMES), "q", n, log=log.stored("q", n))
+                n += 1
+
+        def run(start, to):
+            stream = log_stream(spark, log, ORD, starting_number=start)
+            query = stream.writeStream.format("parquet").option("path", to).option("checkpointLocation", f"{to}-cp")
+            query.trigger(availableNow=True).start().awaitTermination()
+            rows = [(r["seq"], r["msg_value"]) for r in spark.read.schema(stream.schema).parquet(to).collect()]
+            return sorted((s, v) for s, v in rows if v), sum(v is None for _, v in rows)
+
+        write(2)
+        assert run(1, f"{tmp_path}/{name}1") == ([(1, "m1")], 1)
+        for step in range(3):
+            write(step + 1)
+            assert run(1, f"{tmp_path}/{name}1")[1] == n - 1
+            log.merge_files(spark)
+            remove(log.obsolete(spark))
+        write(1)
+        told, empty = run(1, f"{tmp_path}/{name}1")
+        assert [v for _, v in told] == [f"m{i}" for i in range(1, n)] and empty == n - 1
+        assert [v for _, v in run(0, f"{tmp_path}/{name}0")[0]] == [f"m{i}" for i in range(n)]
+    with pytest.raises(ValueError, match="json"):
+        log_stream(spark, FileLog(f"{tmp_path}/j", "json"), ORD)
+
+
 # buckets, keys, summaries
 
 
