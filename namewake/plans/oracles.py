@@ -142,6 +142,10 @@ ORACLES: dict[str, str] = {
         "SELECT CAST(user_id AS VARCHAR) AS key, hex(CAST(user_id AS VARCHAR)) AS key_hex, "
         "event_id, user_id, event_type, value, props FROM events"
     ),
+    "rekey_bucketed_join": (
+        "SELECT CAST(user_id AS VARCHAR) AS key, event_id, event_type, c_name FROM events "
+        "LEFT JOIN customer ON user_id = c_custkey"
+    ),
     "key_lookup": (
         f"SELECT {_ORDER}, {_OLD} AS customer_name FROM orders WHERE o_custkey = 42"
     ),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import replace
 from functools import partial, reduce
@@ -15,6 +16,7 @@ from namewake.functions import framing, values
 from namewake.functions.schemas import avro_to_struct, schema_text
 from namewake.operators import changes as ch
 from namewake.operators import propagate as pr
+from namewake.operators.keyed import KeyedTable
 from namewake.plans import tables as tb
 from namewake.scratch import settle, shared_folder
 from namewake.sources.files import keyed_lines, raw_change_stream
@@ -77,6 +79,15 @@ def rekey(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rekey_bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events stored by user, joined with customers where they lie."""
+    folder = shared_folder(spark, "rekeyed")
+    events = ch.rekey(tb.read(spark, sf_dir, "events").drop("ts"), "user_id")
+    table = KeyedTable.write(events, "key", f"rekeyed_{uuid.uuid4().hex}", folder, ["event_id"])
+    customers = tb.read(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("customer"), "c_name")
+    return table.join(customers, "customer").select("key", "event_id", "event_type", "c_name")
+
+
 # Plan rows
 
 
@@ -781,6 +792,7 @@ QUERIES: dict[str, Query] = {
         compact_latest,
         compact_live,
         rekey,
+        rekey_bucketed_join,
         key_lookup,
         propagate_narrow,
         propagate_wide,
