@@ -227,6 +227,13 @@ def _score(weights: np.ndarray, posteriors: dict[int, float]):
     return run
 
 
+def training_texts(docs: DataFrame, train_rows: int) -> DataFrame:
+    """(h, text) of the ``train_rows`` distinct texts of smallest hash, however often each occurs."""
+    h = F.xxhash64("text").alias("h")
+    last = docs.select(h).distinct().orderBy("h").limit(train_rows).agg(F.max("h")).first()[0]
+    return docs.select(h, "text").filter(F.col("h") <= F.lit(last)).dropDuplicates(["h"])
+
+
 def score(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """doc_id, weak_label (posterior), score, predicted and kept for every row of ``docs``."""
     ship(docs.sparkSession)
@@ -236,9 +243,7 @@ def score(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     patterns = (codes[:, None] // 3 ** np.arange(len(FIGURES))) % 3
     good, _, _ = expectation_maximisation(patterns, np.array([r["n"] for r in rows], float))
     posteriors = dict(zip(codes.tolist(), good.tolist()))
-    h = F.xxhash64("text")
-    last = docs.select(h.alias("h")).orderBy("h").limit(train_rows).agg(F.max("h")).first()[0]
-    sample = docs.select(h.alias("h"), "text").filter(F.col("h") <= F.lit(last)).dropDuplicates(["h"])
+    sample = training_texts(docs, train_rows)
     found = map_arrow(sample, _examples, "h bigint, pattern int, at array<int>, v array<double>").toArrow()
     found = found.sort_by("h")  # at most train_rows rows
     weights = train(

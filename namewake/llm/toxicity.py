@@ -15,9 +15,10 @@ the term is quoted or aimed at somebody.
 hits, empty ones too, get the score of such texts.
 
 Labels are learned from a sample of at most ``TRAIN_ROWS`` rows, by hash of the id; never
-from rows held out (crc32(doc_id) mod 5 = 0). Terms are learned from counts over the sample,
-of which the driver gets at most ``MAX_TERMS`` candidates. Documents are scored where they
-lie, without a shuffle.
+from rows held out (crc32(doc_id) mod 5 = 0). Terms are learned from counts over the sample:
+the driver gets those that at least ``MIN_SUPPORT`` toxic texts of it have, and the forms
+near a term that its clean texts have; the sample bounds both. Documents are scored where
+they lie, without a shuffle.
 
 Defined results: null and empty texts have no hits. Null labels are ignored; a document
 labelled both ways is toxic. Without labels the weights are ``PRIOR_WEIGHTS``. Repeated rows
@@ -50,7 +51,7 @@ WORDS = (
     "arschloch", "abschaum", "vollidiot", "dummkopf", "connard", "salaud", "ordure",
     "abruti", "imbécile", "idiota", "estúpido", "imbécil", "basura", "cabrón",
 )
-TRAIN_ROWS, MAX_TERMS, MIN_SUPPORT = 20_000, 50_000, 3
+TRAIN_ROWS, MIN_SUPPORT = 20_000, 3
 PREFIXES = range(4, 9)
 WINDOW = 8
 KEEP = 400_000
@@ -321,7 +322,7 @@ def learn(
     if sizes.get(1) and sizes.get(0):
         seen = map_arrow(bad.select("text"), _toxic_terms, "term string, sig bigint").distinct()
         seen = seen.groupBy("term").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= MIN_SUPPORT)
-        toxic = {r["term"]: r["n"] for r in seen.orderBy(F.desc("n"), "term").limit(MAX_TERMS).collect()}
+        toxic = {r["term"]: r["n"] for r in seen.orderBy("term").collect()}
         counted = map_arrow(good.select("text"), _clean_counts(frozenset(toxic)), "term string, n bigint")
         clean = {r["term"]: r["n"] for r in counted.groupBy("term").agg(F.sum("n").alias("n")).collect()}
         found = _telling(toxic, clean, sizes[1] / (sizes[0] + sizes[1]), words)
@@ -329,8 +330,7 @@ def learn(
         lexicon = Lexicon((*words, *whole), tuple(sorted(t for t in found if not t.endswith(" "))))
     if sizes.get(0):
         forms = map_arrow(good.select("text"), _fuzzy_forms(lexicon), "form string").distinct()
-        rows = forms.orderBy("form").limit(MAX_TERMS).collect()
-        lexicon = Lexicon(lexicon.words, lexicon.starts, frozenset(r["form"] for r in rows))
+        lexicon = Lexicon(lexicon.words, lexicon.starts, frozenset(r["form"] for r in forms.collect()))
     kinds = ", ".join(f"{f} double" for f in FEATURES)
     table = map_arrow(sample, _features(lexicon), f"{kinds}, toxic int").toPandas()  # at most train_rows rows
     return lexicon, fit(table[list(FEATURES)].to_numpy(float), table["toxic"].to_numpy(float))

@@ -79,6 +79,14 @@ def test_scores_agree_with_marked_documents_that_were_never_used(spark):
     assert np.mean(by_mark[1]) >= 0.97 and np.mean(by_mark[0]) >= 0.7
 
 
+def test_copies_do_not_shrink_the_sample(spark):
+    texts = [f"text {i}" for i in range(60)]
+    docs = spark.createDataFrame([(t,) for t in texts for _ in range(50)] + [(None,)] * 500, "text string").repartition(4)
+    for n in (1, 10, 61, 100):
+        found = quality_model.training_texts(docs, n).collect()
+        assert len(found) == len({r.text for r in found}) == min(n, 61)
+
+
 def test_model_on_odd_rows(spark):
     got = quality_model.score(odd_docs(spark)).collect()
     assert len(got) == len(odd_rows()) and all(0 <= r.score <= 1 for r in got)
