@@ -1,6 +1,9 @@
 import hashlib
+import math
 import random
 import re
+import time
+from collections import Counter, defaultdict
 
 import pytest
 
@@ -38,9 +41,71 @@ def test_base_spans_follow_the_rules():
         assert named(disclosure.base_spans(text)) == plain_spans(text), text
 
 
+def long_runs(n):
+    return "a" * 20 * n + " " + "1" * 20 * n + " " + "1." * 10 * n + "@" * n + "+1" + "(" * 10 * n + "4111 1111 " * n
+
+
 def test_base_spans_of_long_runs_take_linear_time():
-    text = "a" * 200_000 + " " + "1" * 200_000 + " " + "1." * 100_000 + "@" * 1000 + "+1" + "(" * 100_000
-    assert disclosure.base_spans(text) == disclosure.base_spans(text)
+    assert named(disclosure.base_spans(long_runs(30))) == plain_spans(long_runs(30))
+    took = []
+    for n in (1000, 16_000):
+        text = long_runs(n)
+        began = time.process_time()
+        disclosure.base_spans(text)
+        took.append(time.process_time() - began)
+    assert took[1] < 4 * 16 * max(took[0], 0.005)  # 256 times if it were quadratic
+
+
+def plain_terms(rows, min_contexts, least):
+    """Disclosive (entity, term) pairs by the definition; an entity occurs once in a document."""
+    terms_of, held, n = [], [], len(rows)
+    for _, text in rows:
+        spans = [(a, b) for _, a, b in plain_spans(text)]
+        words = [m for m in re.finditer(r"\w+", text) if len(m[0]) > 2 and not any(a < m.end() and m.start() < b for a, b in spans)]
+        terms_of.append({m[0].lower() for m in words})
+        own = {}
+        for a, b in spans:
+            at = sum(m.start() < a for m in words)
+            own[text[a:b]] = tuple(m[0].lower() for m in words[max(0, at - 8) : at + 8])
+        held.append(own)
+    with_term, with_entity, both, around = Counter(), Counter(), Counter(), defaultdict(set)
+    for own, terms in zip(held, terms_of):
+        with_term.update(terms)
+        with_entity.update(own.keys())
+        for e, context in own.items():
+            for t in terms:
+                both[e, t] += 1
+                around[e, t].add(context)
+    return {
+        (e, t) for (e, t), k in both.items()
+        if len(around[e, t]) >= min_contexts and with_entity[e] < n
+        and math.log(n * k / (with_term[t] * with_entity[e])) >= least * math.log(n / with_entity[e]) - 1e-12
+    }
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_added_terms_equal_plain_counting(spark, seed):
+    rng = random.Random(seed)
+    words = [f"word{i}" for i in range(30)] + [f"rare{i}" for i in range(40)]
+    entities = [f"p{i}@example.org" for i in range(8)] + ["10.0.0.7"]
+    rows = []
+    for i in range(150):
+        text = [rng.choice(words[:30]) for _ in range(25)] + rng.sample(words[30:], 2)
+        for e in rng.sample(range(len(entities)), rng.choice([0, 0, 1, 2])):
+            text += [entities[e]] + [f"rare{4 * e + rng.randrange(4)}"] * rng.randrange(3)
+        rng.shuffle(text)
+        rows.append((i, " ".join(text)))
+    pairs = plain_terms(rows, 3, 0.5)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = {r.doc_id: r.spans for r in disclosure.digest(disclosure.find_spans(docs, min_contexts=3, disclosure=0.5)).collect()}
+    marked = 0
+    for i, text in rows:
+        own = {text[a:b] for _, a, b in plain_spans(text)}
+        tells = {t for e, t in pairs if e in own}
+        want = [f"term:{m.start()}:{m.end()}" for m in re.finditer(r"\w+", text) if m[0].lower() in tells]
+        assert [s for s in got[i].split(",") if s.startswith("term")] == want, i
+        marked += len(want)
+    assert marked > 10
 
 
 def corpus():

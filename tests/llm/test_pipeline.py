@@ -65,4 +65,4 @@ def test_stages_on_odd_and_on_no_rows(spark):
 
 def test_every_operator_is_registered():
     names = entry.queries()
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13
