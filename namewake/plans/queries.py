@@ -437,7 +437,7 @@ def stream_propagate(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "stream-propagate")
     target = _customer_target(spark, sf_dir, folder)
     feed = _customer_feed(tb.stream(spark, sf_dir, "events"))
-    _finish(feed, target, folder, log=FileLog(f"{folder}/log"))
+    _finish(feed, target, folder, log=TargetLog(target))
     return target.read(ORDER_COLUMNS)
 
 

@@ -7,9 +7,10 @@ from namewake.plans.queries import QUERIES
 from tests.helpers import plan_text
 
 SF = "/root/testdata/sf0.001"
-STREAMS = ("stream_", "change_log", "select_star")
+STREAMS = ("stream_", "change_log", "select_star", "star_as_of", "upsert_buckets", "key_lookup_skipping")
+AVRO = ("avro_encode", "avro_decode", "mixed_schema_feed")
 ALIKE = ("entity_a", "entity_d", "entity_s", "entity_t")
-BATCH = [q for q in QUERIES if not q.startswith(STREAMS + ALIKE)]
+BATCH = [q for q in QUERIES if not q.startswith(STREAMS + ALIKE) and q not in AVRO]
 
 
 def text(spark, name):
@@ -30,6 +31,13 @@ def test_no_slow_operators(spark, name):
         assert "SortMergeJoin" in plan
 
 
+@pytest.mark.parametrize("name", AVRO)
+def test_avro_goes_by_batches(spark, name):
+    """Records are coded in Python, whole Arrow batches at a time and never row by row."""
+    plan = text(spark, name)
+    assert "ArrowEvalPython" in plan and "BatchEvalPython" not in plan and "Exchange" not in plan
+
+
 def scan(plan, table):
     return next(line for line in plan.splitlines() if "FileScan" in line and f"/{table}.parquet" in line)
 
