@@ -6,19 +6,16 @@ from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from namewake.entities import EntitySpec
 from namewake.operators.keysets import TIER, to_merge
 from namewake.operators.summaries import key_summaries, may_hold
+from namewake.sources.logs import log_stream
 from namewake.streaming import commits, job
 from namewake.streaming.commits import CommitList, put_new, read_text
-from namewake.streaming.feeds import tag_feed
 from namewake.streaming.logs import FileLog, TargetLog, compact_log
 from namewake.streaming.targets import PlanTarget
-from namewake.sources.files import file_stream
-from namewake.sources.logs import log_stream
-from tests.helpers import CHANGES, SPEC, fold, plan_df, plan_rows, plan_text, sorted_rows
+from tests.helpers import SPEC, fold, plan_df, plan_rows, sorted_rows
 from tests.test_streaming import ORD, Run, remove
 
 NAMES = "entity string, key string, name string"
