@@ -129,8 +129,9 @@ class FileLog:
     def obsolete(self, spark: SparkSession) -> list[str]:
         """Folders needed no more, for the owner to remove: all, in this order, or none."""
         told = self._commits(spark)
+        every = {c["path"] for c in told.everything()}  # before what is used, of which there may be more by then
         used = {path for path, _ in self._parts(told.read())}
-        return existing(spark, {c["path"] for c in told.everything()} - used) + told.earlier_segments()
+        return existing(spark, every - used) + told.earlier_segments()
 
 
 class TargetLog(FileLog):

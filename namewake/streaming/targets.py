@@ -33,6 +33,7 @@ from namewake.streaming.commits import (
     latest_of_queries,
     put_new,
     read_text,
+    text_if_there,
 )
 
 _SEQ, _NAMES_SEQ, _FILE, _BUCKET = "__seq", "__names_seq", "__file", "namewake_bucket"
@@ -204,7 +205,11 @@ class PlanTarget:
         """All paths that a commit names."""
         own = [commit[k] for k in ("path", "log") if commit.get(k)]
         own += [run[0] for run in commit.get("keys") or []] + (commit.get("summaries") or [])
-        return own + list(self._manifest(commit["path"]).values()) if commit["kind"] == "buckets" else own
+        if commit["kind"] != "buckets":
+            return own
+        # An earlier manifest may have been cleared away, after all that it alone named.
+        told = self._manifests.get(commit["path"]) or json.loads(text_if_there(self.spark, commit["path"]) or "{}")
+        return own + list(told.values())
 
     def _used(self, commits: list[Entry]) -> set[str]:
         """Paths that some read of the present state needs."""
@@ -418,12 +423,12 @@ class PlanTarget:
         started earlier may still use the data. All should go, in this order, or none.
         With ``since``, the states as of that number and later ones stay readable.
         """
-        now = self.commits()
-        used, segments = self._used(now), self.list.earlier_segments(since)
+        every = self.list.everything()  # before what is used, of which there may be more by then
+        used, segments = self._used(self.commits()), self.list.earlier_segments(since)
         if since is not None:
-            for number in range(since, now[-1]["number"]):
-                used |= self._used(self.commits(as_of=number))
-        idle = {p for c in self.list.everything() for p in self._named(c)} - used
+            for state in self.list.states(since):
+                used |= self._used(state)
+        idle = {p for c in every for p in self._named(c)} - used
         return existing(self.spark, (p for p in idle if p.startswith(self.path))) + segments
 
     # reading

@@ -329,6 +329,24 @@ def test_one_keys_update_rewrites_only_its_buckets(spark, tmp_path):
     table.check()
 
 
+def test_clearing_again_and_again(spark, tmp_path, monkeypatch):
+    """What is cleared away is not asked for again, nor when a segment begins; nor what comes meanwhile."""
+    monkeypatch.setattr(commits, "SEGMENT", 100)
+    table = bucketed(spark, tmp_path / "t", rows=60, keys=5, buckets=2)
+    for i in range(3):
+        table.put([(i, "U", f"n{i}", 0)])
+        assert table.open().fold()
+        remove(table.open().obsolete())
+    assert table.open().obsolete() == []
+    table.check()
+    target = table.open()
+    target._live(target.commits())  # as at the beginning of a segment
+    everything = target.list.everything
+    target.list.everything = lambda: (everything(), table.put([(4, "U", "meanwhile", 0)]))[0]
+    assert target.obsolete() == []
+    table.check()
+
+
 def test_a_lookup_reads_the_files_that_may_hold_the_key(spark, tmp_path):
     table = bucketed(spark, tmp_path / "t")
     table.put([(7, "U", "seven", 0)])
