@@ -29,43 +29,54 @@ def is_whole_number(kind: T.DataType) -> bool:
     return isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
 
 
+def _texts(held: DataFrame) -> DataFrame:
+    """Smallest and largest text of each file and foreign key.
+
+    Spark sorts all rows of a task for the least of texts alone, but keeps one row for each
+    group beside a collected value, which therefore has to be of use.
+    """
+    some = F.collect_set(F.lit(True)).alias("some")
+    ends = F.min("key").alias("low_text"), F.max("key").alias("high_text")
+    return held.groupBy("file", "fk").agg(some, *ends).filter(F.size("some") > 0).drop("some")
+
+
 def key_summaries(rows: DataFrame, fks: Sequence[str], file: str = "file") -> DataFrame:
     """One row for each file and foreign key; files without a key in it have none.
 
-    Keys are made distinct for each file first, then gathered by word, so a frequent key
-    is no burden and a filter's rows are at most ``WORDS``.
+    Keys are gathered by word where they are read, so a task holds ``WORDS`` rows for each
+    file and foreign key at most, however many rows it reads. Whole numbers have no texts.
     """
-    parts = []
+    numbers, texts = [], []
     for fk in fks:
-        kind = rows.schema[fk].dataType
-        number = F.col("key").cast("bigint") if is_whole_number(kind) else F.lit(None).cast("bigint")
-        held = rows.select(F.col(file).alias("file"), F.col(fk).cast("string").alias("key"))
-        told = held.filter("key IS NOT NULL").distinct()
-        parts.append(told.select("file", F.lit(fk).alias("fk"), "key", number.alias("number")))
-    keys = reduce(DataFrame.unionByName, parts)
+        whole = is_whole_number(rows.schema[fk].dataType)
+        number = F.col("key").cast("bigint") if whole else F.lit(None).cast("bigint")
+        held = rows.select(F.col(file).alias("file"), F.lit(fk).alias("fk"), F.col(fk).cast("string").alias("key"))
+        held = held.filter("key IS NOT NULL")
+        numbers.append(held.select("*", number.alias("number")))
+        texts += [] if whole else [held]
+    keys = reduce(DataFrame.unionByName, numbers)
     bits = F.explode(F.array(*[_bit(F.col("key"), i) for i in range(HASHES)]))
     words = (
-        keys.select("file", "fk", "key", "number", bits.alias("bit"))
+        keys.select("file", "fk", "number", bits.alias("bit"))
         .groupBy("file", "fk", F.shiftright("bit", 6).alias("word"))
-        .agg(
-            F.bit_or(_mask(F.col("bit"))).alias("set"),
-            *(f(c).alias(f"{f.__name__}_{c}") for c in ("number", "key") for f in (F.min, F.max)),
-        )
+        .agg(F.bit_or(_mask(F.col("bit"))).alias("set"), F.min("number").alias("low"), F.max("number").alias("high"))
     )
-    return words.groupBy("file", "fk").agg(
-        F.min("min_number").alias("low"),
-        F.max("max_number").alias("high"),
-        F.min("min_key").alias("low_text"),
-        F.max("max_key").alias("high_text"),
+    told = words.groupBy("file", "fk").agg(
+        F.min("low").alias("low"),
+        F.max("high").alias("high"),
         F.map_from_entries(F.collect_list(F.struct("word", "set"))).alias("bits"),
     )
+    if not texts:
+        return told.select("file", "fk", "low", "high", *(F.lit(None).cast("string").alias(c) for c in ("low_text", "high_text")), "bits")
+    ends = _texts(reduce(DataFrame.unionByName, texts))
+    return told.join(ends, ["file", "fk"], "left").select("file", "fk", "low", "high", "low_text", "high_text", "bits")
 
 
 def may_hold(summaries: DataFrame, fk: str, key: object) -> DataFrame:
     """Files that may hold a key; a file that does hold it is never left out."""
     text = str(key)
     asked = summaries.filter(F.col("fk") == fk)
-    within = F.lit(text).between(F.col("low_text"), F.col("high_text"))
+    within = F.col("low_text").isNull() | F.lit(text).between(F.col("low_text"), F.col("high_text"))
     if isinstance(key, int):
         within = F.col("low").isNull() | F.lit(key).between(F.col("low"), F.col("high"))
     for i in range(HASHES):

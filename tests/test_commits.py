@@ -15,7 +15,7 @@ from namewake.streaming import commits, job
 from namewake.streaming.commits import CommitList, put_new, read_text
 from namewake.streaming.logs import FileLog, TargetLog, compact_log
 from namewake.streaming.targets import PlanTarget
-from tests.helpers import SPEC, fold, plan_df, plan_rows, sorted_rows
+from tests.helpers import SPEC, fold, plan_df, plan_rows, plan_text, sorted_rows
 from tests.test_streaming import ORD, Run, remove
 
 NAMES = "entity string, key string, name string"
@@ -376,6 +376,17 @@ def test_summaries_never_miss_a_key(spark):
     assert summaries.filter("fk = 'word'").count() == 2
 
 
+def test_summaries_hold_no_rows_of_a_task(spark):
+    """Neither numbers nor texts are sorted or made distinct; texts keep their range."""
+    rows = [(f"f{i % 3}", i, f"k{i:03}") for i in range(300)]
+    df = spark.createDataFrame(rows, "file string, number bigint, word string")
+    told = key_summaries(df, ["number", "word"])
+    assert "SortAggregate" not in plan_text(told)
+    assert plan_text(key_summaries(df, ["number"])).count("Exchange hashpartitioning") == 2
+    ends = {(r["file"], r["fk"]): (r["low"], r["high"], r["low_text"], r["high_text"]) for r in told.collect()}
+    assert ends["f1", "number"][:2] == (1, 298) and ends["f1", "word"] == (None, None, "k001", "k298")
+
+
 def test_the_report_reads_keys_and_no_plan_file(spark, tmp_path):
     table = bucketed(spark, tmp_path / "t")
     table.append(random.Random(9))
