@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from namewake.operators.changes import compact
-from namewake.streaming.commits import CommitList, Entry, at, existing, last_of, latest_of_queries
+from namewake.streaming.commits import CommitList, Entry, at, existing, last_of, latest_of_queries, stored_bytes
 from namewake.streaming.targets import ID, PlanTarget, numbered
 
 
@@ -25,6 +25,10 @@ COLUMNS = {
 }
 
 
+#: A merged file is made of so many bytes, or of one task's share if that is more.
+MERGED_BYTES = 64 << 20
+
+
 def log_schema(ord_type: T.DataType, value: str = "string") -> T.StructType:
     kinds = {"ord": ord_type.simpleString(), "msg_value": value}
     return T.StructType.fromDDL(", ".join(f"{n} {kinds.get(n, k)}" for n, k in COLUMNS.items()))
@@ -110,7 +114,8 @@ class FileLog:
         schema = spark.read.format(self.format).load([path for path, _ in parts]).drop("seq").schema
         every = self._read(spark, T.StructType([f for f in schema.fields if f.name != ID]), parts)
         path = self._new_path("merged")
-        self._write(every.coalesce(max(1, every.rdd.getNumPartitions() // 4)), path)
+        pieces = -(-stored_bytes(spark, [p for p, _ in parts]) // MERGED_BYTES)
+        self._write(every.coalesce(max(1, pieces)), path)
         return {"kind": "merged", "path": path, "upto": commits[-1]["number"]}
 
     def finish_merge(self, spark: SparkSession, entry: Entry | None) -> bool:

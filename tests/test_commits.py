@@ -11,7 +11,7 @@ from namewake.entities import EntitySpec
 from namewake.operators.keysets import TIER, to_merge
 from namewake.operators.summaries import key_summaries, may_hold
 from namewake.sources.logs import log_stream
-from namewake.streaming import commits, job
+from namewake.streaming import commits, job, logs
 from namewake.streaming.commits import CommitList, put_new, read_text
 from namewake.streaming.logs import FileLog, TargetLog, compact_log
 from namewake.streaming.targets import PlanTarget
@@ -387,6 +387,28 @@ def test_summaries_hold_no_rows_of_a_task(spark):
     assert ends["f1", "number"][:2] == (1, 298) and ends["f1", "word"] == (None, None, "k001", "k298")
 
 
+def test_merged_files_are_of_bounded_size(spark, tmp_path, monkeypatch):
+    """A task that merges reads so many bytes of the log, not a share of the whole."""
+    schema, log = "entity string, msg_key string, msg_value string, ord struct<pos:bigint>", FileLog(f"{tmp_path}/log")
+    for n in range(3):
+        batch = spark.range(4000).select(F.lit("shop").alias("entity"), F.col("id").cast("string").alias("msg_key"),
+                                         F.sha2(F.col("id").cast("string"), 256).alias("msg_value"), F.struct(F.col("id").alias("pos")).alias("ord"))
+        log.write(spark.createDataFrame(batch.rdd, schema).repartition(4), "q", n)
+    size = commits.stored_bytes(spark, [p for p, _ in log._parts(log._commits(spark).read())])
+    monkeypatch.setattr(logs, "MERGED_BYTES", size // 3)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size // 12)
+    spark.conf.set("spark.sql.files.openCostInBytes", 0)
+    try:
+        entry = log.begin_merge(spark)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    merged = spark.read.parquet(entry["path"])
+    assert merged.count() == 12_000 and len(merged.inputFiles()) in (3, 4)
+    monkeypatch.setattr(logs, "MERGED_BYTES", 64 << 20)
+    assert len(spark.read.parquet(log.begin_merge(spark)["path"]).inputFiles()) == 1
+
+
 def test_the_report_reads_keys_and_no_plan_file(spark, tmp_path):
     table = bucketed(spark, tmp_path / "t")
     table.append(random.Random(9))
