@@ -42,6 +42,22 @@ def test_state_over_restarts_equals_the_batch(spark, tmp_path, seed):
     assert said.filter("deleted").count() > 0
 
 
+def test_state_without_a_call_for_each_key(spark, tmp_path):
+    """State is one aggregate; equal and older rows of a later micro-batch change nothing."""
+    day = datetime.datetime(2024, 1, 1)
+    parts = [[(1, "U", day, 5, "a", 0.5), (2, "U", day, 5, "b", 0.5), (3, "U", day, 1, "c", 0.5)],
+             [(1, "U", day, 5, "a", 0.5), (2, "U", None, 9, "old", 0.5), (3, "D", day, 2, "c", 0.5)]]
+    table, said = LiveTable(f"{tmp_path}/live", ["k"]), None
+    for part in parts:
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        told = live_changes(file_stream(spark, f"{tmp_path}/in", SCHEMA), ["k"], ["at", "n"], F.col("op") == "D")
+        plan = told._jdf.queryExecution().analyzed().toString()
+        assert "InPandas" not in plan and "StateInPy" not in plan
+        table.start(told, f"{tmp_path}/cp", available_now=True).awaitTermination()
+    said = spark.read.parquet(f"{tmp_path}/live").select("batch_id", "k", "deleted")
+    assert sorted(map(tuple, said.collect())) == [(0, 1, False), (0, 2, False), (0, 3, False), (1, 3, True)]
+
+
 def test_nothing_yet(spark, tmp_path):
     schema = spark.createDataFrame([], SCHEMA).schema
     assert LiveTable(f"{tmp_path}/none", ["k"]).read(spark, schema).collect() == []
