@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 import pytest
 
-from namewake.llm import chunk_bpe, huffman_files as hf
+from namewake.llm import chunk_bpe, common, huffman_files as hf
 from namewake.llm.words_bpe import WordEncoder, library, tokenizer_path
 from namewake.scratch import shared_folder
 from tests.llm.odd import no_docs, odd_docs, odd_rows
@@ -167,3 +167,13 @@ def test_files_of_no_documents(spark):
     folder = shared_folder(spark, "test-huffman")
     hf.write_ids(no_docs(spark), folder)
     assert hf.read_ids(spark, folder).count() == 0
+
+
+def test_workers_give_freed_memory_back(monkeypatch):
+    """While a task works, but not for every batch, and at its end; rows pass as they are."""
+    calls = []
+    monkeypatch.setattr(common, "give_back", lambda: calls.append(len(calls)))
+    assert list(common.giving_back(iter)(range(1000))) == list(range(1000))
+    assert 1 <= len(calls) < 100
+    monkeypatch.setattr(common, "GIVE_BACK_S", -1)
+    assert list(common.giving_back(iter)(range(10))) == list(range(10)) and len(calls) >= 11
