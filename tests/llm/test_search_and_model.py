@@ -6,6 +6,7 @@ from itertools import product
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from namewake.llm import quality_model, topk_search
@@ -52,6 +53,52 @@ def test_search_without_rows(spark):
     assert topk_search.top_k(odd_docs(spark), some.limit(0)).count() == 0
 
 
+def test_queries_never_pass_through_the_driver(spark, monkeypatch):
+    def refused(*_):
+        raise AssertionError("whole queries would be broadcast by the driver")
+
+    docs = odd_docs(spark)
+    monkeypatch.setattr(spark.sparkContext, "broadcast", refused)
+    assert topk_search.top_k(docs, docs.selectExpr("doc_id AS query_id", "text")).count() > 0
+
+
+@pytest.mark.parametrize("n_common,part", [(0, 256), (3, 2), (40, 3)])
+def test_shards_and_lots_are_bounded_and_any_cut_of_them_is_exact(monkeypatch, n_common, part):
+    """Also with copies in different shards, and with the best scores carried from shard to shard."""
+    monkeypatch.setattr(topk_search, "PART_QUERIES", part)
+    rng = np.random.Generator(np.random.PCG64(3))
+    texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.3, rng.integers(0, 40)) % 97) for _ in range(120)]
+    texts += texts[:30] + [texts[7]] * 25
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    shards = list(topk_search._build(50, 400, 4)(iter([batch])))
+    assert len(shards) > 4
+    assert all(len(s["ids"][0]) <= 50 and len(s["doc"][0].as_buffer()) // 2 <= 400 for s in shards)
+
+    counts = topk_search.term_counts(batch["text"])
+    df = Counter(t for terms, _, _ in counts for t in terms.tolist())
+    weight = {t: math.log(1 + (len(texts) - n + 0.5) / (n + 0.5)) for t, n in df.items()}
+    terms = [(i, t) for i, (t, _, _) in enumerate(counts) if len(t)]
+    asked = pa.RecordBatch.from_arrays(
+        [pa.array([i for i, _ in terms]), pa.array([t.tolist() for _, t in terms]),
+         pa.array([[weight[x] for x in t.tolist()] for _, t in terms])], names=["q", "term", "weight"])
+    lots = list(topk_search._lots(20, 100)(iter([asked])))
+    assert len(lots) > 5 and all(len(lot["q"][0]) <= 20 for lot in lots)
+
+    common = np.sort(np.array([t for t, _ in df.most_common(n_common)], np.int64))
+    both = [pa.RecordBatch.from_arrays([*s.columns, pa.array([i]), *lot.columns], names=[*s.schema.names, "shard", *lot.schema.names])
+            for lot in lots for i, s in enumerate(shards)]
+    search = topk_search._search(f"test {n_common}", sum(n for _, _, n in counts) / len(texts), common, 4, 10)
+    found = defaultdict(list)
+    for r in pa.Table.from_batches(search(iter(both + both[:3]))).to_pylist():  # some are met again
+        if (row := (-r["score"], r["doc_id"])) not in found[r["q"]]:
+            found[r["q"]].append(row)
+    want = plain_bm25(list(enumerate(texts)), list(enumerate(texts)))
+    got = {(q, i + 1): -s for q, rows in found.items() for i, (s, _) in enumerate(sorted(rows)[:10])}
+    assert got == pytest.approx(want)
+    copies = [d for _, d in sorted(found[7])[:10]]
+    assert copies == sorted([7, 127, *range(150, 175)])[:10]
+
+
 def test_em_finds_which_labellers_err():
     rng = np.random.Generator(np.random.PCG64(1))
     good = rng.random(20_000) < 0.7
