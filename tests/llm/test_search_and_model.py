@@ -99,6 +99,52 @@ def test_shards_and_lots_are_bounded_and_any_cut_of_them_is_exact(monkeypatch, n
     assert copies == sorted([7, 127, *range(150, 175)])[:10]
 
 
+def asked_batch(rows):
+    return pa.RecordBatch.from_arrays(
+        [pa.array([i for i, _ in rows]), pa.array([t for _, t in rows]), pa.array([[1.0] * len(t) for _, t in rows])],
+        names=["q", "term", "weight"],
+    )
+
+
+def test_like_queries_of_a_lot_stand_together(monkeypatch):
+    """So that a product of matrices needs the terms of few kinds of queries."""
+    monkeypatch.setattr(topk_search, "PART_QUERIES", 8)
+    rng = np.random.Generator(np.random.PCG64(5))
+    rows = [(i, (1000 * (i % 2) + np.sort(rng.choice(20, 12, replace=False))).tolist()) for i in range(64)]
+    (lot,) = topk_search._lots(100, 10_000)(iter([asked_batch(rows)]))
+    got = lot["q"][0].as_py()
+    assert sorted(got) == list(range(64))
+    assert all(len({q % 2 for q in got[lo : lo + 8]}) == 1 for lo in range(0, 64, 8))
+    own, at = np.frombuffer(lot["asked_terms"][0].as_py(), "<i8"), np.frombuffer(lot["at"][0].as_py(), "<u4")
+    upto = np.r_[0, np.cumsum(np.frombuffer(lot["n"][0].as_py(), "<u4"))]
+    assert [own[at[a:b]].tolist() for a, b in zip(upto[:-1], upto[1:])] == [rows[q][1] for q in got]
+
+
+@pytest.mark.parametrize("postings", [1, 40, 1 << 16])
+def test_queries_are_summed_many_at_once(monkeypatch, postings):
+    """A call for each query and shard took most of the time; any cut of the postings gives the same sums."""
+    monkeypatch.setattr(topk_search, "PART_POSTINGS", postings, raising=False)
+    rng = np.random.Generator(np.random.PCG64(6))
+    texts = [" ".join(f"w{int(x)}" for x in rng.integers(0, 60, 15)) for _ in range(100)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(100)), pa.array(texts)], names=["doc_id", "text"])
+    (shard,) = topk_search._build(1000, 10_000, 4)(iter([batch]))
+    counts = topk_search.term_counts(batch["text"])
+    (lot,) = topk_search._lots(1000, 10_000)(iter([asked_batch([(i, t.tolist()) for i, (t, _, _) in enumerate(counts)])]))
+    both = pa.RecordBatch.from_arrays([*shard.columns, pa.array([0]), *lot.columns], names=[*shard.schema.names, "shard", *lot.schema.names])
+    calls, bincount = [], np.bincount
+    monkeypatch.setattr(np, "bincount", lambda x, *a, **b: calls.append(len(x)) or bincount(x, *a, **b))
+    search = topk_search._search(f"many {postings}", 15.0, np.empty(0, np.int64), 4, 3)
+    found = defaultdict(list)
+    for r in pa.Table.from_batches(search(iter([both]))).to_pylist():
+        found[r["q"]].append(r["score"])
+    if postings > 1 << 15:
+        assert len(calls) < 20
+    vectors = [Counter({t: n * 2.2 / (n + 1.2) for t, n in zip(t.tolist(), tf.tolist())}) for t, tf, _ in counts]
+    for q, (terms, _, _) in enumerate(counts):
+        want = sorted((sum(v[t] for t in terms.tolist()) for v in vectors), reverse=True)[:3]
+        assert sorted(found[q], reverse=True) == pytest.approx(want)
+
+
 def test_em_finds_which_labellers_err():
     rng = np.random.Generator(np.random.PCG64(1))
     good = rng.random(20_000) < 0.7
